@@ -1,9 +1,10 @@
 """Registered queries: each is ``(spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver's tables through ``sources.testdata`` and runs
-over them whole. Columns whose wire form is an epoch (window bounds) are
-returned as epoch milliseconds, arrays as comma-joined text, so results
-compare across engines without type ambiguity.
+over them whole. Columns whose wire form is an epoch (window bounds,
+detection times) are returned as epoch milliseconds and arrays as
+comma-joined text, so results compare across engines without type
+ambiguity.
 """
 
 from __future__ import annotations
@@ -13,32 +14,337 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import exprs as X
+from ..operators import alerts as A
+from ..operators import crowding as C
 from ..operators import delay as D
+from ..operators import live as LV
 from ..operators import static as ST
+from ..sources import feeds as FD
 from ..sources import testdata as TD
 
 Query = Callable[[SparkSession, str], DataFrame]
+AS_OF = TD.AS_OF_DATE
+NOW = TD.AS_OF_EPOCH_S
 
 
-def _prepared(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+# ---------------------------------------------------------------------------
+# Shared building blocks (lazy; each query builds its own plan)
+# ---------------------------------------------------------------------------
+def _t(spark, sf_dir) -> dict[str, DataFrame]:
     return ST.prepare(TD.gtfs_tables(spark, sf_dir))
 
 
-def headways(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _prepared(spark, sf_dir)
-    return ST.scheduled_headways(t["routes"], t["trips"], t["stop_times"], t["calendar"],
-                                 TD.AS_OF_DATE)
+def _headways(t) -> DataFrame:
+    return ST.scheduled_headways(t["routes"], t["trips"], t["stop_times"], t["calendar"], AS_OF)
+
+
+def _feeders(t) -> DataFrame:
+    served = ST.stop_routes(t["trips"], t["stop_times"])
+    stations = ST.subway_stations(t["routes"], t["stops"], served)
+    return ST.station_feeder_routes(t["routes"], t["stops"], served, stations)
+
+
+def _positions(spark, sf_dir) -> DataFrame:
+    return TD.vehicle_positions(spark, sf_dir)
+
+
+def _alerts(spark, sf_dir) -> DataFrame:
+    return TD.service_alerts(spark, sf_dir)
+
+
+def _crowding(spark, sf_dir, t=None, array_form=False) -> DataFrame:
+    t = t or _t(spark, sf_dir)
+    return C.crowding_estimates(_positions(spark, sf_dir), ST.trip_directions(t["trips"]),
+                                _headways(t), array_form=array_form)
+
+
+def _ripples(spark, sf_dir, t=None) -> DataFrame:
+    t = t or _t(spark, sf_dir)
+    return A.ripples(_alerts(spark, sf_dir), _feeders(t))
+
+
+def _text(df: DataFrame, *array_cols: str) -> DataFrame:
+    for c in array_cols:
+        df = df.withColumn(c, F.array_join(c, ","))
+    return df
+
+
+ALERT_OUT = ["alert_id", "effect", "header_text", "affected_route_ids", "affected_stop_ids",
+             "feed_ts", "arrival_seq"]
+
+
+# ---------------------------------------------------------------------------
+# J2: static schedule build
+# ---------------------------------------------------------------------------
+def q_routes(spark, sf_dir):
+    return _t(spark, sf_dir)["routes"]
+
+
+def q_weekday_trips(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return ST.weekday_trips(t["trips"], t["calendar"], AS_OF).select(
+        "trip_id", "route_id", "service_id", "direction_raw")
+
+
+def q_trip_directions(spark, sf_dir):
+    return ST.trip_directions(_t(spark, sf_dir)["trips"])
+
+
+def q_first_departures(spark, sf_dir):
+    return ST.first_departures(_t(spark, sf_dir)["stop_times"])
+
+
+def q_trips_per_hour_direction(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return ST.trips_per_hour_direction(t["routes"], t["trips"], t["stop_times"], t["calendar"], AS_OF)
 
 
 def q_scheduled_headways(spark, sf_dir):
-    return headways(spark, sf_dir)
+    return _headways(_t(spark, sf_dir))
+
+
+def q_route_headway_report(spark, sf_dir):
+    """L-7: one route's headways by hour (the loader's sanity report)."""
+    return (_headways(_t(spark, sf_dir)).where(F.col("route_id") == "504")
+            .orderBy("hour_of_day"))
+
+
+def q_dominant_shapes(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return ST.dominant_shapes(t["routes"], t["trips"])
+
+
+def q_route_paths(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return ST.route_paths(t["routes"], t["trips"], t["stops"], t["stop_times"])
+
+
+def q_route_path_fallback(spark, sf_dir):
+    return ST.path_for(q_route_paths(spark, sf_dir), None, 0)
+
+
+def q_stop_routes(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return ST.stop_routes(t["trips"], t["stop_times"])
+
 
+def q_subway_stations(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return ST.subway_stations(t["routes"], t["stops"], ST.stop_routes(t["trips"], t["stop_times"]))
 
+
+def q_station_feeder_routes(spark, sf_dir):
+    return _feeders(_t(spark, sf_dir))
+
+
+def q_station_feeders_report(spark, sf_dir):
+    """L-7 / F-17: feeders of stations whose name contains a text, by route."""
+    return (_feeders(_t(spark, sf_dir))
+            .where(F.lower("station_name").contains("stop 10"))
+            .orderBy("route_id", "station_name", "distance_meters"))
+
+
+# ---------------------------------------------------------------------------
+# J3: delay
+# ---------------------------------------------------------------------------
 def q_delay_scores(spark, sf_dir):
-    return D.delay_scores(TD.vehicle_positions(spark, sf_dir), headways(spark, sf_dir))
+    return D.delay_scores(_positions(spark, sf_dir), _headways(_t(spark, sf_dir)))
+
+
+def q_delay_scores_on_time_only(spark, sf_dir):
+    return D.delay_scores_on_time(_positions(spark, sf_dir), _headways(_t(spark, sf_dir)))
+
+
+def q_unscheduled_windows(spark, sf_dir):
+    return D.unscheduled_windows(_positions(spark, sf_dir), _headways(_t(spark, sf_dir)))
+
+
+def q_late_positions(spark, sf_dir):
+    marked = D.mark_late(D.route_present(_positions(spark, sf_dir)))
+    return marked.where("is_late").select(
+        "arrival_seq", "route_id", "vehicle_id",
+        X.epoch_ms("event_time").alias("event_time_ms"),
+        X.epoch_ms("stream_time").alias("stream_time_ms"))
+
+
+# ---------------------------------------------------------------------------
+# J4: crowding
+# ---------------------------------------------------------------------------
+def q_resolved_direction(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return C.eligible(_positions(spark, sf_dir), ST.trip_directions(t["trips"])).select(
+        "arrival_seq", "vehicle_id", "route_id", "direction_id", "current_stop_sequence")
+
+
+def q_latest_vehicle_snapshot(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    snaps = C.latest_snapshots(C.eligible(_positions(spark, sf_dir), ST.trip_directions(t["trips"])))
+    return snaps.select("route_id", "direction_id", X.epoch_ms("w.start").alias("window_start"),
+                        "vehicle_id", F.col("seq").alias("current_stop_sequence"), "feed_ts",
+                        "arrival_seq")
+
+
+def q_crowding_estimates(spark, sf_dir):
+    return _crowding(spark, sf_dir)
+
+
+def q_crowding_estimates_array_form(spark, sf_dir):
+    return _crowding(spark, sf_dir, array_form=True)
+
+
+# ---------------------------------------------------------------------------
+# J1 alerts + J5 ripples
+# ---------------------------------------------------------------------------
+def q_alert_changes(spark, sf_dir):
+    out = A.alert_changes(_alerts(spark, sf_dir)).select(*ALERT_OUT)
+    return _text(out, "affected_route_ids", "affected_stop_ids")
+
+
+def q_current_alerts(spark, sf_dir):
+    out = A.current_alerts(_alerts(spark, sf_dir)).select(*ALERT_OUT)
+    return _text(out, "affected_route_ids", "affected_stop_ids")
+
+
+def q_ripple_changelog(spark, sf_dir):
+    return _ripples(spark, sf_dir).select(
+        "ripple_id", "source_alert_id", "source_effect", "affected_station", "feeder_route_id",
+        "predicted_impact", "header_text", "arrival_seq")
+
+
+def q_ripples_live(spark, sf_dir):
+    return LV.live_ripples(_ripples(spark, sf_dir), NOW).select(
+        "ripple_id", "source_alert_id", "affected_station", "feeder_route_id", "header_text",
+        "arrival_seq", X.epoch_ms("written_at").alias("detected_at"))
+
+
+def q_alerts_without_ripples(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    out = A.alerts_without_ripples(_alerts(spark, sf_dir), _feeders(t)).select(
+        "alert_id", "effect", "header_text", "affected_stop_ids", "arrival_seq")
+    return _text(out, "affected_stop_ids")
+
+
+# ---------------------------------------------------------------------------
+# J6: live state and serving views
+# ---------------------------------------------------------------------------
+VEHICLE_OUT = ["vehicle_id", "route_id", "latitude", "longitude", "bearing", "feed_ts",
+               "occupancy", "trip_id", "direction_id", "current_stop_sequence", "arrival_seq"]
+
+
+def _live_vehicles(spark, sf_dir):
+    return LV.live_vehicles(_positions(spark, sf_dir), NOW)
+
+
+def q_live_vehicles(spark, sf_dir):
+    return _live_vehicles(spark, sf_dir).select(*VEHICLE_OUT)
+
+
+def q_vehicle_sticky_state(spark, sf_dir):
+    return LV.sticky_state(_positions(spark, sf_dir)).select(
+        "vehicle_id", "route_id", "latitude", "longitude", "bearing", "occupancy", "trip_id",
+        "direction_id", "current_stop_sequence", "feed_ts", "arrival_seq")
+
+
+def _snapshot(spark, sf_dir, t):
+    return LV.vehicle_snapshot(_live_vehicles(spark, sf_dir),
+                               LV.live_crowding(_crowding(spark, sf_dir, t), NOW))
+
+
+def q_vehicle_snapshot(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return _snapshot(spark, sf_dir, t).select(*VEHICLE_OUT, "crowding_level")
+
+
+def q_map_vehicles(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return LV.map_vehicles(_snapshot(spark, sf_dir, t), t["routes"])
+
+
+def q_delay_board(spark, sf_dir):
+    return LV.delay_board(q_delay_scores(spark, sf_dir))
+
+
+def q_active_alerts(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    alerts = A.current_alerts(_alerts(spark, sf_dir))
+    ripples = LV.live_ripples(_ripples(spark, sf_dir, t), NOW)
+    return LV.active_alerts(alerts, ripples)
+
+
+def q_alert_feed(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    alerts = A.current_alerts(_alerts(spark, sf_dir))
+    ripples = LV.live_ripples(_ripples(spark, sf_dir, t), NOW)
+    return LV.alert_feed(alerts, ripples)
+
+
+def q_update_envelope_counts(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    positions = _positions(spark, sf_dir)
+    alerts = _alerts(spark, sf_dir)
+    return LV.envelope_counts(
+        vehicle_update=LV.keyed_messages(positions, "vehicle_id"),
+        delay_update=D.delay_scores(positions, _headways(t)),
+        crowding_update=_crowding(spark, sf_dir, t),
+        alert_update=alerts.where(F.col("has_body")),
+        ripple_update=_ripples(spark, sf_dir, t))
+
+
+# ---------------------------------------------------------------------------
+# J1: feed normalization (landed entities derived from the events table)
+# ---------------------------------------------------------------------------
+def q_vehicle_feed_normalized(spark, sf_dir):
+    entities = FD.vehicle_entities_from_positions(_positions(spark, sf_dir))
+    return FD.normalize_vehicle_feed(entities).select(
+        "vehicle_id", "route_id", "latitude", "longitude", "bearing", "feed_ts", "occupancy",
+        "trip_id", "direction_id", "current_stop_sequence", "arrival_seq")
+
+
+def q_alert_feed_normalized(spark, sf_dir):
+    entities = FD.alert_entities_from_alerts(_alerts(spark, sf_dir))
+    out = FD.normalize_alert_feed(entities).select(
+        "alert_id", "effect", "header_text", "description_text", "affected_route_ids",
+        "affected_stop_ids", "active_since", "feed_ts", "arrival_seq")
+    return _text(out, "affected_route_ids", "affected_stop_ids")
 
 
 QUERIES: dict[str, Query] = {
-    "scheduled_headways": q_scheduled_headways,
     "delay_scores": q_delay_scores,
+    "delay_scores_on_time_only": q_delay_scores_on_time_only,
+    "unscheduled_windows": q_unscheduled_windows,
+    "late_positions": q_late_positions,
+    "crowding_estimates": q_crowding_estimates,
+    "crowding_estimates_array_form": q_crowding_estimates_array_form,
+    "latest_vehicle_snapshot": q_latest_vehicle_snapshot,
+    "resolved_direction": q_resolved_direction,
+    "routes": q_routes,
+    "weekday_trips": q_weekday_trips,
+    "trip_directions": q_trip_directions,
+    "first_departures": q_first_departures,
+    "trips_per_hour_direction": q_trips_per_hour_direction,
+    "scheduled_headways": q_scheduled_headways,
+    "route_headway_report": q_route_headway_report,
+    "dominant_shapes": q_dominant_shapes,
+    "route_paths": q_route_paths,
+    "route_path_fallback": q_route_path_fallback,
+    "stop_routes": q_stop_routes,
+    "subway_stations": q_subway_stations,
+    "station_feeder_routes": q_station_feeder_routes,
+    "station_feeders_report": q_station_feeders_report,
+    "alert_changes": q_alert_changes,
+    "current_alerts": q_current_alerts,
+    "ripple_changelog": q_ripple_changelog,
+    "ripples_live": q_ripples_live,
+    "alerts_without_ripples": q_alerts_without_ripples,
+    "live_vehicles": q_live_vehicles,
+    "vehicle_sticky_state": q_vehicle_sticky_state,
+    "vehicle_snapshot": q_vehicle_snapshot,
+    "map_vehicles": q_map_vehicles,
+    "delay_board": q_delay_board,
+    "active_alerts": q_active_alerts,
+    "alert_feed": q_alert_feed,
+    "update_envelope_counts": q_update_envelope_counts,
+    "vehicle_feed_normalized": q_vehicle_feed_normalized,
+    "alert_feed_normalized": q_alert_feed_normalized,
 }

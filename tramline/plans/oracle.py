@@ -126,7 +126,7 @@ _DERIVED = [
  select trip_id, route_id, direction_id from g_trips"""),
     # --- positions ---------------------------------------------------------
     ("p_routed", """
- select *, epoch_ms(event_time) // 300000 * 300000 window_start from vehicle_positions
+ select *, (epoch_us(event_time) // 1000) // 300000 * 300000 window_start from vehicle_positions
  where route_id is not null and route_id <> ''"""),
     ("p_windows", f"""
  select route_id, window_start, window_start + 300000 window_end, count(distinct vehicle_id) vehicles,
@@ -141,14 +141,189 @@ _DERIVED = [
 ]
 
 
+# --- crowding, alerts, ripples, live ------------------------------------------
+_DERIVED += [
+    ("p_late", """
+ select *, ((epoch_us(event_time) // 1000) // 300000) * 300 + 300 window_end_s,
+        max(event_time) over (order by arrival_seq rows between unbounded preceding and current row) stream_time
+ from p_routed"""),
+    ("p_on_time", """
+ select * from p_late where not (window_end_s <= (epoch_us(stream_time) // 1000) // 1000 - 30)"""),
+    ("p_windows_on_time", f"""
+ select route_id, window_start, window_start + 300000 window_end, count(distinct vehicle_id) vehicles,
+        {_TOR.format(ms='window_start')} hour_of_day
+ from p_on_time group by route_id, window_start"""),
+    ("p_delay_on_time", """
+ select w.route_id, w.window_start, w.window_end,
+   floor(5.0::double / w.vehicles * 100 + 0.5) / 100 actual_headway_minutes,
+   floor(h.scheduled_headway_minutes * 100 + 0.5) / 100 scheduled_headway_minutes,
+   floor((5.0::double / w.vehicles - h.scheduled_headway_minutes) * 100 + 0.5) / 100 delay_score
+ from p_windows_on_time w join g_headways h on h.route_id = w.route_id and h.hour_of_day = w.hour_of_day"""),
+    ("c_eligible", """
+ select p.route_id, p.vehicle_id, coalesce(p.direction_id, t.direction_id) direction_id,
+        p.current_stop_sequence, p.feed_ts, p.arrival_seq,
+        (epoch_us(p.event_time) // 1000) // 300000 * 300000 window_start
+ from vehicle_positions p left join g_trip_dirs t on t.trip_id = p.trip_id and t.direction_id is not null
+ where p.route_id <> '' and p.vehicle_id <> '' and p.current_stop_sequence is not null
+   and coalesce(p.direction_id, t.direction_id) is not null"""),
+    ("c_latest", """
+ select * exclude (rn) from (select *, row_number() over (
+   partition by route_id, direction_id, window_start, vehicle_id order by feed_ts desc, arrival_seq desc) rn
+ from c_eligible) where rn = 1"""),
+    ("c_sched", f"""
+ select l.*, l.window_start + 300000 window_end, h.scheduled_headway_minutes
+ from c_latest l join g_headways h on h.route_id = l.route_id
+  and h.hour_of_day = {_TOR.format(ms='l.window_start + 300000')}"""),
+    ("c_gaps", """
+ select *, lead(current_stop_sequence) over (partition by route_id, direction_id, window_start
+             order by current_stop_sequence, vehicle_id) - current_stop_sequence gap_stops,
+        max(current_stop_sequence) over (partition by route_id, direction_id, window_start)
+        - min(current_stop_sequence) over (partition by route_id, direction_id, window_start) span
+ from c_sched"""),
+    ("c_ratio", """
+ select *, case when span > 0 then gap_stops * (5.0::double / span) end gap_min,
+        case when span > 0 then gap_stops * (5.0::double / span) end / scheduled_headway_minutes ratio
+ from c_gaps"""),
+    ("c_out", """
+ select vehicle_id, route_id, direction_id,
+   floor(gap_min * 100 + 0.5) / 100 gap_ahead_minutes, floor(ratio * 100 + 0.5) / 100 crowding_ratio,
+   floor(scheduled_headway_minutes * 100 + 0.5) / 100 scheduled_headway_minutes,
+   case when ratio is null then 'UNKNOWN' when ratio >= 1.5 then 'LIKELY_CROWDED'
+        when ratio <= 0.5 then 'LIKELY_EMPTY' else 'NORMAL' end crowding_level, window_end
+ from c_ratio"""),
+    ("a_changes", """
+ select * from (select *, lag(effect) over w pe, lag(header_text) over w ph,
+     lag(list_sort(affected_route_ids)) over w pr, lag(list_sort(affected_stop_ids)) over w ps,
+     row_number() over w rn
+   from service_alerts where has_body window w as (partition by alert_id order by arrival_seq))
+ where rn = 1 or pe is distinct from effect or ph is distinct from header_text
+    or pr is distinct from list_sort(affected_route_ids) or ps is distinct from list_sort(affected_stop_ids)"""),
+    ("a_current", """
+ select * exclude (rn) from (select *, row_number() over (partition by alert_id order by arrival_seq desc) rn
+ from service_alerts) where rn = 1 and has_body"""),
+    ("r_versions", """
+ select alert_id, effect, header_text, affected_route_ids, arrival_seq, event_time,
+        unnest(list_distinct(affected_stop_ids)) station_id from service_alerts where has_body"""),
+    ("r_closest", """
+ select * exclude (rn) from (select v.*, f.station_name, f.route_id, f.distance_meters,
+     row_number() over (partition by v.alert_id, v.arrival_seq, f.route_id order by f.distance_meters, f.station_id) rn
+   from r_versions v join g_feeders f on f.station_id = v.station_id
+   where not list_contains(v.affected_route_ids, f.route_id)) where rn = 1"""),
+    ("r_rows", """
+ select alert_id || '-' || route_id ripple_id, alert_id source_alert_id, effect source_effect,
+   station_name affected_station, route_id feeder_route_id, 'LIKELY_CROWDING_INCREASE' predicted_impact,
+   'Feeder route ' || route_id || ' near ' || station_name || ' station: ' || header_text header_text,
+   arrival_seq, event_time written_at from r_closest"""),
+    ("r_live", f"""
+ select * exclude (rn) from (select *, row_number() over (partition by ripple_id order by arrival_seq desc) rn
+ from r_rows) where rn = 1 and epoch_us(written_at) + 1800000000 > {AS_OF_EPOCH_S * 1000000}"""),
+    ("v_live", f"""
+ select * exclude (rn) from (select *, row_number() over (partition by vehicle_id order by arrival_seq desc) rn
+ from vehicle_positions where vehicle_id <> '') where rn = 1
+   and epoch_us(event_time) + 120000000 > {AS_OF_EPOCH_S * 1000000}"""),
+    ("v_crowd_live", f"""
+ select * exclude (rn) from (select *, row_number() over (
+   partition by vehicle_id order by window_end desc, route_id desc, direction_id desc) rn
+ from c_out where vehicle_id <> '') where rn = 1 and window_end * 1000 + 600000000 > {AS_OF_EPOCH_S * 1000000}"""),
+    ("v_snapshot", """
+ select v.*, c.crowding_level from v_live v left join v_crowd_live c on c.vehicle_id = v.vehicle_id"""),
+    ("d_board", """
+ select * exclude (rn) from (select *, row_number() over (partition by route_id order by window_start desc) rn
+ from p_delay) where rn = 1"""),
+]
+
+_VEH = ("vehicle_id, route_id, latitude, longitude, bearing, feed_ts, occupancy, trip_id, direction_id, "
+        "current_stop_sequence, arrival_seq")
+_STICKY = ["route_id", "latitude", "longitude", "bearing", "occupancy", "trip_id", "direction_id",
+           "current_stop_sequence", "feed_ts"]
+
+
 def with_prefix(select_sql: str) -> str:
     ctes = ",\n".join(f"{name} as ({body}\n)" for name, body in _BASE + _DERIVED)
     return f"with {ctes}\n{select_sql}"
 
 
 ORACLE_SELECTS: dict[str, str] = {
-    "scheduled_headways": "select * from g_headways",
     "delay_scores": "select * from p_delay",
+    "delay_scores_on_time_only": "select * from p_delay_on_time",
+    "unscheduled_windows": """select w.route_id, w.hour_of_day, w.window_start, w.window_end, w.vehicles
+        from p_windows w anti join g_headways h on h.route_id = w.route_id and h.hour_of_day = w.hour_of_day""",
+    "late_positions": """select arrival_seq, route_id, vehicle_id, (epoch_us(event_time) // 1000) event_time_ms,
+        (epoch_us(stream_time) // 1000) stream_time_ms from p_late where window_end_s <= (epoch_us(stream_time) // 1000) // 1000 - 30""",
+    "crowding_estimates": "select * from c_out",
+    "crowding_estimates_array_form": "select * from c_out",
+    "latest_vehicle_snapshot": """select route_id, direction_id, window_start, vehicle_id,
+        current_stop_sequence, feed_ts, arrival_seq from c_latest""",
+    "resolved_direction": """select arrival_seq, vehicle_id, route_id, direction_id, current_stop_sequence
+        from c_eligible""",
+    "routes": "select route_id, route_short_name, route_type from g_routes",
+    "weekday_trips": "select trip_id, route_id, service_id, direction_raw from g_weekday_trips",
+    "trip_directions": "select * from g_trip_dirs",
+    "first_departures": "select * from g_first",
+    "trips_per_hour_direction": "select * from g_tph",
+    "scheduled_headways": "select * from g_headways",
+    "route_headway_report": "select * from g_headways where route_id = '504'",
+    "dominant_shapes": "select * from g_dominant",
+    "route_paths": "select * from g_route_stops",
+    "route_path_fallback": """select * from g_route_stops r where direction_id in (0, 1) and direction_id = (
+        select min(x.direction_id) from g_route_stops x where x.route_id = r.route_id and x.direction_id in (0, 1))""",
+    "stop_routes": "select * from g_stop_routes",
+    "subway_stations": "select * from g_stations",
+    "station_feeder_routes": "select * from g_feeders",
+    "station_feeders_report": "select * from g_feeders where lower(station_name) like '%stop 10%'",
+    "alert_changes": """select alert_id, effect, header_text, array_to_string(affected_route_ids, ',') affected_route_ids,
+        array_to_string(affected_stop_ids, ',') affected_stop_ids, feed_ts, arrival_seq from a_changes""",
+    "current_alerts": """select alert_id, effect, header_text, array_to_string(affected_route_ids, ',') affected_route_ids,
+        array_to_string(affected_stop_ids, ',') affected_stop_ids, feed_ts, arrival_seq from a_current""",
+    "ripple_changelog": """select ripple_id, source_alert_id, source_effect, affected_station, feeder_route_id,
+        predicted_impact, header_text, arrival_seq from r_rows""",
+    "ripples_live": """select ripple_id, source_alert_id, affected_station, feeder_route_id, header_text, arrival_seq,
+        (epoch_us(written_at) // 1000) detected_at from r_live""",
+    "alerts_without_ripples": """select alert_id, effect, header_text,
+        array_to_string(affected_stop_ids, ',') affected_stop_ids, arrival_seq from a_current c
+        where not exists (select 1 from g_feeders f where list_contains(c.affected_stop_ids, f.station_id))""",
+    "live_vehicles": f"select {_VEH} from v_live",
+    "vehicle_sticky_state": "select vehicle_id, " + ", ".join(
+        f"arg_max({c}, arrival_seq) filter (where {c} is not null) {c}" for c in _STICKY)
+        + ", max(arrival_seq) arrival_seq from vehicle_positions where vehicle_id <> '' group by vehicle_id",
+    "vehicle_snapshot": f"select {_VEH}, crowding_level from v_snapshot",
+    "map_vehicles": """select s.vehicle_id, s.route_id, s.latitude, s.longitude,
+        case when t.route_type = 1 then 'subway' when t.route_type = 0 then 'streetcar' else 'bus' end vehicle_kind,
+        case when s.crowding_level in ('NORMAL', 'LIKELY_CROWDED', 'LIKELY_EMPTY', 'UNKNOWN') then s.crowding_level
+             else 'UNKNOWN' end crowding_level
+        from v_snapshot s left join (select route_short_name, route_type from (select *, row_number() over (
+          partition by route_short_name order by route_id desc) rn from g_routes) where rn = 1) t
+          on t.route_short_name = s.route_id
+        where s.latitude is not null and s.longitude is not null and not (s.latitude = 0 and s.longitude = 0)""",
+    "delay_board": """select route_id, window_start, delay_score, actual_headway_minutes, scheduled_headway_minutes,
+        case when delay_score >= 2 then 'bad' when delay_score <= -2 then 'ahead' else 'ok' end band,
+        case when delay_score > 0 then '+' else '' end || printf('%.2f', delay_score) delay_display from d_board""",
+    "active_alerts": """select alert_id, effect, header_text, feed_ts "timestamp" from a_current
+        union all by name
+        select ripple_id, source_alert_id, source_effect, affected_station, feeder_route_id, predicted_impact,
+          header_text, (epoch_us(written_at) // 1000) detected_at from r_live""",
+    "alert_feed": """select 'alert' kind, alert_id item_id, coalesce(feed_ts, 0) * 1000 sort_time_ms,
+          case when effect = 'NO_SERVICE' then 'severe' else 'info' end severity,
+          replace(effect, '_', ' ') label, header_text text from a_current
+        union all
+        select 'ripple', ripple_id, (epoch_us(written_at) // 1000), 'ripple', lower(replace(predicted_impact, '_', ' ')),
+          'Route ' || feeder_route_id || ' near ' || affected_station || ' - cascaded from ' || source_alert_id
+        from r_live""",
+    "update_envelope_counts": """select 'vehicle_update' "type", count(*) messages from vehicle_positions where vehicle_id <> ''
+        union all select 'delay_update', count(*) from p_delay
+        union all select 'crowding_update', count(*) from c_out
+        union all select 'alert_update', count(*) from service_alerts where has_body
+        union all select 'ripple_update', count(*) from r_rows""",
+    "vehicle_feed_normalized": """select vehicle_id, route_id,
+        case when latitude = 0 and longitude = 0 then 0.0::double else cast(cast(latitude as float) as double) end latitude,
+        case when latitude = 0 and longitude = 0 then 0.0::double else cast(cast(longitude as float) as double) end longitude,
+        case when latitude = 0 and longitude = 0 then null else bearing end bearing,
+        feed_ts, occupancy, trip_id, direction_id, current_stop_sequence, arrival_seq from vehicle_positions""",
+    "alert_feed_normalized": """select alert_id, effect, header_text, cast(null as varchar) description_text,
+        array_to_string(affected_route_ids, ',') affected_route_ids,
+        case when affected_stop_ids[1] = affected_stop_ids[2] then affected_stop_ids[1]
+             else affected_stop_ids[1] || ',' || affected_stop_ids[2] end affected_stop_ids,
+        feed_ts active_since, feed_ts, arrival_seq from service_alerts where has_body""",
 }
 
 
