@@ -354,15 +354,40 @@ def station_feeder_routes(routes: DataFrame, stops: DataFrame, served: DataFrame
 # ---------------------------------------------------------------------------
 # Whole build
 # ---------------------------------------------------------------------------
-def prepare(gtfs: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Typed views of the raw GTFS tables (lazy)."""
-    return {
-        "routes": normalize_routes(gtfs["routes"]),
-        "trips": normalize_trips(gtfs["trips"]),
-        "stops": normalize_stops(gtfs["stops"]),
-        "stop_times": normalize_stop_times(gtfs["stop_times"]),
-        "calendar": gtfs.get("calendar"),
-    }
+class _LazyTables(dict):
+    """Mapping whose values are built on first access (plans are only
+    constructed for the tables a job actually uses)."""
+
+    def __init__(self, builders):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, key):
+        value = self._builders[key]()
+        self[key] = value
+        return value
+
+    def get(self, key, default=None):
+        return self[key] if key in self._builders else default
+
+
+def prepare(gtfs) -> dict[str, DataFrame]:
+    """Typed views of the raw GTFS tables, built lazily on first use.
+
+    ``gtfs`` maps a table name to a DataFrame or to a zero-argument callable
+    returning one (so unused raw tables are never read either).
+    """
+    def raw(name):
+        v = gtfs.get(name)
+        return v() if callable(v) else v
+
+    return _LazyTables({
+        "routes": lambda: normalize_routes(raw("routes")),
+        "trips": lambda: normalize_trips(raw("trips")),
+        "stops": lambda: normalize_stops(raw("stops")),
+        "stop_times": lambda: normalize_stop_times(raw("stop_times")),
+        "calendar": lambda: raw("calendar"),
+    })
 
 
 def build_reference_tables(gtfs: dict[str, DataFrame], as_of: str,

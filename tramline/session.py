@@ -22,11 +22,20 @@ RUNTIME_CONF = {
 }
 
 
+_configured: set[int] = set()
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators depend on; idempotent."""
+    """Apply the runtime settings the operators depend on; idempotent.
+
+    Checked once per session object (each check is a JVM round trip).
+    """
+    if id(spark) in _configured:
+        return spark
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    _configured.add(id(spark))
     return spark
 
 

@@ -27,8 +27,19 @@ AS_OF_EPOCH_S = 1704110400
 _EVENT_TIME_US = f"({EPOCH_US} + (unix_micros(cast(ts as timestamp)) - {EPOCH_US}) div 60)"
 
 
+# Declared schemas of the driver tables (only the columns used here), so a
+# scan needs no schema-inference job and reads just these columns.
+DRIVER_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_returnflag string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
+    "supplier": "s_suppkey bigint",
+    "nation": "n_nationkey int",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,8 +123,9 @@ CALENDAR_ROWS = [
 
 def calendar_txt(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
     configure(spark)
-    return spark.createDataFrame(
-        CALENDAR_ROWS, "service_id string, wednesday string, start_date string, end_date string")
+    # A VALUES relation stays in the JVM (no Python-side RDD behind it).
+    values = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in CALENDAR_ROWS)
+    return spark.sql(f"select * from values {values} as t(service_id, wednesday, start_date, end_date)")
 
 
 def stops_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,12 +157,15 @@ def stop_times_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "else lpad(cast(l_orderkey % 28 as string), 2, '0') || ':15:00' end as arrival_time"))
 
 
-def gtfs_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five GTFS text tables, keyed like ``read_gtfs`` returns them."""
+def gtfs_tables(spark: SparkSession, sf_dir: str) -> dict:
+    """The five GTFS text tables, keyed like ``read_gtfs`` returns them.
+
+    Values are zero-argument builders, so only the tables a job uses are read.
+    """
     return {
-        "routes": routes_txt(spark, sf_dir),
-        "trips": trips_txt(spark, sf_dir),
-        "calendar": calendar_txt(spark, sf_dir),
-        "stops": stops_txt(spark, sf_dir),
-        "stop_times": stop_times_txt(spark, sf_dir),
+        "routes": lambda: routes_txt(spark, sf_dir),
+        "trips": lambda: trips_txt(spark, sf_dir),
+        "calendar": lambda: calendar_txt(spark, sf_dir),
+        "stops": lambda: stops_txt(spark, sf_dir),
+        "stop_times": lambda: stop_times_txt(spark, sf_dir),
     }
