@@ -92,13 +92,22 @@ def gaps_by_window_function(scheduled: DataFrame, crowded: float = X.CROWDED_RAT
     return _finish(gaps, crowded, empty)
 
 
-def gaps_by_array(scheduled: DataFrame, crowded: float = X.CROWDED_RATIO,
-                  empty: float = X.EMPTY_RATIO) -> DataFrame:
-    """W-1 as a sorted array per group, transformed and exploded (ST-8)."""
-    grouped = scheduled.groupBy(*GROUP, "scheduled_headway_minutes").agg(
+def vehicle_lists(snapshots: DataFrame, window_col=None) -> DataFrame:
+    """Per (route, direction, window): vehicles sorted by (stop sequence, vehicle_id).
+
+    ``window_col`` lets a streaming caller re-derive the window from
+    ``window_time`` so the watermark can close it (ST-9).
+    """
+    w = (window_col if window_col is not None else F.col("w")).alias("w")
+    return snapshots.groupBy("route_id", "direction_id", w).agg(
         F.sort_array(F.collect_list(F.struct("seq", "vehicle_id"))).alias("v"))
+
+
+def explode_lists(scheduled_lists: DataFrame, crowded: float = X.CROWDED_RATIO,
+                  empty: float = X.EMPTY_RATIO) -> DataFrame:
+    """W-1 on sorted arrays: gap to the next element, then one row per vehicle (ST-8)."""
     v = F.col("v")
-    rows = grouped.select(
+    rows = scheduled_lists.select(
         *GROUP, "scheduled_headway_minutes",
         (F.element_at(v, -1).getField("seq") - F.element_at(v, 1).getField("seq")).alias("span"),
         F.explode(F.transform(v, lambda x, i: F.struct(
@@ -107,11 +116,18 @@ def gaps_by_array(scheduled: DataFrame, crowded: float = X.CROWDED_RATIO,
     return _finish(rows.select("*", "e.vehicle_id", "e.gap_stops"), crowded, empty)
 
 
+def gaps_by_array(snapshots: DataFrame, headways: DataFrame, crowded: float = X.CROWDED_RATIO,
+                  empty: float = X.EMPTY_RATIO, tz: str = X.LOCAL_TZ) -> DataFrame:
+    """W-1 in array form: lists per group, schedule lookup, explode."""
+    return explode_lists(with_schedule(vehicle_lists(snapshots), headways, tz), crowded, empty)
+
+
 def crowding_estimates(positions: DataFrame, trips: DataFrame, headways: DataFrame,
                        window: str = X.WINDOW, crowded: float = X.CROWDED_RATIO,
                        empty: float = X.EMPTY_RATIO, array_form: bool = False,
                        tz: str = X.LOCAL_TZ) -> DataFrame:
     """One estimate per vehicle per closed (route, direction) window."""
-    scheduled = with_schedule(latest_snapshots(eligible(positions, trips), window), headways, tz)
-    finish = gaps_by_array if array_form else gaps_by_window_function
-    return finish(scheduled, crowded, empty)
+    snapshots = latest_snapshots(eligible(positions, trips), window)
+    if array_form:
+        return gaps_by_array(snapshots, headways, crowded, empty, tz)
+    return gaps_by_window_function(with_schedule(snapshots, headways, tz), crowded, empty)
