@@ -403,3 +403,35 @@ def test_keyed_json_sparse_and_explicit_nulls(spark):
     df = spark.createDataFrame([("V1", None)], "vehicle_id string, gap double")
     assert K.to_keyed_json(df, "vehicle_id").first().value == '{"vehicle_id":"V1"}'
     assert K.to_keyed_json(df, "vehicle_id", True).first().value == '{"vehicle_id":"V1","gap":null}'
+
+
+def test_build_and_publish_reference_tables(spark, scratch):
+    from conftest import SF_SMALL
+    from tramline.sources import testdata as TD
+    version = K.build_and_publish(spark, TD.gtfs_tables(spark, SF_SMALL), f"{scratch}/ref", TD.AS_OF_DATE)
+    assert K.current_version(spark, f"{scratch}/ref") == version
+    hw = K.read_reference_table(spark, f"{scratch}/ref", "scheduled_headways")
+    t = ST.prepare(TD.gtfs_tables(spark, SF_SMALL))
+    want = ST.scheduled_headways(t["routes"], t["trips"], t["stop_times"], t["calendar"], TD.AS_OF_DATE)
+    assert sorted(map(tuple, hw.collect())) == sorted(map(tuple, want.collect()))
+    for name in ("routes", "trips", "route_stops", "station_feeder_routes"):
+        assert K.read_reference_table(spark, f"{scratch}/ref", name).count() > 0
+
+
+def test_views_helpers(spark):
+    d = spark.createDataFrame([("504", 1.25, 5.0, 0.35)], "route_id string, actual_headway_minutes double, "
+                                                          "scheduled_headway_minutes double, delay_score double")
+    r = LV.headway_display(d).first()
+    assert (r.delay_display, r.headway_display) == ("+0.35", "1.3 / 5.0")
+    raw = spark.createDataFrame([('{"a":1}', 1), ("junk", 2), ('{"b":2}', 3)], "value string, arrival_seq long")
+    assert [r.arrival_seq for r in LV.peek(raw, n=10, last=True).collect()] == [3, 1]
+    routes = spark.createDataFrame([("R2", "10", 3), ("R1", "2", 3)], "route_id string, route_short_name string, route_type int")
+    assert [r.route_id for r in LV.natural_route_order(routes.withColumnRenamed("route_id", "rid")
+            .withColumnRenamed("route_short_name", "route_id")).collect()] == ["2", "10"]
+    doc = LV.snapshot_document(routes, d, routes, d)
+    assert sorted(r.section for r in doc.collect()) == ["alerts", "delays", "ripples", "vehicles"]
+    seen = spark.createDataFrame([("V1", T0), ("V2", T0 + dt.timedelta(seconds=300))], "vehicle_id string, seen_at timestamp")
+    now = int(T0.replace(tzinfo=dt.timezone.utc).timestamp()) + 400
+    assert [r.vehicle_id for r in LV.client_prune(seen, "seen_at", now).collect()] == ["V2"]
+    good = FD.with_reject_counts(raw, schemas.DELAY_PREDICTION, "route_id")
+    assert good.count() == 0

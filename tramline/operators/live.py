@@ -161,3 +161,54 @@ def envelope_counts(**streams: DataFrame) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.groupBy("type").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def routes_by_short_name(routes: DataFrame) -> DataFrame:
+    """L-4: the routes listing, ordered by short name."""
+    return routes.select("route_id", "route_short_name", "route_type").orderBy("route_short_name")
+
+
+def headway_display(delays: DataFrame) -> DataFrame:
+    """X-24: 'actual / scheduled' with one decimal, next to the signed score.
+
+    Halves round up on the decimal form (1.25 -> 1.3); a value whose binary
+    form sits just under a midpoint may differ from a browser's toFixed.
+    """
+    return delays.select(
+        "route_id", X.signed2("delay_score").alias("delay_display"),
+        F.concat(F.format_string("%.1f", "actual_headway_minutes"), F.lit(" / "),
+                 F.format_string("%.1f", "scheduled_headway_minutes")).alias("headway_display"))
+
+
+def snapshot_document(vehicles: DataFrame, delays: DataFrame, alerts: DataFrame,
+                      ripples: DataFrame) -> DataFrame:
+    """U-3: the four live sections as one relation of (section, json) rows."""
+    parts = [df.select(F.lit(name).alias("section"), F.to_json(F.struct(*df.columns)).alias("json"))
+             for name, df in (("vehicles", vehicles), ("delays", delays), ("alerts", alerts),
+                              ("ripples", ripples))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def client_prune(state: DataFrame, seen_col: str, as_of_s: int,
+                 stale_s: int = X.CLIENT_STALE_S) -> DataFrame:
+    """ST-11: keep entries received within ``stale_s`` of ``as_of_s``.
+
+    Staleness is measured on the receipt time, not the feed's own timestamp.
+    """
+    return state.where(F.unix_micros(F.col(seen_col)) >= F.lit((as_of_s - stale_s) * 1_000_000))
+
+
+def flush_latest(batch: DataFrame, key: str, order: str = "arrival_seq") -> DataFrame:
+    """ST-12: the last update per key within one flush batch (for foreachBatch)."""
+    return latest_by_key(batch, [key], [order])
+
+
+def peek(records: DataFrame, value_col: str = "value", n: int = 10, last: bool = False,
+         order: str = "arrival_seq") -> DataFrame:
+    """L-8: first or last ``n`` JSON-looking records of a topic (a limit is the feature)."""
+    looking = records.where(F.col(value_col).startswith("{"))
+    ordered = looking.orderBy(F.col(order).desc() if last else F.col(order).asc())
+    return ordered.limit(n)

@@ -162,6 +162,16 @@ def first_departures(stop_times: DataFrame) -> DataFrame:
             .select("trip_id", "f.stop_sequence", "f.arrival_time"))
 
 
+def unusable_stop_times(stop_times_raw: DataFrame) -> DataFrame:
+    """F-9 report: rows with an arrival time but no parseable stop_sequence.
+
+    The reference aborts on these; here they are dropped from the headway
+    input and listed by this report instead.
+    """
+    return stop_times_raw.where(
+        (F.trim(_blank("arrival_time")) != "") & X.parse_int("stop_sequence").isNull())
+
+
 def trips_per_hour_direction(routes: DataFrame, trips: DataFrame, stop_times: DataFrame,
                              calendar_raw: DataFrame | None, as_of: str) -> DataFrame:
     """Weekday trips per (route short name, departure hour, direction text) (A-8).

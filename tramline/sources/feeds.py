@@ -181,7 +181,19 @@ def parse_json_topic(raw: DataFrame, schema: T.StructType, key: str,
     """
     parsed = raw.withColumn("_rec", F.from_json(F.col(value_col), schema))
     k = F.col("_rec").getField(key)
-    ok = k.isNotNull() & (k != "")
+    ok = F.coalesce(k.isNotNull() & (k != ""), F.lit(False))
     good = parsed.where(ok).select("_rec.*")
-    rejects = parsed.where(~ok | k.isNull()).select(value_col)
+    rejects = parsed.where(~ok).select(value_col)
     return good, rejects
+
+
+def with_reject_counts(raw: DataFrame, schema: T.StructType, key: str, name: str = "topic",
+                       value_col: str = "value") -> DataFrame:
+    """S-6 metrics: the same parse, with good/rejected counts published through
+    ``DataFrame.observe`` (readable from the query's progress or the
+    observation) instead of a log line per bad record."""
+    parsed = raw.withColumn("_rec", F.from_json(F.col(value_col), schema))
+    k = F.col("_rec").getField(key)
+    ok = F.coalesce(k.isNotNull() & (k != ""), F.lit(False))
+    return parsed.observe(name, F.count(F.lit(1)).alias("records"),
+                          F.sum(F.when(ok, 0).otherwise(1)).alias("rejected")).where(ok).select("_rec.*")
