@@ -429,7 +429,7 @@ def test_views_helpers(spark):
     assert [r.route_id for r in LV.natural_route_order(routes.withColumnRenamed("route_id", "rid")
             .withColumnRenamed("route_short_name", "route_id")).collect()] == ["2", "10"]
     doc = LV.snapshot_document(routes, d, routes, d)
-    assert sorted(r.section for r in doc.collect()) == ["alerts", "delays", "ripples", "vehicles"]
+    assert sorted({r.section for r in doc.collect()}) == ["alerts", "delays", "ripples", "vehicles"]
     seen = spark.createDataFrame([("V1", T0), ("V2", T0 + dt.timedelta(seconds=300))], "vehicle_id string, seen_at timestamp")
     now = int(T0.replace(tzinfo=dt.timezone.utc).timestamp()) + 400
     assert [r.vehicle_id for r in LV.client_prune(seen, "seen_at", now).collect()] == ["V2"]
