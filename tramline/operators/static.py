@@ -150,18 +150,48 @@ def trip_directions(trips: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Headways
 # ---------------------------------------------------------------------------
+_NO_HOUR = 2147483647  # invalid departure hours sort after every valid one
+
+
+def _raw_hour(arrival: Column) -> Column:
+    """Leading hour field of a GTFS time (before the modulo), or the sentinel."""
+    h = F.trim(F.split_part(arrival, F.lit(":"), F.lit(1))).try_cast("int")
+    return F.when((h >= 0) & (h < _NO_HOUR), h).otherwise(F.lit(_NO_HOUR))
+
+
+def _timed(stop_times: DataFrame) -> DataFrame:
+    return stop_times.where((F.col("arrival_time") != "") & F.col("stop_sequence").isNotNull())
+
+
 def first_departures(stop_times: DataFrame) -> DataFrame:
     """Per trip: arrival at the lowest stop_sequence among rows with an arrival (A-7).
 
     Rows with a blank arrival are ignored (F-9); rows whose sequence does not
-    parse are dropped. Ties on the sequence keep the smallest arrival text.
+    parse are dropped. Ties on the sequence keep the earliest departure hour,
+    then the smallest arrival text.
     """
-    timed = stop_times.where((F.col("arrival_time") != "") & F.col("stop_sequence").isNotNull())
-    return (timed.groupBy("trip_id")
-            .agg(F.min(F.struct("stop_sequence", "arrival_time")).alias("f"))
+    return (_timed(stop_times).groupBy("trip_id")
+            .agg(F.min(F.struct("stop_sequence", _raw_hour(F.col("arrival_time")).alias("h"),
+                                "arrival_time")).alias("f"))
             .select("trip_id", "f.stop_sequence", "f.arrival_time"))
 
 
+def first_departure_hours(stop_times: DataFrame) -> DataFrame:
+    """trip_id, hour_of_day of its first departure — same choice as
+    ``first_departures``, as a hash aggregate.
+
+    (stop_sequence, hour) is packed into one long, so the per-trip minimum
+    runs as a map-side-combined hash aggregate over ``stop_times`` instead
+    of a sort-based struct aggregate. Only the hour is needed downstream.
+    """
+    key = (F.col("stop_sequence").cast("long") * F.lit(1 << 32)
+           + _raw_hour(F.col("arrival_time")).cast("long"))
+    firsts = _timed(stop_times).groupBy("trip_id").agg(F.min(key).alias("k"))
+    low = F.col("k").bitwiseAND(F.lit((1 << 32) - 1))
+    return firsts.select("trip_id", F.when(low != _NO_HOUR, F.pmod(low, F.lit(24)).cast("int"))
+                         .alias("hour_of_day"))
+
+
 def unusable_stop_times(stop_times_raw: DataFrame) -> DataFrame:
     """F-9 report: rows with an arrival time but no parseable stop_sequence.
 
@@ -183,7 +213,7 @@ def trips_per_hour_direction(routes: DataFrame, trips: DataFrame, stop_times: Da
         F.when(F.col("direction_raw") == "", F.lit("0")).otherwise(F.col("direction_raw"))
         .alias("direction_id"))
     keyed = route_key(wk, routes)
-    dep = first_departures(stop_times).select("trip_id", X.gtfs_hour("arrival_time").alias("hour_of_day"))
+    dep = first_departure_hours(stop_times)
     return (keyed.join(dep, "trip_id")
             .where(F.col("hour_of_day").isNotNull())
             .groupBy(F.col("route_key").alias("route_id"), "hour_of_day", "direction_id")

@@ -79,7 +79,8 @@ _DERIVED = [
  select * from g_trips where not exists (select 1 from g_weekday) or service_id in (select service_id from g_services)"""),
     ("g_first", """
  select trip_id, stop_sequence, arrival_time from (
-   select *, row_number() over (partition by trip_id order by stop_sequence, arrival_time) rn
+   select *, row_number() over (partition by trip_id order by stop_sequence,
+     coalesce(try_cast(trim(split_part(arrival_time, ':', 1)) as integer), 2147483647), arrival_time) rn
    from g_stop_times where arrival_time <> '' and stop_sequence is not null) where rn = 1"""),
     ("g_tph", """
  select route_id, hour_of_day, direction_id, count(*) trip_count from (
