@@ -22,20 +22,21 @@ RUNTIME_CONF = {
 }
 
 
-_configured: set[int] = set()
+_MARKER = "spark.tramline.configured"
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators depend on; idempotent.
 
-    Checked once per session object (each check is a JVM round trip).
+    A marker key in the session's own conf makes repeat calls one JVM round
+    trip; a new session (new conf) is configured again.
     """
-    if id(spark) in _configured:
+    if spark.conf.get(_MARKER, None) == "true":
         return spark
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    _configured.add(id(spark))
+    spark.conf.set(_MARKER, "true")
     return spark
 
 
