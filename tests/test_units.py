@@ -435,3 +435,13 @@ def test_views_helpers(spark):
     assert [r.vehicle_id for r in LV.client_prune(seen, "seen_at", now).collect()] == ["V2"]
     good = FD.with_reject_counts(raw, schemas.DELAY_PREDICTION, "route_id")
     assert good.count() == 0
+
+
+def test_reduced_first_snapshots_equal_per_record_path(spark):
+    from conftest import SF_MID
+    from tramline.sources import testdata as TD
+    t = ST.prepare(TD.gtfs_tables(spark, SF_MID))
+    pos, trips = TD.vehicle_positions(spark, SF_MID), ST.trip_directions(t["trips"])
+    a = C.latest_snapshots(C.eligible(pos, trips))
+    b = C.latest_snapshots_reduced_first(pos, trips)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 1000

@@ -23,7 +23,7 @@ def with_fingerprint(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("fingerprint", F.to_json(X.alert_fingerprint()))
 
 
-def alert_changes(alerts: DataFrame, block: int = 1 << 16) -> DataFrame:
+def alert_changes(alerts: DataFrame, block: int = 1 << 20) -> DataFrame:
     """Versions whose content differs from the previous published one (W-2).
 
     A -> A -> B -> A publishes three times; tombstones are not alert

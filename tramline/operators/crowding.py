@@ -61,6 +61,33 @@ def latest_snapshots(records: DataFrame, window: str = X.WINDOW) -> DataFrame:
                     F.col("s.feed_ts").alias("feed_ts"), F.col("s.arrival_seq").alias("arrival_seq")))
 
 
+def latest_snapshots_reduced_first(positions: DataFrame, trips: DataFrame,
+                                   window: str = X.WINDOW) -> DataFrame:
+    """``latest_snapshots(eligible(positions, trips))``, reduced before the trip join.
+
+    Direction resolution needs a join with the trips table on trip_id; done
+    per record, it shuffles every position whenever the trips table is too
+    big to broadcast. Here positions are first reduced to the latest
+    candidate per (route, window, vehicle, trip, event direction) — a
+    map-side-combined aggregate — and only those candidates meet the trips
+    table. The max over candidates of the same resolved direction is the
+    max over their records, so the result is identical.
+    """
+    pre = positions.where(
+        F.col("route_id").isNotNull() & (F.col("route_id") != "")
+        & F.col("vehicle_id").isNotNull() & (F.col("vehicle_id") != "")
+        & F.col("current_stop_sequence").isNotNull())
+    candidates = (pre.groupBy("route_id", F.window("event_time", window).alias("w"), "vehicle_id",
+                              "trip_id", "direction_id")
+                  .agg(F.max(F.struct("feed_ts", "arrival_seq", "current_stop_sequence")).alias("s")))
+    resolved = resolve_direction(candidates, trips).where(F.col("direction_id").isNotNull())
+    return (resolved.groupBy("route_id", "direction_id", "w", "vehicle_id")
+            .agg(F.max("s").alias("s"))
+            .select("route_id", "direction_id", "w", "vehicle_id",
+                    F.col("s.current_stop_sequence").alias("seq"),
+                    F.col("s.feed_ts").alias("feed_ts"), F.col("s.arrival_seq").alias("arrival_seq")))
+
+
 def with_schedule(snapshots: DataFrame, headways: DataFrame, tz: str = X.LOCAL_TZ) -> DataFrame:
     """Attach the schedule at the local hour of the window end; unscheduled groups drop (J-3)."""
     keyed = snapshots.withColumn("hour_of_day", X.local_hour(F.col("w.end"), tz))
@@ -127,7 +154,7 @@ def crowding_estimates(positions: DataFrame, trips: DataFrame, headways: DataFra
                        empty: float = X.EMPTY_RATIO, array_form: bool = False,
                        tz: str = X.LOCAL_TZ) -> DataFrame:
     """One estimate per vehicle per closed (route, direction) window."""
-    snapshots = latest_snapshots(eligible(positions, trips), window)
+    snapshots = latest_snapshots_reduced_first(positions, trips, window)
     if array_form:
         return gaps_by_array(snapshots, headways, crowded, empty, tz)
     return gaps_by_window_function(with_schedule(snapshots, headways, tz), crowded, empty)

@@ -81,7 +81,7 @@ def _window_end(ts: Column, window_s: int) -> Column:
 
 def mark_late(df: DataFrame, window_s: int = 300, grace_s: int = X.GRACE_SECONDS,
               order_col: str = "arrival_seq", partition_col: str | None = None,
-              block: int = 1 << 16) -> DataFrame:
+              block: int = 1 << 20) -> DataFrame:
     """Flag records a per-record stream processor would drop as late.
 
     Stream time is the running max of ``event_time`` in ``order_col`` order

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window as W
 
 
 def previous_value(df: DataFrame, keys: list[str], order_col: str, value_col: str,
-                   out_col: str = "previous", block: int = 1 << 16) -> DataFrame:
+                   out_col: str = "previous", block: int = 1 << 20) -> DataFrame:
     """Add ``out_col`` = ``value_col`` of the preceding row of the same key.
 
     Equivalent to ``lag(value).over(partitionBy(keys).orderBy(order_col))``

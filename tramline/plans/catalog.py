@@ -179,7 +179,7 @@ def q_resolved_direction(spark, sf_dir):
 
 def q_latest_vehicle_snapshot(spark, sf_dir):
     t = _t(spark, sf_dir)
-    snaps = C.latest_snapshots(C.eligible(_positions(spark, sf_dir), ST.trip_directions(t["trips"])))
+    snaps = C.latest_snapshots_reduced_first(_positions(spark, sf_dir), ST.trip_directions(t["trips"]))
     return snaps.select("route_id", "direction_id", X.epoch_ms("w.start").alias("window_start"),
                         "vehicle_id", F.col("seq").alias("current_stop_sequence"), "feed_ts",
                         "arrival_seq")
