@@ -79,3 +79,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def stream_checkpoint(spark: SparkSession, name: str) -> str:
+    """Checkpoint location for a named streaming query, under the shared
+    checkpoint folder (so a restarted driver resumes where it stopped)."""
+    return f"{checkpoint_root(spark)}/streams/{name}"

@@ -34,6 +34,7 @@ from ..functions import exprs as X
 from ..operators import alerts as A
 from ..operators import crowding as C
 from ..operators import delay as D
+from ..session import stream_checkpoint
 
 
 # ---------------------------------------------------------------------------
@@ -76,8 +77,10 @@ def ripples_batch_writer(feeders: DataFrame, path: str, fmt: str = "parquet"):
     return write
 
 
-def start_ripples(alerts: DataFrame, feeders: DataFrame, path: str, checkpoint: str,
+def start_ripples(alerts: DataFrame, feeders: DataFrame, path: str, checkpoint: str | None = None,
                   trigger: dict | None = None):
+    """Start the ripple job; the checkpoint defaults to the shared checkpoint folder."""
+    checkpoint = checkpoint or stream_checkpoint(alerts.sparkSession, "ripples")
     w = (alerts.writeStream.foreachBatch(ripples_batch_writer(feeders, path))
          .option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"availableNow": True})).start()
