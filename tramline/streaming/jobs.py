@@ -40,16 +40,22 @@ from ..session import stream_checkpoint
 # ---------------------------------------------------------------------------
 # J3 / J4: windowed jobs
 # ---------------------------------------------------------------------------
-def delay_scores_stream(positions: DataFrame, headways: DataFrame, window: str = X.WINDOW,
-                        grace: str = X.GRACE, tz: str = X.LOCAL_TZ) -> DataFrame:
-    """Streaming delay scores (append mode); ``headways`` is a static DataFrame."""
+def route_windows_stream(positions: DataFrame, window: str = X.WINDOW,
+                         grace: str = X.GRACE) -> DataFrame:
+    """Distinct vehicles per closed (route, window) as a chain of two stateful
+    aggregates (append mode)."""
     timed = D.route_present(positions).withWatermark("event_time", grace)
     per_vehicle = (timed.groupBy("route_id", F.window("event_time", window).alias("w"), "vehicle_id")
                    .agg(F.count(F.lit(1)).alias("_records")))
-    windows = (per_vehicle
-               .groupBy("route_id", F.window(F.window_time("w"), window).alias("w"))
-               .agg(F.count(F.lit(1)).alias("vehicles")))
-    return D.score_windows(windows, headways, tz=tz)
+    return (per_vehicle
+            .groupBy("route_id", F.window(F.window_time("w"), window).alias("w"))
+            .agg(F.count(F.lit(1)).alias("vehicles")))
+
+
+def delay_scores_stream(positions: DataFrame, headways: DataFrame, window: str = X.WINDOW,
+                        grace: str = X.GRACE, tz: str = X.LOCAL_TZ) -> DataFrame:
+    """Streaming delay scores (append mode); ``headways`` is a static DataFrame."""
+    return D.score_windows(route_windows_stream(positions, window, grace), headways, tz=tz)
 
 
 def crowding_stream(positions: DataFrame, trips: DataFrame, headways: DataFrame,
