@@ -445,3 +445,11 @@ def test_reduced_first_snapshots_equal_per_record_path(spark):
     a = C.latest_snapshots(C.eligible(pos, trips))
     b = C.latest_snapshots_reduced_first(pos, trips)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 1000
+
+
+def test_alerts_without_ripples_reports_unmatched(spark):
+    a = alerts_df(spark, [("61", True, "matched", ["1"], ["99999"]), ("62", True, "elevator", ["7"], ["12345"]),
+                          ("63", True, "same sets as 61", ["1"], ["99999", "99999"])])
+    assert [r.alert_id for r in A.alerts_without_ripples(a, demo_feeders(spark)).collect()] == ["62"]
+    rip = {(r.source_alert_id, r.feeder_route_id) for r in A.ripples(a, demo_feeders(spark)).collect()}
+    assert rip == {("61", "300"), ("61", "97"), ("61", "6"), ("63", "300"), ("63", "97"), ("63", "6")}

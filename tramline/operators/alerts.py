@@ -52,31 +52,37 @@ def current_alerts(alerts: DataFrame) -> DataFrame:
 def ripples(alerts: DataFrame, feeders: DataFrame) -> DataFrame:
     """Every alert version cascaded to the feeder routes of its stations (J-4, F-13, A-4, X-11).
 
-    ``station_id = ANY(stops)`` becomes an explode of the distinct stops and
-    an equi-join with ``station_feeder_routes`` (a reference table; joined
-    as is, broadcast when its measured size allows). The alert's own routes
-    are excluded; a route feeding several affected stations keeps the
-    closest (ties: smallest station_id). Tombstones yield nothing.
+    Which feeder routes a version reaches, and through which station, depends
+    only on its *set* of stops and *set* of own routes, and versions repeat
+    the same sets over and over. So the cascade is computed once per distinct
+    (stops, routes) combination — ``station_id = ANY(stops)`` as an explode
+    and an equi-join with ``station_feeder_routes``; own routes excluded; a
+    route feeding several stations keeps the closest (ties: smallest
+    station_id) — and joined back to the versions on the combination.
+    Tombstones yield nothing.
     """
+    stops = F.array_sort(F.array_distinct(F.coalesce("affected_stop_ids", F.array().cast("array<string>"))))
+    own = F.array_sort(F.array_distinct(F.coalesce("affected_route_ids", F.array().cast("array<string>"))))
     versions = alerts.where(F.col("has_body")).select(
-        "alert_id", "effect", "header_text", "affected_route_ids", "arrival_seq", "event_time",
-        F.explode(F.array_distinct("affected_stop_ids")).alias("station_id"))
-    matched = (versions.join(feeders, "station_id")
-               .where(~F.coalesce(F.array_contains("affected_route_ids", F.col("route_id")),
-                                  F.lit(False))))
-    closest = matched.groupBy("alert_id", "arrival_seq", "route_id").agg(
-        F.min_by(F.struct("station_name", "effect", "header_text", "event_time"),
-                 F.struct("distance_meters", "station_id")).alias("c"))
-    return closest.select(
+        "alert_id", "effect", "header_text", "arrival_seq", "event_time",
+        stops.alias("_stops"), own.alias("_own"))
+    combos = versions.select("_stops", "_own").distinct()
+    reached = (combos.select("_stops", "_own", F.explode("_stops").alias("station_id"))
+               .join(feeders, "station_id")
+               .where(~F.array_contains("_own", F.col("route_id")))
+               .groupBy("_stops", "_own", "route_id")
+               .agg(F.min_by("station_name", F.struct("distance_meters", "station_id"))
+                    .alias("station_name")))
+    return versions.join(reached, ["_stops", "_own"]).select(
         X.ripple_id("alert_id", "route_id").alias("ripple_id"),
         F.col("alert_id").alias("source_alert_id"),
-        F.col("c.effect").alias("source_effect"),
-        F.col("c.station_name").alias("affected_station"),
+        F.col("effect").alias("source_effect"),
+        F.col("station_name").alias("affected_station"),
         F.col("route_id").alias("feeder_route_id"),
         F.lit(X.PREDICTED_IMPACT).alias("predicted_impact"),
-        X.ripple_header("route_id", "c.station_name", "c.header_text").alias("header_text"),
+        X.ripple_header("route_id", "station_name", "header_text").alias("header_text"),
         "arrival_seq",
-        F.col("c.event_time").alias("written_at"))
+        F.col("event_time").alias("written_at"))
 
 
 def alerts_without_ripples(alerts: DataFrame, feeders: DataFrame) -> DataFrame:
