@@ -453,3 +453,16 @@ def test_alerts_without_ripples_reports_unmatched(spark):
     assert [r.alert_id for r in A.alerts_without_ripples(a, demo_feeders(spark)).collect()] == ["62"]
     rip = {(r.source_alert_id, r.feeder_route_id) for r in A.ripples(a, demo_feeders(spark)).collect()}
     assert rip == {("61", "300"), ("61", "97"), ("61", "6"), ("63", "300"), ("63", "97"), ("63", "6")}
+
+
+def test_client_state_and_counters(spark):
+    pos = positions(spark, [("V1", "504", 3, 0, 0), ("V1", "504", None, 0, 30), ("V2", "505", 4, 0, 10)])
+    est = spark.createDataFrame(
+        [("V1", "504", 0, None, None, 5.0, "NORMAL", 1000), ("V1", "504", 0, None, None, 5.0, "LIKELY_CROWDED", 2000),
+         ("V9", "504", 0, None, None, 5.0, "LIKELY_EMPTY", 2000)], schemas.CROWDING_ESTIMATE)
+    state = {r.vehicle_id: r for r in LV.client_vehicle_state(pos, est).collect()}
+    assert set(state) == {"V1", "V2"}                       # V9 is not a known vehicle
+    assert state["V1"].crowding_level == "LIKELY_CROWDED" and state["V1"].current_stop_sequence == 3
+    assert state["V2"].crowding_level is None
+    counts = {r.counter: r.value for r in LV.live_counts(pos, est, est.limit(1)).collect()}
+    assert counts == {"vehicles": 3, "alerts": 3, "ripples": 1}

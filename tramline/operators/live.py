@@ -212,3 +212,35 @@ def peek(records: DataFrame, value_col: str = "value", n: int = 10, last: bool =
     looking = records.where(F.col(value_col).startswith("{"))
     ordered = looking.orderBy(F.col(order).desc() if last else F.col(order).asc())
     return ordered.limit(n)
+
+
+def client_vehicle_state(positions: DataFrame, estimates: DataFrame) -> DataFrame:
+    """A-14 + J-13: the client's merged vehicle state.
+
+    Sparse position messages merge field by field (``sticky_state``); a
+    crowding message only sets ``crowding_level`` on a vehicle already known
+    from positions (the latest estimate per vehicle, by window end).
+    """
+    latest_level = latest_by_key(keyed_messages(estimates, "vehicle_id")
+                                 .select("vehicle_id", "window_end", "route_id", "direction_id",
+                                         "crowding_level"),
+                                 ["vehicle_id"], ["window_end", "route_id", "direction_id"])
+    return sticky_state(positions).join(latest_level.select("vehicle_id", "crowding_level"),
+                                        "vehicle_id", "left")
+
+
+def named_counts(**frames: DataFrame) -> DataFrame:
+    """A-15 counters in long form, one ``(counter, value)`` row per input:
+    live vehicles / alerts / ripples for the header, rows loaded per
+    published table. Each count is distributed; rows are tagged and unioned
+    (no cross join of single-row aggregates)."""
+    parts = [df.select(F.lit(name).alias("counter")) for name, df in frames.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("counter").agg(F.count(F.lit(1)).alias("value"))
+
+
+def live_counts(vehicles: DataFrame, alerts: DataFrame, ripples: DataFrame) -> DataFrame:
+    """A-15: the dashboard's header counters."""
+    return named_counts(vehicles=vehicles, alerts=alerts, ripples=ripples)

@@ -256,6 +256,19 @@ def q_vehicle_snapshot(spark, sf_dir):
     return _snapshot(spark, sf_dir, t).select(*VEHICLE_OUT, "crowding_level")
 
 
+def q_vehicle_client_state(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return LV.client_vehicle_state(_positions(spark, sf_dir), _crowding(spark, sf_dir, t)).select(
+        "vehicle_id", "route_id", "latitude", "longitude", "bearing", "occupancy", "trip_id",
+        "direction_id", "current_stop_sequence", "feed_ts", "arrival_seq", "crowding_level")
+
+
+def q_live_counters(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return LV.live_counts(_live_vehicles(spark, sf_dir), A.current_alerts(_alerts(spark, sf_dir)),
+                          LV.live_ripples(_ripples(spark, sf_dir, t), NOW))
+
+
 def q_map_vehicles(spark, sf_dir):
     t = _t(spark, sf_dir)
     return LV.map_vehicles(_snapshot(spark, sf_dir, t), t["routes"])
@@ -340,6 +353,8 @@ QUERIES: dict[str, Query] = {
     "live_vehicles": q_live_vehicles,
     "vehicle_sticky_state": q_vehicle_sticky_state,
     "vehicle_snapshot": q_vehicle_snapshot,
+    "vehicle_client_state": q_vehicle_client_state,
+    "live_counters": q_live_counters,
     "map_vehicles": q_map_vehicles,
     "delay_board": q_delay_board,
     "active_alerts": q_active_alerts,

@@ -288,6 +288,15 @@ ORACLE_SELECTS: dict[str, str] = {
         f"arg_max({c}, arrival_seq) filter (where {c} is not null) {c}" for c in _STICKY)
         + ", max(arrival_seq) arrival_seq from vehicle_positions where vehicle_id <> '' group by vehicle_id",
     "vehicle_snapshot": f"select {_VEH}, crowding_level from v_snapshot",
+    "vehicle_client_state": "select s.*, c.crowding_level from (select vehicle_id, " + ", ".join(
+        f"arg_max({c}, arrival_seq) filter (where {c} is not null) {c}" for c in _STICKY)
+        + ", max(arrival_seq) arrival_seq from vehicle_positions where vehicle_id <> '' group by vehicle_id) s"
+        + " left join (select vehicle_id, crowding_level from (select *, row_number() over (partition by vehicle_id"
+        + " order by window_end desc, route_id desc, direction_id desc) rn from c_out where vehicle_id <> '')"
+        + " where rn = 1) c on c.vehicle_id = s.vehicle_id",
+    "live_counters": """select 'vehicles' counter, count(*) "value" from v_live
+        union all select 'alerts', count(*) from a_current
+        union all select 'ripples', count(*) from r_live""",
     "map_vehicles": """select s.vehicle_id, s.route_id, s.latitude, s.longitude,
         case when t.route_type = 1 then 'subway' when t.route_type = 0 then 'streetcar' else 'bus' end vehicle_kind,
         case when s.crowding_level in ('NORMAL', 'LIKELY_CROWDED', 'LIKELY_EMPTY', 'UNKNOWN') then s.crowding_level
