@@ -466,3 +466,27 @@ def test_client_state_and_counters(spark):
     assert state["V2"].crowding_level is None
     counts = {r.counter: r.value for r in LV.live_counts(pos, est, est.limit(1)).collect()}
     assert counts == {"vehicles": 3, "alerts": 3, "ripples": 1}
+
+
+def test_insert_ignore_and_history(spark, scratch):
+    trips = spark.createDataFrame([("t1", "R2", 1), ("t1", "R1", 0), ("t2", "R3", None)],
+                                  "trip_id string, route_id string, direction_id int")
+    got = {r.trip_id: (r.route_id, r.direction_id) for r in
+           K.insert_ignore(trips, ["trip_id"], ["route_id"]).collect()}
+    assert got == {"t1": ("R1", 0), "t2": ("R3", None)}
+    delays = spark.createDataFrame([("504", 1704067200000, 1.0), ("504", 1704153600000, 2.0)],
+                                   "route_id string, window_start long, delay_score double")
+    K.append_history(delays, f"{scratch}/hist")
+    K.append_history(delays.limit(1), f"{scratch}/hist")
+    hist = spark.read.parquet(f"{scratch}/hist")
+    by_day = {str(r.service_date): r["count"] for r in hist.groupBy("service_date").count().collect()}
+    assert by_day == {"2023-12-31": 2, "2024-01-01": 1}   # local (Toronto) service dates
+
+
+def test_write_stream_keyed_json(spark, scratch):
+    rows = spark.createDataFrame([("V1", 1, None), ("V2", 2, 0.5)], "vehicle_id string, seq int, gap double")
+    rows.write.parquet(f"{scratch}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{scratch}/in")
+    K.write_stream(stream, "vehicle_id", f"{scratch}/out", f"{scratch}/ck").awaitTermination()
+    out = {r.key: r.value for r in spark.read.json(f"{scratch}/out").collect()}
+    assert out == {"V1": '{"vehicle_id":"V1","seq":1}', "V2": '{"vehicle_id":"V2","seq":2,"gap":0.5}'}
