@@ -39,7 +39,7 @@ from ..session import stream_checkpoint
 
 # Reference tables joined into a stream are at most this many rows when
 # broadcast (the reference's trips lookup is ~126k rows).
-MAX_BROADCAST_ROWS = 5_000_000
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def static_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
