@@ -490,3 +490,10 @@ def test_write_stream_keyed_json(spark, scratch):
     K.write_stream(stream, "vehicle_id", f"{scratch}/out", f"{scratch}/ck").awaitTermination()
     out = {r.key: r.value for r in spark.read.json(f"{scratch}/out").collect()}
     assert out == {"V1": '{"vehicle_id":"V1","seq":1}', "V2": '{"vehicle_id":"V2","seq":2,"gap":0.5}'}
+
+
+def test_path_for_is_in_visiting_order(spark):
+    paths = spark.createDataFrame([("7", 0, "C", 9), ("7", 0, "A", 1), ("7", 0, "B", 4), ("7", 1, "Z", 1)],
+                                  "route_id string, direction_id int, stop_id string, stop_sequence int")
+    assert [r.stop_id for r in ST.path_for(paths, "7", 0).collect()] == ["A", "B", "C"]
+    assert [r.stop_id for r in ST.path_for(paths, "7", 1).collect()] == ["Z"]

@@ -279,11 +279,12 @@ def path_for(paths: DataFrame, route_id: str | None = None, direction: int = 0)
     With ``route_id=None`` the rule is applied to every route at once.
     """
     scoped = paths if route_id is None else paths.where(F.col("route_id") == route_id)
+    in_order = ["route_id", "direction_id", "stop_sequence"]          # L-3: visiting order
     if direction != 0:
-        return scoped.where(F.col("direction_id") == direction)
+        return scoped.where(F.col("direction_id") == direction).orderBy(*in_order)
     candidates = scoped.where(F.col("direction_id").isin(0, 1))
     chosen = candidates.groupBy("route_id").agg(F.min("direction_id").alias("direction_id"))
-    return candidates.join(chosen, ["route_id", "direction_id"], "left_semi")
+    return candidates.join(chosen, ["route_id", "direction_id"], "left_semi").orderBy(*in_order)
 
 
 # ---------------------------------------------------------------------------
