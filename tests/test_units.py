@@ -497,3 +497,15 @@ def test_path_for_is_in_visiting_order(spark):
                                   "route_id string, direction_id int, stop_id string, stop_sequence int")
     assert [r.stop_id for r in ST.path_for(paths, "7", 0).collect()] == ["A", "B", "C"]
     assert [r.stop_id for r in ST.path_for(paths, "7", 1).collect()] == ["Z"]
+
+
+def test_first_departure_hours_match_report_form(spark):
+    st = spark.createDataFrame(
+        [("a", "2", "07:00:00"), ("a", "1", "09:30:00"), ("b", "1", "-1:00:00"), ("c", "3", "xx:00:00"),
+         ("c", "3", "05:00:00"), ("d", "1", "xx:00:00"), ("e", "1", "26:05:00"), ("e", "1", "", )],
+        "trip_id string, stop_id string, arrival_time string").withColumnRenamed("stop_id", "stop_sequence")
+    t = ST.normalize_stop_times(st.withColumn("stop_id", F.lit("S")))
+    hours = {r.trip_id: r.hour_of_day for r in ST.first_departure_hours(t).collect()}
+    report = {r.trip_id: r.arrival_time for r in ST.first_departures(t).collect()}
+    assert hours == {"a": 9, "b": 23, "c": 5, "d": None, "e": 2}
+    assert report == {"a": "09:30:00", "b": "-1:00:00", "c": "05:00:00", "d": "xx:00:00", "e": "26:05:00"}

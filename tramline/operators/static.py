@@ -156,7 +156,7 @@ _NO_HOUR = 2147483647  # invalid departure hours sort after every valid one
 def _raw_hour(arrival: Column) -> Column:
     """Leading hour field of a GTFS time (before the modulo), or the sentinel."""
     h = F.trim(F.split_part(arrival, F.lit(":"), F.lit(1))).try_cast("int")
-    return F.when((h >= 0) & (h < _NO_HOUR), h).otherwise(F.lit(_NO_HOUR))
+    return F.coalesce(h, F.lit(_NO_HOUR))
 
 
 def _timed(stop_times: DataFrame) -> DataFrame:
@@ -184,11 +184,12 @@ def first_departure_hours(stop_times: DataFrame) -> DataFrame:
     runs as a map-side-combined hash aggregate over ``stop_times`` instead
     of a sort-based struct aggregate. Only the hour is needed downstream.
     """
+    # low 32 bits: the hour shifted into [0, 2^32) so signed hours keep their order
     key = (F.col("stop_sequence").cast("long") * F.lit(1 << 32)
-           + _raw_hour(F.col("arrival_time")).cast("long"))
+           + _raw_hour(F.col("arrival_time")).cast("long") + F.lit(1 << 31))
     firsts = _timed(stop_times).groupBy("trip_id").agg(F.min(key).alias("k"))
-    low = F.col("k").bitwiseAND(F.lit((1 << 32) - 1))
-    return firsts.select("trip_id", F.when(low != _NO_HOUR, F.pmod(low, F.lit(24)).cast("int"))
+    hour = F.col("k").bitwiseAND(F.lit((1 << 32) - 1)) - F.lit(1 << 31)
+    return firsts.select("trip_id", F.when(hour != _NO_HOUR, F.pmod(hour, F.lit(24)).cast("int"))
                          .alias("hour_of_day"))
 
 
