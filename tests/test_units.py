@@ -509,3 +509,23 @@ def test_first_departure_hours_match_report_form(spark):
     report = {r.trip_id: r.arrival_time for r in ST.first_departures(t).collect()}
     assert hours == {"a": 9, "b": 23, "c": 5, "d": None, "e": 2}
     assert report == {"a": "09:30:00", "b": "-1:00:00", "c": "05:00:00", "d": "xx:00:00", "e": "26:05:00"}
+
+
+@pytest.mark.parametrize("block,super_block", [(2, 1), (7, 3), (64, 4)])
+def test_blocked_helpers_equal_plain_windows(spark, block, super_block):
+    """Two-level blocked forms equal the plain per-key window at any block sizes."""
+    from conftest import SF_MID
+    from pyspark.sql.window import Window as W
+    from tramline.sources import testdata as TD
+    pos = D.route_present(TD.vehicle_positions(spark, SF_MID))
+    plain = pos.withColumn("st", F.max("event_time").over(
+        W.orderBy("arrival_seq").rowsBetween(W.unboundedPreceding, 0)))
+    blocked = D.mark_late(pos, block=block, super_block=super_block)
+    a = plain.select("arrival_seq", "st").exceptAll(blocked.select("arrival_seq", F.col("stream_time").alias("st")))
+    assert a.count() == 0
+    alerts = TD.service_alerts(spark, SF_MID)
+    fp = A.with_fingerprint(alerts.where("has_body"))
+    want = fp.withColumn("p", F.lag("fingerprint").over(W.partitionBy("alert_id").orderBy("arrival_seq")))
+    got = A.previous_value(fp, ["alert_id"], "arrival_seq", "fingerprint", "p", block, super_block)
+    assert want.select("arrival_seq", "p").exceptAll(got.select("arrival_seq", "p")).count() == 0
+    assert got.count() == want.count()

@@ -43,7 +43,7 @@ def main() -> None:
           "schema.\n")
     print("Notes: `Exchange SinglePartition` appears only for bounded summaries: the global pick of the "
           "calendar validity window (one partial row per task, in every query that needs headways) and the "
-          "per-block prefix table of `mark_late` (one row per 2^20 records). `SortAggregate` is Spark's path "
+          "super-block prefix table of `mark_late` (one row per 2^30 records). `SortAggregate` is Spark's path "
           "for min/max over structs and strings (tie-broken picks); the one over `stop_times` in the headway "
           "path is packed into a long and runs as a `HashAggregate`. `Window` operators are partitioned by "
           "(route, direction, window) after the per-vehicle reduction, or by (key, block) in the blocked "

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from .ordered import previous_value
+from .ordered import previous_value  # noqa: F401 (re-exported for tests)
 
 ALERT_COLUMNS = ["alert_id", "effect", "cause", "header_text", "description_text",
                  "affected_route_ids", "affected_stop_ids", "active_since", "feed_ts",
@@ -23,7 +23,7 @@ def with_fingerprint(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("fingerprint", F.to_json(X.alert_fingerprint()))
 
 
-def alert_changes(alerts: DataFrame, block: int = 1 << 20) -> DataFrame:
+def alert_changes(alerts: DataFrame, block: int = 1 << 20, super_block: int = 1 << 10) -> DataFrame:
     """Versions whose content differs from the previous published one (W-2).
 
     A -> A -> B -> A publishes three times; tombstones are not alert
@@ -31,7 +31,8 @@ def alert_changes(alerts: DataFrame, block: int = 1 << 20) -> DataFrame:
     ``lag(fingerprint)`` per alert, computed hot-key safe.
     """
     bodies = with_fingerprint(alerts.where(F.col("has_body")))
-    prev = previous_value(bodies, ["alert_id"], "arrival_seq", "fingerprint", "_prev_fp", block)
+    prev = previous_value(bodies, ["alert_id"], "arrival_seq", "fingerprint", "_prev_fp", block,
+                          super_block)
     return prev.where(~F.col("fingerprint").eqNullSafe(F.col("_prev_fp"))).drop("_prev_fp",
                                                                                 "fingerprint")
 

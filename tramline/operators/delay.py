@@ -81,7 +81,7 @@ def _window_end(ts: Column, window_s: int) -> Column:
 
 def mark_late(df: DataFrame, window_s: int = 300, grace_s: int = X.GRACE_SECONDS,
               order_col: str = "arrival_seq", partition_col: str | None = None,
-              block: int = 1 << 20) -> DataFrame:
+              block: int = 1 << 20, super_block: int = 1 << 10) -> DataFrame:
     """Flag records a per-record stream processor would drop as late.
 
     Stream time is the running max of ``event_time`` in ``order_col`` order
@@ -89,18 +89,31 @@ def mark_late(df: DataFrame, window_s: int = 300, grace_s: int = X.GRACE_SECONDS
     its window end <= stream time - grace.
 
     A running max over the whole stream would put every row in one task.
-    Instead the order is cut into blocks of ``block`` offsets: each block's
-    max is aggregated (one row per block), the exclusive prefix max across
-    blocks is taken on that small table, and inside each block (bounded size)
-    a windowed running max finishes the job. Exact, and parallel over blocks.
+    Instead the order is cut into blocks of ``block`` offsets, and blocks into
+    super-blocks of ``super_block`` blocks:
+
+    1. per-block maxima are aggregated (one row per block);
+    2. the exclusive prefix max over super-blocks runs on one row per
+       super-block (N / 2^30 rows with the defaults);
+    3. the exclusive prefix max over blocks runs per super-block;
+    4. inside each block (bounded size) a windowed running max finishes.
+
+    Exact, and every step but the tiny step 2 is partitioned.
     """
     parts = [partition_col] if partition_col else []
     with_block = df.withColumn("_blk", F.floor(F.col(order_col) / block))
-    block_max = with_block.groupBy(*parts, "_blk").agg(F.max("event_time").alias("_bmax"))
-    prefix = block_max.select(
+    block_max = (with_block.groupBy(*parts, "_blk").agg(F.max("event_time").alias("_bmax"))
+                 .withColumn("_sup", F.floor(F.col("_blk") / super_block)))
+    sup_before = (block_max.groupBy(*parts, "_sup").agg(F.max("_bmax").alias("_smax"))
+                  .select(*parts, "_sup",
+                          F.max("_smax").over(W.partitionBy(*parts).orderBy("_sup")
+                                              .rowsBetween(W.unboundedPreceding, -1))
+                          .alias("_sbefore")))
+    prefix = block_max.join(sup_before, [*parts, "_sup"], "left").select(
         *parts, "_blk",
-        F.max("_bmax").over(W.partitionBy(*parts).orderBy("_blk")
-                            .rowsBetween(W.unboundedPreceding, -1)).alias("_before"))
+        F.greatest(F.max("_bmax").over(W.partitionBy(*parts, "_sup").orderBy("_blk")
+                                       .rowsBetween(W.unboundedPreceding, -1)),
+                   F.col("_sbefore")).alias("_before"))
     inside = W.partitionBy(*parts, "_blk").orderBy(order_col).rowsBetween(W.unboundedPreceding, 0)
     marked = (with_block.join(prefix, [*parts, "_blk"], "left")
               .withColumn("stream_time", F.greatest(F.max("event_time").over(inside),

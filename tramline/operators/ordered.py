@@ -15,18 +15,30 @@ from pyspark.sql.window import Window as W
 
 
 def previous_value(df: DataFrame, keys: list[str], order_col: str, value_col: str,
-                   out_col: str = "previous", block: int = 1 << 20) -> DataFrame:
+                   out_col: str = "previous", block: int = 1 << 20,
+                   super_block: int = 1 << 10) -> DataFrame:
     """Add ``out_col`` = ``value_col`` of the preceding row of the same key.
 
     Equivalent to ``lag(value).over(partitionBy(keys).orderBy(order_col))``
-    (``order_col`` unique within a key), without a per-key partition.
+    (``order_col`` unique within a key), without a per-key partition: the
+    last value of each (key, block) is carried to the next block through
+    (key, super-block) partitions, and across super-blocks through a table
+    of one row per (key, super-block).
     """
     blocked = df.withColumn("_blk", F.floor(F.col(order_col) / block))
     last = (blocked.groupBy(*keys, "_blk")
-            .agg(F.max_by(F.col(value_col), F.col(order_col)).alias("_last")))
-    carried = last.select(
+            .agg(F.max_by(F.col(value_col), F.col(order_col)).alias("_last"),
+                 F.max(order_col).alias("_last_at"))
+            .withColumn("_sup", F.floor(F.col("_blk") / super_block)))
+    sup_carry = (last.groupBy(*keys, "_sup")
+                 .agg(F.max_by("_last", "_last_at").alias("_slast"))
+                 .select(*keys, "_sup",
+                         F.lag("_slast").over(W.partitionBy(*keys).orderBy("_sup")).alias("_scarry")))
+    in_sup = W.partitionBy(*keys, "_sup").orderBy("_blk")
+    carried = last.join(sup_carry, [*keys, "_sup"], "left").select(
         *keys, "_blk",
-        F.lag("_last").over(W.partitionBy(*keys).orderBy("_blk")).alias("_carry"))
+        F.when(F.row_number().over(in_sup) == 1, F.col("_scarry"))
+        .otherwise(F.lag("_last").over(in_sup)).alias("_carry"))
     inside = W.partitionBy(*keys, "_blk").orderBy(order_col)
     return (blocked.join(carried, [*keys, "_blk"])
             .withColumn(out_col, F.when(F.row_number().over(inside) == 1, F.col("_carry"))
