@@ -48,7 +48,7 @@ _BASE = [
  {_ET}//1000000 feed_ts, make_timestamp({_ET}) event_time from events where event_id%5=0"""),
 ]
 
-_TOR = "hour(timezone('America/Toronto', timezone('UTC', make_timestamp(({ms})*1000))))"
+_TOR = "cast(hour(timezone('America/Toronto', timezone('UTC', make_timestamp(({ms})*1000)))) as integer)"
 
 # Typed and derived tables, written straight from the job descriptions.
 _DERIVED = [
