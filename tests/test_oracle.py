@@ -10,6 +10,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 TABLES = ["nation", "orders", "supplier", "lineitem", "events"]
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+          "float": "FLOAT", "boolean": "BOOLEAN"}
 
 
 def _norm(v):
@@ -36,6 +38,9 @@ def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rel = con.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == dict(zip(rel.columns, map(str, rel.types)))
     assert _bag(df.columns, df.collect()) == _bag(rel.columns, rel.fetchall())
 
 
