@@ -13,11 +13,6 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from .ordered import previous_value  # noqa: F401 (re-exported for tests)
 
-ALERT_COLUMNS = ["alert_id", "effect", "cause", "header_text", "description_text",
-                 "affected_route_ids", "affected_stop_ids", "active_since", "feed_ts",
-                 "event_time", "arrival_seq"]
-
-
 def with_fingerprint(alerts: DataFrame) -> DataFrame:
     """X-12 as canonical JSON text: a total, null-safe identity of the content."""
     return alerts.withColumn("fingerprint", F.to_json(X.alert_fingerprint()))
