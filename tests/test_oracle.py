@@ -60,3 +60,25 @@ def test_no_query_is_driver_local():
     for name, fn in E.queries().items():
         assert fn.__module__.startswith("tramline"), name
     assert os.path.isdir(SF_SMALL)
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    """The large-scale regime: no table is small enough to broadcast."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield spark
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_query_matches_oracle_with_shuffle_joins_only(no_broadcast, con, name):
+    df = E.queries()[name](no_broadcast, SF_SMALL)
+    rel = con.sql(E.oracle_sql()[name])
+    assert _bag(df.columns, df.collect()) == _bag(rel.columns, rel.fetchall())
