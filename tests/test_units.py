@@ -529,3 +529,15 @@ def test_blocked_helpers_equal_plain_windows(spark, block, super_block):
     got = A.previous_value(fp, ["alert_id"], "arrival_seq", "fingerprint", "p", block, super_block)
     assert want.select("arrival_seq", "p").exceptAll(got.select("arrival_seq", "p")).count() == 0
     assert got.count() == want.count()
+
+
+def test_mark_late_per_partition_stream_time(spark):
+    """With a partition column, stream time advances per partition: a record is
+    late only relative to its own partition's history."""
+    pos = positions(spark, [("V1", "504", 1, 0, 10), ("V2", "504", 1, 0, 400), ("V3", "504", 1, 0, 20),
+                            ("V4", "504", 1, 0, 30)])
+    part = pos.withColumn("part", F.when(F.col("vehicle_id").isin("V1", "V2", "V3"), 0).otherwise(1))
+    for block, sup in ((1 << 20, 1 << 10), (1, 1)):
+        late = {r.vehicle_id for r in D.mark_late(part, partition_col="part", block=block, super_block=sup)
+                .where("is_late").collect()}
+        assert late == {"V3"}              # V4 (partition 1) never saw the +400 s record
