@@ -57,16 +57,9 @@ class _Table(dict):
 
 
 def _marks(pieces) -> set[str]:
-    """Characters other than letters and digits that no piece holds right after a letter, a
-    digit or any character that is not such a mark."""
-    before: dict[str, set[str]] = {}
-    for piece in pieces:
-        for a, b in zip(piece, piece[1:]):
-            before.setdefault(b, set()).add(a)
-    marks = {c for piece in pieces for c in piece if not c.isalnum() and c != SPACE}
-    while reached := {c for c in marks if before.get(c, set()) - marks - {SPACE}}:
-        marks -= reached
-    return marks
+    """Characters that no piece holds right after a letter."""
+    after_letter = {b for piece in pieces for a, b in zip(piece, piece[1:]) if a.isalpha()}
+    return {c for piece in pieces for c in piece if not c.isalpha() and c != SPACE} - after_letter
 
 
 class PieceModel:
@@ -89,13 +82,20 @@ class PieceModel:
                 self.silent.add(i)
             elif not lib.is_unknown(i):
                 self.known[piece] = (lib.get_score(i), i)
+        raw = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.silent
+               else p.replace(SPACE, " ").encode() for i, p in enumerate(self.surface)]
+        self.piece_size = np.array([len(r) for r in raw], np.int64)
+        self.piece_at = np.cumsum(self.piece_size) - self.piece_size
+        self.piece_bytes = np.frombuffer(b"".join(raw), np.uint8)
+        self.piece_spaced = np.array([p[:1] == SPACE for p in self.surface], np.int64)
         if any(SPACE in p.lstrip(SPACE) for p in self.known):
             raise ValueError("a piece holds a space symbol after another character; texts cannot be cut at spaces")
         if len(self.byte_id) != 256:
             raise ValueError("the vocabulary has no byte pieces")
-        alone = re.escape("".join(c for c in "\n\r\t" if not any(c in p for p in self.known)) or SPACE)
-        marks = re.escape("".join(sorted(_marks(self.known))) or SPACE)
-        self.parts = re.compile(f"{SPACE}*[^{SPACE}{alone}{marks}]+|{SPACE}*[{marks}][^{SPACE}{alone}]*|[{alone}]|{SPACE}+")
+        self.line_ends = not any("\n" in p for p in self.known)  # no piece reaches across a line end
+        self.parts = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*" if self.line_ends else f"{SPACE}+[^{SPACE}]*")
+        marks = re.escape("".join(sorted(_marks(self.known))))
+        self.stem = re.compile(f"({SPACE}[^\\W\\d_]+)([{marks}].*)", re.S) if marks else re.compile("(?!)")
         self.joined = _Table()
 
     def merge(self, part: str) -> list[int]:
@@ -139,54 +139,60 @@ class PieceModel:
                     ids.extend(self.byte_id[b] for b in s.encode())
         return ids
 
-    def spelled(self, ids) -> str:
-        """The text of ids, the space in front included."""
-        out, pending = [], bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                pending.append(self.byte_of[i])
-                continue
-            if pending:
-                out.append(pending.decode(errors="replace"))
-                pending.clear()
-            if i not in self.silent:
-                out.append(self.surface[i])
-        if pending:
-            out.append(pending.decode(errors="replace"))
-        return "".join(out).replace(SPACE, " ")
-
-    def decode(self, ids) -> str:
-        return self.spelled(ids)[1:]
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """Texts of ids that lie end to end, text k in ids[ends[k]:ends[k + 1]]: the bytes of all
+        pieces in a row, without the space that the model puts in front of a text."""
+        size = self.piece_size[ids]
+        first = ends[:-1][ends[1:] > ends[:-1]]
+        skip = np.zeros(len(ids), np.int64)
+        skip[first] = self.piece_spaced[ids[first]]
+        upto = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(size - skip, out=upto[1:])
+        begin = self.piece_at[ids] + skip
+        spelled = self.piece_bytes[np.repeat(begin - upto[:-1], size - skip) + np.arange(upto[-1])]
+        return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(upto[ends].astype(np.int32)), pa.py_buffer(spelled))
 
     def cut(self, text: str) -> list[str]:
-        return self.parts.findall(SPACE + text.replace(" ", SPACE)) if text else []
-
-    def learn(self, parts) -> None:
-        """Encode parts, check them against the library, remember them."""
-        new = self.joined.lacks(parts)
+        """Keys of the parts: a part without the space symbol in front, or one that a line end begins."""
+        line = text.replace("\n", " \n") if self.line_ends else text
+        if SPACE in line or "  " in line or line[:1] in ("", " ") or line[-1] == " " or line[:2] == " \n":
+            whole = self.parts.findall(SPACE + text.replace(" ", SPACE)) if text else []
+            return [p[1:] if p[0] == SPACE else p for p in whole]
+        return line.split(" ")
+
+    def learn(self, keys) -> None:
+        """Encode the parts of keys, check them against the library, remember them."""
+        new = self.joined.lacks(keys)
         if not new:
             return
-        lead = [p[0] == SPACE for p in new]  # others stood after a line end or a letter
-        asked = self.library.encode([(p[1:] if at else "\n" + p).replace(SPACE, " ") for p, at in zip(new, lead, strict=True)],
-                                    num_threads=1)
-        line = len(self.library.encode("\n"))
-        for part, at, theirs in zip(new, lead, asked, strict=True):
-            ids = self.merge(part)
-            # the library puts a space symbol in front and gives no ids for nothing
-            if (theirs[line:] != ids) if not at else (theirs != ids and len(part) > 1):
+        # the library puts a space symbol in front and gives no ids for nothing
+        asked = self.library.encode([k.replace(SPACE, " ") for k in new], num_threads=1)
+        alone = f"{self.known[SPACE][1]}"
+        for key, theirs in zip(new, asked, strict=True):
+            inner = self.line_ends and key[:1] == "\n"
+            part = key if inner else SPACE + key
+            cut = self.stem.fullmatch(part)
+            if cut and cut[1][1:].isalpha():
+                stem = cut[1][1:]
+                if stem not in self.joined and stem not in self.joined.older:
+                    self.joined[stem] = self.spell(cut[1])
+                ids = f"{self.joined[stem]},{self.spell(cut[2])}"
+            else:
+                ids = self.spell(part)
+            if ",".join(map(str, theirs)) != (f"{alone},{ids}" if inner else ids) and key:
                 raise ValueError(f"encoding of {part!r} differs from the library: {ids} and {theirs}")
-            if self.spelled(ids) != part.replace(SPACE, " "):
-                raise ValueError(f"{part!r} does not decode to itself: {ids}")
-            self.joined[part] = ",".join(map(str, ids))
+            self.joined[key] = ids
 
-    def texts(self, texts: list[str | None]) -> list[tuple[str, str]]:
-        """(ids in decimal joined by commas, decoded text) of each text."""
+    def spell(self, part: str) -> str:
+        return ",".join(map(str, self.merge(part)))
+
+    def texts(self, texts: list[str | None]) -> list[str]:
+        """Ids of each text, in decimal joined by commas."""
         cuts = [self.cut(t) if t else [] for t in texts]
         self.joined.trim(REMEMBERED)
         self.learn(set().union(*cuts))
         ids = self.joined.__getitem__
-        # every remembered part has been seen to decode to itself
-        return [(",".join(map(ids, parts)), "".join(parts)[1:].replace(SPACE, " ")) for parts in cuts]
+        return [",".join(map(ids, keys)) for keys in cuts]
 
 
 @lru_cache(maxsize=4)
@@ -216,16 +222,13 @@ def encoded(docs: DataFrame, model_path: str, *, ids_as: str = "array", keep: li
             for start in range(0, batch.num_rows, ROWS_PER_STEP):
                 part = batch.slice(start, ROWS_PER_STEP)
                 got = m.texts(part.column(at).to_pylist())
-                counts = pa.array([ids.count(",") + 1 if ids else 0 for ids, _ in got], pa.int64())
-                if ids_as == "array":
-                    flat = np.fromstring(",".join(ids for ids, _ in got if ids), dtype=np.int32, sep=",")
-                    ends = np.zeros(len(got) + 1, np.int32)
-                    np.cumsum(counts.to_numpy(), out=ends[1:])
-                    ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
-                else:
-                    ids = pa.array([ids for ids, _ in got], pa.string())
+                counts = np.array([ids.count(",") + 1 if ids else 0 for ids in got], np.int64)
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                flat = np.fromstring(",".join(filter(None, got)), dtype=np.int32, sep=",") if ends[-1] else np.zeros(0, np.int32)
+                ids = (pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)) if ids_as == "array"
+                       else pa.array(got, pa.string()))
                 columns = [part.column(i) for i in range(n_keep)]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, counts, ids, pa.array([t for _, t in got], pa.string())], names=[*keep, "n_tokens", "ids", "decoded"])
+                    [*columns, pa.array(counts), ids, m.decode(flat, ends)], names=[*keep, "n_tokens", "ids", "decoded"])
 
     return source.mapInArrow(step, schema)

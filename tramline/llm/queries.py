@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from pyspark.sql import functions as F
+
+from . import exact_dedup, pieces
 from .common import read_table
 
 
+def piece_model() -> str:
+    """The public merge-type vocabulary; its file is the operator's parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op2_sentencepiece(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    coded = pieces.encoded(docs, piece_model(), ids_as="text", keep=["doc_id"])
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.classes(read_table(spark, sf_dir, "documents")).drop("chars")
 
 
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
