@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, pieces
+from . import exact_dedup, extend_dedup, pieces
 from .common import read_table
 
 
@@ -22,16 +22,37 @@ def op2_sentencepiece(spark, sf_dir):
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_substring_dedup(spark, sf_dir):
+    found = extend_dedup.deduplicated(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.classes(read_table(spark, sf_dir, "documents")).drop("chars")
 
 
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op5_substring_dedup": op5_substring_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op5_substring_dedup": r"""
+        with t as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+             v as (select doc_id, s, array_to_string(list_slice(w, s, s + 19), ' ') as body
+                   from (select doc_id, w, unnest(range(1, len(w) - 18)) as s from t)),
+             g as (select doc_id, s, row_number() over (partition by body order by doc_id, s) > 1 as later from v),
+             h as (select distinct doc_id, unnest(range(s, s + 20)) as p from g where later),
+             x as (select doc_id, w, unnest(range(1, len(w) + 1)) as p from t),
+             k as (select x.doc_id, x.p, x.w[x.p] as word, h.p is not null as gone
+                   from x left join h on x.doc_id = h.doc_id and x.p = h.p),
+             a as (select doc_id, count(*) filter (gone) as n_removed,
+                          coalesce(string_agg(word, ' ' order by p) filter (not gone), '') as body
+                   from k group by doc_id)
+        select t.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_removed, 0) as n_removed,
+               sha256(coalesce(body, '')) as kept_sha256
+        from t left join a on t.doc_id = a.doc_id""",
     "op9_exact_dedup": r"""
         with t as (select doc_id, length(coalesce(text, '')) as chars,
                           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') as body
