@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, extend_dedup, pieces
+from . import exact_dedup, extend_dedup, pieces, run_index
 from .common import read_table
 
 
@@ -31,10 +31,16 @@ def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.classes(read_table(spark, sf_dir, "documents")).drop("chars")
 
 
+def op10_run_index_dedup(spark, sf_dir):
+    found = run_index.deduplicated(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op5_substring_dedup": op5_substring_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_run_index_dedup": op10_run_index_dedup,
 }
 
 ORACLE_SQL = {

@@ -130,14 +130,15 @@ class Held:
             yield settle(*columns, self.window, self.keep_first)
 
 
-def seeded(docs: DataFrame, items, window: int, gram: int, keep_first: bool) -> DataFrame:
+def seeded(docs: DataFrame, items, window: int, gram: int, keep_first: bool,
+           block: int = A.BLOCK_BYTES) -> DataFrame:
     """STRETCH rows of documents (id, text); ``items(data, offsets)`` gives (values, first)."""
 
     def step(batches):
         held = Held(window, keep_first)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for row, data, offsets in A.blocks(batch.column(1)):
+            for row, data, offsets in A.blocks(batch.column(1), block):
                 values, first = items(data, offsets)
                 lo, hi, key1, key2 = stretches(values, first, window, gram)
                 doc = np.searchsorted(first, lo, "right") - 1
