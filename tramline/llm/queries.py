@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, extend_dedup, pieces, run_index
+from . import decontaminate, exact_dedup, extend_dedup, pieces, run_index
 from .common import read_table
 
 
@@ -22,6 +22,13 @@ def op2_sentencepiece(spark, sf_dir):
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_decontamination(spark, sf_dir):
+    found = decontaminate.judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                                 keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 def op5_substring_dedup(spark, sf_dir):
     found = extend_dedup.deduplicated(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -38,12 +45,35 @@ def op10_run_index_dedup(spark, sf_dir):
 
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op4_decontamination": op4_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_run_index_dedup": op10_run_index_dedup,
 }
 
 ORACLE_SQL = {
+    "op4_decontamination": r"""
+        with t as (select doc_id, regexp_extract_all(
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+             b as (select item_id, regexp_extract_all(
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+             q as (select distinct item_id, least(10, len(w)) as n,
+                          array_to_string(list_slice(w, s, s + least(10, len(w)) - 1), ' ') as body
+                   from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as s from b where len(w) > 0)),
+             v as (select doc_id, s, n, array_to_string(list_slice(w, s, s + n - 1), ' ') as body
+                   from (select doc_id, w, unnest(range(1, len(w) + 1)) as s from t),
+                        (select distinct n from q) where s + n - 1 <= len(w)),
+             h as (select doc_id, s, v.n, item_id from v join q on v.n = q.n and v.body = q.body),
+             i as (select doc_id, count(*) as n_items, string_agg(name, ',' order by name) as names
+                   from (select distinct doc_id, cast(item_id as varchar) as name from h) group by doc_id),
+             p as (select doc_id, count(distinct p) as n_hit
+                   from (select doc_id, unnest(range(s, s + n)) as p from h) group by doc_id)
+        select t.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+               coalesce(n_items, 0) as n_items, sha256(coalesce(names, '')) as items_sha256,
+               coalesce(n_hit, 0) > 0 as contaminated
+        from t left join i on t.doc_id = i.doc_id left join p on t.doc_id = p.doc_id""",
     "op5_substring_dedup": r"""
         with t as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
              v as (select doc_id, s, array_to_string(list_slice(w, s, s + 19), ' ') as body
