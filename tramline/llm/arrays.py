@@ -69,8 +69,8 @@ class Sums:
         return (self.sums[end] - self.sums[start]) * self.down[start]
 
 
-def blocks(column: pa.Array, limit: int = BLOCK_BYTES):
-    """(first row, bytes, offsets) of runs of rows; a null is empty."""
+def blocks(column: pa.Array, limit: int = BLOCK_BYTES, rows: int = 1 << 30):
+    """(first row, bytes, offsets) of runs of rows, by bytes and number; a null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column, "").cast(pa.large_string())
@@ -80,7 +80,7 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES):
     row = 0
     while row < len(column):
         after = int(np.searchsorted(ends, ends[row] + limit, "right")) - 1
-        after = min(max(after, row + 1), len(column))
+        after = min(max(after, row + 1), row + rows, len(column))
         yield row, data[ends[row]: ends[after]], ends[row: after + 1] - ends[row]
         row = after
 

@@ -76,7 +76,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed and kept (the words that stay, joined by one space) per document."""
-    docs = seeds.keyed(docs)
+    docs, _ = seeds.keyed(docs)
     spans = seeds.spans_by_doc(repeats(docs, window, gram))
     joined = docs.join(spans, "id", "left").select("doc_id", "text", "spans")
     schema = "doc_id {}, n_words long, n_removed long, kept string".format(docs.schema["doc_id"].dataType.simpleString())

@@ -215,7 +215,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (binary: the bytes that stay) per document."""
-    docs = seeds.keyed(docs)
+    docs, _ = seeds.keyed(docs)
     spans = seeds.spans_by_doc(repeats(docs, window, gram))
     joined = docs.join(spans, "id", "left").select("doc_id", "text", "spans")
     schema = "doc_id {}, n_bytes long, n_removed long, n_spans long, kept binary".format(
