@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, extend_dedup, near_dedup, pieces, run_index
+from . import decontaminate, exact_dedup, extend_dedup, near_dedup, ordinal_quality, pieces, run_index
 from .common import read_table
 
 
@@ -34,6 +34,11 @@ def op5_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_quality_classifier(spark, sf_dir):
+    ratings = ordinal_quality.rated(read_table(spark, sf_dir, "labels"))
+    return ordinal_quality.judged(read_table(spark, sf_dir, "documents"), ratings, keep=["doc_id"])
+
+
 def op8_near_dedup(spark, sf_dir):
     return near_dedup.classes(read_table(spark, sf_dir, "documents")).drop("id")
 
@@ -51,6 +56,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op4_decontamination": op4_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_near_dedup": op8_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_run_index_dedup": op10_run_index_dedup,
