@@ -55,3 +55,9 @@ def sized(keys: DataFrame, rows: int, width: int) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shielded(docs: DataFrame, own) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with every column that is named as one of ``own`` renamed, and the way back."""
+    names = {c: f"__theirs_{i}" for i, c in enumerate(docs.columns) if c in own}
+    return docs.withColumnsRenamed(names), {v: k for k, v in names.items()}

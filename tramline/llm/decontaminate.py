@@ -160,10 +160,13 @@ def query_blocks(benchmark: DataFrame, window: int) -> list:
     return [spark.sparkContext.broadcast(Queries([tuple(r) for r in b.collect()], window)) for b in blocks]
 
 
+OWN = ("n_words", "n_hit", "items", "contaminated")
+
+
 def judged(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns of docs (all by default), then n_words, n_hit, items (array of item ids,
     sorted as strings) and contaminated. Columns of docs with these names are left out."""
-    own = ["n_words", "n_hit", "items", "contaminated"]
+    own = list(OWN)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in own]
     at = keep.index("text") if "text" in keep else len(keep)
     source = docs.select(*keep, *([] if "text" in keep else ["text"]))
@@ -201,10 +204,10 @@ def judged(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, keep:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW) -> DataFrame:
-    """The documents that hold no window of the benchmark, with all their columns but those
-    that ``judged`` would replace."""
-    found = judged(docs, benchmark, window=window)
-    return found.filter("not contaminated").select(*[c for c in docs.columns if c in found.columns])
+    """The documents that hold no window of the benchmark, with all their columns."""
+    safe, back = common.shielded(docs, OWN)
+    found = judged(safe, benchmark, window=window).filter("not contaminated")
+    return found.select(*safe.columns).withColumnsRenamed(back)
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW) -> DataFrame:

@@ -224,9 +224,27 @@ def links(reps: DataFrame, docs: DataFrame) -> DataFrame | None:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id that can be reached), kept, and id
-    (the key of ``seeds.keyed``) of every document."""
-    docs, numbered = seeds.keyed(docs)
+    """doc_id, n_shingles, component_id (the smallest doc_id that can be reached) and kept of
+    every document."""
+    return _classes(*seeds.keyed(docs)).drop("id")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The first document of every component, with all columns."""
+    keyed, numbered = seeds.keyed(docs)
+    found = common.stage(_classes(keyed, numbered).select("id", "kept", "n_shingles"), "near-classes")
+    if not numbered:
+        gone = common.stage(found.filter("not kept").select(F.col("id").alias("__id")), "gone")
+        return docs.join(common.sized(gone, gone.count(), 24), docs["doc_id"] == gone["__id"], "left_anti")
+    ruled = (keyed.join(found, "id").groupBy(F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
+             .agg(F.max("kept").alias("__kept"), F.max("n_shingles").alias("__n")).filter("__kept"))
+    stay = docs.join(ruled, common.same(docs["doc_id"], F.col("__id")) & common.same(docs["text"], F.col("__text")))
+    return (stay.filter("__n = 0").unionByName(stay.filter("__n > 0").dropDuplicates(["__id", "__text"]))
+            .select(*docs.columns))
+
+
+def _classes(docs: DataFrame, numbered: bool) -> DataFrame:
+    """``classes`` with id, the key of ``seeds.keyed``."""
     profiles = common.stage(_profiles(docs), "profiles")
     reps = common.stage(
         profiles.filter("n > 0").groupBy("set1", "set2", "n").agg(F.min(F.struct("id", "bands")).alias("first"))

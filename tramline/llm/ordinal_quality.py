@@ -151,10 +151,13 @@ def trained(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> tuple[
     return np.frombuffer(found[0], np.float32).astype(float), np.frombuffer(found[1], float)
 
 
+OWN = ("n_words", "expected_grade", "p_good", "selected")
+
+
 def judged(docs: DataFrame, ratings: DataFrame, *, sample: int = SAMPLE, keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns of docs (all by default), then n_words, expected_grade, p_good and selected.
     Columns of docs with these names are left out."""
-    own = ["n_words", "expected_grade", "p_good", "selected"]
+    own = list(OWN)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in own]
     at = keep.index("text") if "text" in keep else len(keep)
     source = docs.select(*keep, *([] if "text" in keep else ["text"]))
@@ -180,6 +183,6 @@ def judged(docs: DataFrame, ratings: DataFrame, *, sample: int = SAMPLE, keep: l
 
 
 def selected(docs: DataFrame, ratings: DataFrame, *, sample: int = SAMPLE) -> DataFrame:
-    """The documents that stay, with all their columns but those that ``judged`` would replace."""
-    found = judged(docs, ratings, sample=sample)
-    return found.filter("selected").select(*[c for c in docs.columns if c in found.columns])
+    """The documents that stay, with all their columns."""
+    safe, back = common.shielded(docs, OWN)
+    return judged(safe, ratings, sample=sample).filter("selected").select(*safe.columns).withColumnsRenamed(back)
