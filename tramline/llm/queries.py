@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, extend_dedup, near_dedup, ordinal_quality, pieces, run_index
+from . import decontaminate, exact_dedup, extend_dedup, near_dedup, ordinal_quality, pieces, pii, run_index
 from .common import read_table
 
 
@@ -15,6 +15,13 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_pii(spark, sf_dir):
+    found = pii.marked(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    counts = [F.size(pii.of_kind("base", k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"),
+                        pii.joined("spans").alias("spans"))
+
+
 def op2_sentencepiece(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     coded = pieces.encoded(docs, piece_model(), ids_as="text", keep=["doc_id"])
@@ -53,6 +60,7 @@ def op10_run_index_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_sentencepiece": op2_sentencepiece,
     "op4_decontamination": op4_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
