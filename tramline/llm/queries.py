@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, extend_dedup, near_dedup, ordinal_quality, pieces, pii, run_index
-from .common import read_table
+from . import decontaminate, exact_dedup, extend_dedup, near_dedup, ordinal_quality, pieces, pii, run_index, training_order
+from .common import read_table, shared_folder
 
 
 def piece_model() -> str:
@@ -41,6 +41,16 @@ def op5_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_training_order(spark, sf_dir):
+    """The shards that were written, read again: one row per slot."""
+    import public_tokenizers as P
+
+    place = training_order.written(read_table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN,
+                                   f"{shared_folder(spark)}/training-order")
+    found = training_order.read(spark, place)
+    return found.select("slot", "shard", "number", "doc_id", "offset", "n_ids", F.sha2("ids", 256).alias("ids_sha256"))
+
+
 def op7_quality_classifier(spark, sf_dir):
     ratings = ordinal_quality.rated(read_table(spark, sf_dir, "labels"))
     return ordinal_quality.judged(read_table(spark, sf_dir, "documents"), ratings, keep=["doc_id"])
@@ -64,6 +74,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op4_decontamination": op4_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_training_order": op6_training_order,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_near_dedup": op8_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
