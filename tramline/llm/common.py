@@ -61,3 +61,16 @@ def shielded(docs: DataFrame, own) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with every column that is named as one of ``own`` renamed, and the way back."""
     names = {c: f"__theirs_{i}" for i, c in enumerate(docs.columns) if c in own}
     return docs.withColumnsRenamed(names), {v: k for k, v in names.items()}
+
+
+def keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """(id, doc_id, text), and whether id is a number of its own: id is doc_id where that is unique and never null; else documents are
+    numbered by doc_id (null first), then text, so rows that repeat a doc_id are documents of
+    their own, the smaller text first."""
+    plain = docs.select("doc_id", "text")
+    odd = plain.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null")
+    if odd.isEmpty():
+        return plain.select(F.col("doc_id").cast("long").alias("id"), "doc_id", "text"), False
+    ordered = plain.orderBy(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    numbered = stage(ordered.withColumn("id", F.monotonically_increasing_id()), "numbered")
+    return numbered.select("id", "doc_id", "text"), True

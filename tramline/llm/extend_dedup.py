@@ -13,7 +13,7 @@ about one per 8 words.
 
 Defined results: a null or empty text has no words; a text of fewer words than a window
 keeps them all; rows that repeat a doc_id, and null ids, are documents of their own
-(``seeds.keyed``), the later ones lose what the earlier ones have.
+(``common.keyed``), the later ones lose what the earlier ones have.
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ def _windows(asked: DataFrame, window: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(id, start, n): spans of words that repeat earlier ones; ``docs`` as ``seeds.keyed`` gives them."""
+    """(id, start, n): spans of words that repeat earlier ones; ``docs`` as ``common.keyed`` gives them."""
     rows = common.stage(_settled(seeds.seeded(docs, _items, window, gram, True), window), "stretches")
     asked, count = seeds.requests(rows.filter("not covered"))
     closer = _settled(_windows(seeds.asked_texts(docs, asked, count), window), window)
@@ -76,7 +76,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed and kept (the words that stay, joined by one space) per document."""
-    docs, _ = seeds.keyed(docs)
+    docs, _ = common.keyed(docs)
     spans = seeds.spans_by_doc(repeats(docs, window, gram))
     joined = docs.join(spans, "id", "left").select("doc_id", "text", "spans")
     schema = "doc_id {}, n_words long, n_removed long, kept string".format(docs.schema["doc_id"].dataType.simpleString())

@@ -20,7 +20,7 @@ linked when equal, and need no bands.
 
 Defined results: a null text, or one without words, has an empty set and is linked with
 nothing; rows that repeat a doc_id, and null ids, are documents of their own
-(``seeds.keyed``), of which the first stays.
+(``common.keyed``), of which the first stays.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as A
-from . import common, seeds
+from . import common
 
 SHINGLE = 5
 SIMILARITY = 85  # of 100
@@ -226,12 +226,12 @@ def links(reps: DataFrame, docs: DataFrame) -> DataFrame | None:
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id that can be reached) and kept of
     every document."""
-    return _classes(*seeds.keyed(docs)).drop("id")
+    return _classes(*common.keyed(docs)).drop("id")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The first document of every component, with all columns."""
-    keyed, numbered = seeds.keyed(docs)
+    keyed, numbered = common.keyed(docs)
     found = common.stage(_classes(keyed, numbered).select("id", "kept", "n_shingles"), "near-classes")
     if not numbered:
         gone = common.stage(found.filter("not kept").select(F.col("id").alias("__id")), "gone")
@@ -244,7 +244,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
 
 def _classes(docs: DataFrame, numbered: bool) -> DataFrame:
-    """``classes`` with id, the key of ``seeds.keyed``."""
+    """``classes`` with id, the key of ``common.keyed``."""
     profiles = common.stage(_profiles(docs), "profiles")
     reps = common.stage(
         profiles.filter("n > 0").groupBy("set1", "set2", "n").agg(F.min(F.struct("id", "bands")).alias("first"))

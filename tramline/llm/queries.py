@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, extend_dedup, near_dedup, ordinal_quality, pieces, pii, run_index, training_order
+from . import decontaminate, exact_dedup, extend_dedup, line_dedup, near_dedup, ordinal_quality, pieces, pii, run_index, training_order
 from .common import read_table, shared_folder
 
 
@@ -29,6 +29,11 @@ def op2_sentencepiece(spark, sf_dir):
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_line_dedup(spark, sf_dir):
+    found = line_dedup.summary(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.concat_ws(",", F.col("kept").cast("array<string>")), 256).alias("kept_sha256"))
+
+
 def op4_decontamination(spark, sf_dir):
     found = decontaminate.judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
                                  keep=["doc_id"])
@@ -72,6 +77,7 @@ def op10_run_index_dedup(spark, sf_dir):
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_line_dedup": op3_line_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_training_order": op6_training_order,

@@ -204,7 +204,7 @@ def _crowded(texts: DataFrame, window: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(id, start, n): spans of bytes that occur elsewhere; ``docs`` as ``seeds.keyed`` gives them."""
+    """(id, start, n): spans of bytes that occur elsewhere; ``docs`` as ``common.keyed`` gives them."""
     rows = common.stage(_settled(seeds.seeded(docs, _items, window, gram, False, BLOCK), window), "stretches")
     asked, count = seeds.requests(rows.filter("alone"))
     texts = common.stage(seeds.asked_texts(docs, asked, count), "asked-texts")
@@ -215,7 +215,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (binary: the bytes that stay) per document."""
-    docs, _ = seeds.keyed(docs)
+    docs, _ = common.keyed(docs)
     spans = seeds.spans_by_doc(repeats(docs, window, gram))
     joined = docs.join(spans, "id", "left").select("doc_id", "text", "spans")
     schema = "doc_id {}, n_bytes long, n_removed long, n_spans long, kept binary".format(
