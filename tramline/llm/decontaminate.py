@@ -84,7 +84,7 @@ class Queries:
 
     def clip(self, rows: np.ndarray, words: np.ndarray, fill: int = 0) -> np.ndarray:
         """Rows with all behind the first words set to fill."""
-        raw = rows.view(np.uint8).reshape(len(rows), -1).copy()
+        raw = rows.view(np.uint8).reshape(len(rows), rows.dtype.itemsize).copy()
         raw[np.arange(raw.shape[1]) >= 4 * words[:, None]] = fill
         return raw.view(rows.dtype).reshape(-1)
 
@@ -108,8 +108,9 @@ class Shard:
             near = np.minimum(np.searchsorted(queries.vocabulary, hashes), len(queries.vocabulary) - 1)
             ids = np.where(queries.vocabulary[near] == hashes, near + 1, 0)
             # words from here that are all benchmark words, inside the document
-            stops = np.union1d(np.flatnonzero(ids == 0), first[1:])
-            left = stops[np.searchsorted(stops, np.arange(len(ids)))] - np.arange(len(ids))
+            stops = np.concatenate([np.flatnonzero(ids == 0), [len(ids)]])
+            here = np.arange(len(ids))
+            left = np.minimum(stops[np.searchsorted(stops, here)], A.run_ends(first)) - here
             at = np.flatnonzero(left >= queries.least)
             if len(at):
                 parts.append(queries.matrix(ids, at, left[at]))
@@ -133,10 +134,10 @@ class Shard:
     def longest(self, queries: Queries) -> tuple[np.ndarray, np.ndarray]:
         """For each suffix of the benchmark the length of its longest match and where in the array."""
         best, where = np.zeros(len(queries.rows), np.int64), np.zeros(len(queries.rows), np.int64)
-        if not len(self.suffixes):
+        if not len(self.suffixes) or not len(queries.rows):
             return best, where
         point = np.searchsorted(self.suffixes, queries.rows)
-        mine = queries.rows.view(">u4").reshape(len(queries.rows), -1)
+        mine = queries.rows.view(">u4").reshape(len(queries.rows), queries.rows.dtype.itemsize // 4)
         for at in (np.maximum(point - 1, 0), np.minimum(point, len(self.suffixes) - 1)):
             other = np.ascontiguousarray(self.suffixes[at]).view(">u4").reshape(mine.shape)
             equal = np.minimum(np.cumprod((mine == other) & (mine > 0), axis=1).sum(axis=1), queries.left)
