@@ -22,8 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names; only where it is unset, one of our own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="llm-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-checkpoint-"))
+        named = spark.sparkContext.getCheckpointDir()
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

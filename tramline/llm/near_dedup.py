@@ -37,6 +37,8 @@ SHINGLE = 5
 SIMILARITY = 85  # of 100
 BANDS, ROWS = 48, 8
 _TRIES = 64
+#: Bits of a set's outline: each shingle sets one.
+OUTLINE = 1024
 _SHIFT = np.uint64(10)  # hashes keep 54 bits: the rest is the document's place in a block
 
 
@@ -116,18 +118,23 @@ def _profiles(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(id, shingles: array<long>)."""
+    """(id, shingles: array<long>, outline: array<long>)."""
 
     def step(batches):
         for batch in batches:
             for row, data, offsets in A.blocks(batch.column(1), rows=1000):
                 values, first = shingle_sets(data, offsets)
+                bits = np.zeros((len(first) - 1, OUTLINE), bool)
+                bits[np.repeat(np.arange(len(bits)), np.diff(first)), (A.mix(values) % np.uint64(OUTLINE)).astype(np.int64)] = True
+                outlines = np.packbits(bits, axis=1).view(np.int64)
+                ends = np.arange(len(bits) + 1, dtype=np.int32) * outlines.shape[1]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(row, len(first) - 1),
-                    pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values.view(np.int64)))],
-                    names=["id", "shingles"])
+                    batch.column(0).slice(row, len(bits)),
+                    pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values.view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(outlines.reshape(-1)))],
+                    names=["id", "shingles", "outline"])
 
-    return docs.select("id", "text").mapInArrow(step, "id long, shingles array<long>")
+    return docs.select("id", "text").mapInArrow(step, "id long, shingles array<long>, outline array<long>")
 
 
 def _alike(inter, a, b):
@@ -197,23 +204,27 @@ def links(reps: DataFrame, docs: DataFrame) -> DataFrame | None:
     own = (sets.join(left, "id").select("id", F.explode("shingles").alias("shingle"))
            .groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("id").alias("id"))
            .filter("holders = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own")))
-    shares = common.stage(left.join(own, "id", "left").select("id", F.coalesce("own", F.lit(0)).alias("own")), "own")
+    shares = common.stage(left.join(own, "id", "left").join(sets.select("id", "outline"), "id").select(
+        "id", F.coalesce("own", F.lit(0)).alias("own"), "outline"), "own")
     rows = rows.join(shares, "id").filter(_alike(F.col("n") - F.col("own"), F.col("n"), F.col("n") - F.col("own")))
-    rows = _apart(rows.select("key", "id", "n", "own"), labels)
+    rows = _apart(rows.select("key", "id", "n", "own", "outline"), labels)
 
     def may(a, b):
         inter = F.least(F.col(f"{a}.n") - F.col(f"{a}.own"), F.col(f"{b}.n") - F.col(f"{b}.own"))
-        return (F.col(f"{a}.label") != F.col(f"{b}.label")) & _alike(inter, F.col(f"{a}.n"), F.col(f"{b}.n"))
+        both = F.col(f"{a}.n") + F.col(f"{b}.n")
+        differ = sum((F.bit_count(F.col(f"{a}.outline")[k].bitwiseXOR(F.col(f"{b}.outline")[k])) for k in range(OUTLINE // 64)), F.lit(0))
+        return ((F.col(f"{a}.label") != F.col(f"{b}.label")) & _alike(inter, F.col(f"{a}.n"), F.col(f"{b}.n"))
+                & (differ <= both - 2 * F.ceil(SIMILARITY * both / (100 + SIMILARITY))))
 
-    centre = common.stage(rows.groupBy("key").agg(F.min(F.struct("own", "id", "n", "label")).alias("y")), "centres")
-    again = (rows.select("key", F.struct("own", "id", "n", "label").alias("x")).join(centre, "key").filter(may("x", "y"))
+    centre = common.stage(rows.groupBy("key").agg(F.min(F.struct("own", "id", "n", "label", "outline")).alias("y")), "centres")
+    again = (rows.select("key", F.struct("own", "id", "n", "label", "outline").alias("x")).join(centre, "key").filter(may("x", "y"))
              .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
     again = common.stage(again.join(tried, ["a", "b"], "left_anti"), "tried-again")
     found = common.stage(found.union(_confirmed(again, sets)), "confirmed")
     labels = components(found)
 
     rows = _apart(rows, labels)
-    half = rows.select("key", F.struct("own", "id", "n", "label").alias("x"))
+    half = rows.select("key", F.struct("own", "id", "n", "label", "outline").alias("x"))
     rest = (half.join(half.withColumnRenamed("x", "y"), "key")
             .filter((F.col("x.id") < F.col("y.id")) & may("x", "y"))
             .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
