@@ -58,9 +58,9 @@ def test_crowding_level_thresholds_inclusive(spark, ratio, level):
     assert one(spark, X.crowding_level(F.lit(ratio).cast("double"))) == level
 
 
-def test_haversine(spark):
+def test_arc_metres(spark):
     # one degree of latitude
-    d = one(spark, X.haversine_m(F.lit(43.0), F.lit(-79.0), F.lit(44.0), F.lit(-79.0)))
+    d = one(spark, X.arc_metres(F.lit(43.0), F.lit(-79.0), F.lit(44.0), F.lit(-79.0)))
     assert abs(d - math.radians(1) * 6_371_000) < 1e-6
 
 
@@ -300,22 +300,21 @@ def test_reinjected_alert_and_tombstone(spark):
 
 
 def demo_feeders(spark):
-    rows = [("99999", "Bloor-Yonge", "300", 78.7), ("99972", "St George", "300", 210.3),
-            ("99999", "Bloor-Yonge", "97", 120.0), ("99972", "St George", "94", 95.5),
-            ("99999", "Bloor-Yonge", "6", 250.0), ("99999", "Bloor-Yonge", "1", 10.0)]
+    """Two made-up stations: route 41 feeds both, 7 and 88 one each, 2 is the closed line itself."""
+    rows = [("H", "Harbour", "41", 60.5), ("M", "Mill", "41", 190.0),
+            ("H", "Harbour", "7", 140.0), ("M", "Mill", "88", 20.0), ("H", "Harbour", "2", 5.0)]
     return spark.createDataFrame(rows, "station_id string, station_name string, route_id string, "
                                        "distance_meters double")
 
 
-def test_demo_alert_ripples(spark):
-    a = alerts_df(spark, [("61", True, "Line 1: No service between Bloor-Yonge and St George",
-                           ["1"], ["99999", "99972", "99999"])])
+def test_alert_reaches_feeders_of_its_stations(spark):
+    a = alerts_df(spark, [("c9", True, "Line 2 closed", ["2"], ["H", "M", "H"])])
     out = {r.feeder_route_id: r for r in A.ripples(a, demo_feeders(spark)).collect()}
-    assert set(out) == {"300", "97", "94", "6"}                  # none for route 1 (own route)
-    assert out["300"].affected_station == "Bloor-Yonge"
-    assert out["300"].ripple_id == "61-300"
-    assert out["300"].header_text == ("Feeder route 300 near Bloor-Yonge station: "
-                                      "Line 1: No service between Bloor-Yonge and St George")
+    assert set(out) == {"41", "7", "88"}                         # none for the alert's own route
+    assert out["41"].affected_station == "Harbour"               # the closer of its two stations
+    assert out["88"].affected_station == "Mill"
+    assert out["41"].ripple_id == "c9-41"
+    assert out["41"].header_text == "Feeder route 41 near Harbour station: Line 2 closed"
 
 
 def test_tombstone_yields_no_ripples(spark):
@@ -448,19 +447,20 @@ def test_reduced_first_snapshots_equal_per_record_path(spark):
 
 
 def test_alerts_without_ripples_reports_unmatched(spark):
-    a = alerts_df(spark, [("61", True, "matched", ["1"], ["99999"]), ("62", True, "elevator", ["7"], ["12345"]),
-                          ("63", True, "same sets as 61", ["1"], ["99999", "99999"])])
+    a = alerts_df(spark, [("61", True, "matched", ["2"], ["H"]), ("62", True, "elevator", ["7"], ["12345"]),
+                          ("63", True, "same sets as 61", ["2"], ["H", "H"])])
     assert [r.alert_id for r in A.alerts_without_ripples(a, demo_feeders(spark)).collect()] == ["62"]
     rip = {(r.source_alert_id, r.feeder_route_id) for r in A.ripples(a, demo_feeders(spark)).collect()}
-    assert rip == {("61", "300"), ("61", "97"), ("61", "6"), ("63", "300"), ("63", "97"), ("63", "6")}
+    assert rip == {("61", "41"), ("61", "7"), ("63", "41"), ("63", "7")}
 
 
 def test_client_state_and_counters(spark):
     pos = positions(spark, [("V1", "504", 3, 0, 0), ("V1", "504", None, 0, 30), ("V2", "505", 4, 0, 10)])
+    t0 = int(T0.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
     est = spark.createDataFrame(
-        [("V1", "504", 0, None, None, 5.0, "NORMAL", 1000), ("V1", "504", 0, None, None, 5.0, "LIKELY_CROWDED", 2000),
-         ("V9", "504", 0, None, None, 5.0, "LIKELY_EMPTY", 2000)], schemas.CROWDING_ESTIMATE)
-    state = {r.vehicle_id: r for r in LV.client_vehicle_state(pos, est).collect()}
+        [("V1", "504", 0, None, None, 5.0, "NORMAL", t0 + 1000), ("V1", "504", 0, None, None, 5.0, "LIKELY_CROWDED", t0 + 2000),
+         ("V9", "504", 0, None, None, 5.0, "LIKELY_EMPTY", t0 + 2000)], schemas.CROWDING_ESTIMATE)
+    state = {r.vehicle_id: r for r in LV.client_vehicle_state(pos, est, t0 // 1000 + 60, "event_time").collect()}
     assert set(state) == {"V1", "V2"}                       # V9 is not a known vehicle
     assert state["V1"].crowding_level == "LIKELY_CROWDED" and state["V1"].current_stop_sequence == 3
     assert state["V2"].crowding_level is None
@@ -541,3 +541,72 @@ def test_mark_late_per_partition_stream_time(spark):
         late = {r.vehicle_id for r in D.mark_late(part, partition_col="part", block=block, super_block=sup)
                 .where("is_late").collect()}
         assert late == {"V3"}              # V4 (partition 1) never saw the +400 s record
+
+
+def test_repeated_trip_ids_count_once(spark):
+    """Two rows of T1 and one T2 in an hour are two trips: a headway of 30 minutes, not 20."""
+    trips = spark.createDataFrame([("T1", "R1", "s", "0", "a"), ("T1", "R1", "s", "0", "a"), ("T2", "R1", "s", "0", "a")],
+                                  "trip_id string, route_id string, service_id string, direction_id string, shape_id string")
+    routes = spark.createDataFrame([("R1", "5", "3")], "route_id string, route_short_name string, route_type string")
+    times = spark.createDataFrame([("T1", "x", "1", "08:00:00"), ("T2", "x", "1", "08:30:00")],
+                                  "trip_id string, stop_id string, stop_sequence string, arrival_time string")
+    out = ST.scheduled_headways(ST.normalize_routes(routes), ST.normalize_trips(trips), ST.normalize_stop_times(times), None, "20240115")
+    assert [(r.hour_of_day, r.scheduled_headway_minutes) for r in out.collect()] == [(8, 30.0)]
+
+
+def test_tombstones_do_not_reach_live_views(spark):
+    a = alerts_df(spark, [("Y", True, "stays", ["2"], ["s"]), ("Y", False, None, None, None)])
+    assert A.current_alerts(a).count() == 0
+    assert [r.header_text for r in A.last_bodies(a).collect()] == ["stays"]
+
+
+def test_client_forgets_a_silent_vehicle(spark):
+    """Old fields go with the vehicle; a level counts only while it is known."""
+    rows = [("V", 0, "FULL", 1), ("V", 1000, None, 2), ("V", 1100, None, 3), ("W", 1000, "EMPTY", 4), ("X", 100, "FULL", 5)]
+    pos = spark.createDataFrame([(v, t, o, s, "1", 1.0, 1.0, None, None, t, None, None, None) for v, t, o, s in rows],
+                                "vehicle_id string, at long, occupancy string, arrival_seq long, route_id string, latitude double, longitude double, "
+                                "bearing float, speed float, feed_ts long, trip_id string, direction_id int, current_stop_sequence int")
+    pos = pos.withColumn("received_at", F.timestamp_seconds("at"))
+    levels = spark.createDataFrame([("V", 900_000, "1", 0, "NORMAL"), ("W", 1_010_000, "1", 0, "LIKELY_EMPTY")],
+                                   "vehicle_id string, window_end long, route_id string, direction_id int, crowding_level string")
+    out = {r.vehicle_id: (r.occupancy, r.crowding_level) for r in LV.client_vehicle_state(pos, levels, 1150).collect()}
+    assert out == {"V": (None, None), "W": ("EMPTY", "LIKELY_EMPTY")}
+
+
+def test_crowding_groups_with_a_third_of_all_rows(spark):
+    """Gaps by different stop sequences equal gaps by a full sort of the group's vehicles."""
+    rows = [("r1" if i % 3 == 0 else f"r{i}", 0, f"V{i:04d}", (i * 7) % 13) for i in range(900)]
+    w = F.struct(F.timestamp_seconds(F.lit(0)).alias("start"), F.timestamp_seconds(F.lit(300)).alias("end")).alias("w")
+    snaps = spark.createDataFrame(rows, "route_id string, direction_id int, vehicle_id string, seq int").select("*", w)
+    scheduled = snaps.withColumn("scheduled_headway_minutes", F.lit(5.0))
+    got = {(r.route_id, r.vehicle_id): r.gap_ahead_minutes for r in C.gaps_by_window_function(scheduled).collect()}
+    groups = {}
+    for r, _, v, s in rows:
+        groups.setdefault(r, []).append((s, v))
+    for r, g in groups.items():
+        g.sort()
+        span = g[-1][0] - g[0][0]
+        for (s, v), ahead in zip(g, [*g[1:], None]):
+            want = None if ahead is None or span <= 0 else math.floor((ahead[0] - s) * (5.0 / span) * 100 + 0.5) / 100
+            assert got[r, v] == want, (r, v)
+
+
+def test_published_pointer_is_replaced_whole(spark, scratch):
+    from tramline.sinks import writers as K
+    one_row = spark.range(1)
+    for version in ("v1", "v2"):
+        K.publish_reference_tables(spark, {"t": one_row}, scratch, version)
+        assert K.current_version(spark, scratch) == version
+    assert sorted(f for f in os.listdir(scratch) if f.startswith("_CURRENT")) == ["_CURRENT"]
+
+
+def test_no_checkpoint_folder_is_made_up(spark):
+    from tramline.session import checkpoint_root
+
+    class Unset:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = type("Context", (), {"getCheckpointDir": staticmethod(lambda: None)})
+
+    assert checkpoint_root(spark)
+    with pytest.raises(RuntimeError):
+        checkpoint_root(Unset)

@@ -45,6 +45,15 @@ def current_alerts(alerts: DataFrame) -> DataFrame:
     return latest.where(F.col("has_body"))
 
 
+def last_bodies(alerts: DataFrame) -> DataFrame:
+    """What the live views show: the last version with a body of each alert.
+
+    A tombstone is skipped there, not applied (F-14): alerts have no expiry,
+    so an alert stays until its next version.
+    """
+    return current_alerts(alerts.where(F.col("has_body")))
+
+
 def ripples(alerts: DataFrame, feeders: DataFrame) -> DataFrame:
     """Every alert version cascaded to the feeder routes of its stations (J-4, F-13, A-4, X-11).
 

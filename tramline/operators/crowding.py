@@ -6,10 +6,13 @@ schedule at the local hour of the window *end* -> order vehicles by stop
 sequence -> gap to the next vehicle, scaled to minutes by the window's stop
 span -> ratio to the scheduled headway -> level.
 
-Two equivalent finishes: ``gaps_by_window_function`` (``lead`` over a window
-partition; batch only) and ``gaps_by_array`` (sorted array per group, the
-form Structured Streaming accepts). Equal stop sequences are ordered by
-vehicle_id.
+Only the different stop sequences of a group are ordered, of which there are
+as many as a route has stops, whatever the number of vehicles: a vehicle that is
+not the last (by vehicle_id) at its sequence has its follower there, at gap 0; the
+last one's gap reaches to the next sequence. ``gaps_by_window_function`` finds
+the next one with ``lead``, ``gaps_by_array`` in a sorted array of them. The
+streaming form (``vehicle_lists``) holds a window's vehicles in one array, as its
+state must.
 """
 
 from __future__ import annotations
@@ -29,13 +32,17 @@ def resolve_direction(positions: DataFrame, trips: DataFrame) -> DataFrame:
     ``trips`` is the reference table (trip_id, route_id, direction_id). It is
     joined on trip_id as is: Spark broadcasts it when its measured size is
     under the broadcast threshold (AQE re-checks at run time) and shuffles
-    both sides otherwise.
+    both sides otherwise. Rows that need no lookup or have no trip get a key
+    that no trip has, by vehicle, so they do not gather under one null key.
     """
     known = (trips.where(F.col("direction_id").isNotNull())
-             .select("trip_id", F.col("direction_id").alias("_trip_direction")))
-    return (positions.join(known, "trip_id", "left")
+             .select(F.col("trip_id").alias("_trip"), F.col("direction_id").alias("_trip_direction")))
+    needs = F.col("direction_id").isNull() & F.col("trip_id").isNotNull()
+    key = F.when(needs, F.col("trip_id")).otherwise(
+        F.concat(F.lit("\u0000"), F.xxhash64("vehicle_id").cast("string")))
+    return (positions.withColumn("_trip", key).join(known, "_trip", "left")
             .withColumn("direction_id", F.coalesce(F.col("direction_id"), F.col("_trip_direction")))
-            .drop("_trip_direction"))
+            .drop("_trip", "_trip_direction"))
 
 
 def eligible(positions: DataFrame, trips: DataFrame) -> DataFrame:
@@ -109,14 +116,24 @@ def _finish(df: DataFrame, crowded: float, empty: float) -> DataFrame:
 
 def gaps_by_window_function(scheduled: DataFrame, crowded: float = X.CROWDED_RATIO,
                             empty: float = X.EMPTY_RATIO) -> DataFrame:
-    """W-1 with ``lead``; both window specs share one partitioning (one sort)."""
+    """W-1 with ``lead`` over a group's different stop sequences."""
     group = W.partitionBy(*GROUP)
-    ordered = group.orderBy("seq", "vehicle_id")
-    gaps = scheduled.select(
-        "*",
-        (F.lead("seq").over(ordered) - F.col("seq")).alias("gap_stops"),
+    steps = _steps(scheduled).select(
+        "*", F.lead("seq").over(group.orderBy("seq")).alias("_next"),
         (F.max("seq").over(group) - F.min("seq").over(group)).alias("span"))
-    return _finish(gaps, crowded, empty)
+    return _finish(_follow(scheduled, steps), crowded, empty)
+
+
+def _steps(scheduled: DataFrame) -> DataFrame:
+    """Per group and stop sequence: the last vehicle there (combined map-side)."""
+    return scheduled.groupBy(*GROUP, "seq").agg(F.max("vehicle_id").alias("_last"))
+
+
+def _follow(scheduled: DataFrame, steps: DataFrame) -> DataFrame:
+    """Every vehicle with its gap in stops; null for the one ahead of all."""
+    return scheduled.join(steps, [*GROUP, "seq"]).withColumn(
+        "gap_stops", F.when(F.col("vehicle_id") != F.col("_last"), F.lit(0))
+        .otherwise(F.col("_next") - F.col("seq")))
 
 
 def vehicle_lists(snapshots: DataFrame, window_col=None) -> DataFrame:
@@ -145,8 +162,17 @@ def explode_lists(scheduled_lists: DataFrame, crowded: float = X.CROWDED_RATIO,
 
 def gaps_by_array(snapshots: DataFrame, headways: DataFrame, crowded: float = X.CROWDED_RATIO,
                   empty: float = X.EMPTY_RATIO, tz: str = X.LOCAL_TZ) -> DataFrame:
-    """W-1 in array form: lists per group, schedule lookup, explode."""
-    return explode_lists(with_schedule(vehicle_lists(snapshots), headways, tz), crowded, empty)
+    """W-1 with a sorted array of a group's different stop sequences."""
+    scheduled = with_schedule(snapshots, headways, tz)
+    v = F.col("v")
+    lists = _steps(scheduled).groupBy(*GROUP).agg(
+        F.sort_array(F.collect_list(F.struct("seq", "_last"))).alias("v"))
+    steps = lists.select(
+        *GROUP, (F.element_at(v, -1).getField("seq") - F.element_at(v, 1).getField("seq")).alias("span"),
+        F.explode(F.transform(v, lambda x, i: F.struct(
+            x.getField("seq").alias("seq"), x.getField("_last").alias("_last"),
+            F.get(v, i + 1).getField("seq").alias("_next")))).alias("e")).select(*GROUP, "span", "e.*")
+    return _finish(_follow(scheduled, steps), crowded, empty)
 
 
 def crowding_estimates(positions: DataFrame, trips: DataFrame, headways: DataFrame,

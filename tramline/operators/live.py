@@ -11,6 +11,7 @@ a hot key is combined map-side instead of landing whole in one task.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -59,9 +60,9 @@ def sticky_state(positions: DataFrame, key: str = "vehicle_id", order: str = "ar
 
 
 def live_crowding(estimates: DataFrame, as_of_s: int, ttl_s: int = X.CROWDING_TTL_S) -> DataFrame:
-    """Latest estimate per vehicle; written when its window closed."""
+    """Latest estimate per vehicle; written when its window closed, after the grace."""
     stamped = keyed_messages(estimates, "vehicle_id").withColumn(
-        "written_at", F.timestamp_millis("window_end"))
+        "written_at", F.timestamp_millis(F.col("window_end") + X.GRACE_SECONDS * 1000))
     return latest_by_key(stamped, ["vehicle_id"], ["window_end", "route_id", "direction_id"],
                          ttl_s, as_of_s, "written_at")
 
@@ -116,8 +117,10 @@ def live_ripples(ripple_rows: DataFrame, as_of_s: int, ttl_s: int = X.RIPPLE_TTL
 
 def active_alerts(alerts: DataFrame, ripples: DataFrame) -> DataFrame:
     """Current alerts and live ripples in one list (U-1)."""
-    a = alerts.select("alert_id", "effect", "header_text",
-                      F.col("feed_ts").alias("timestamp"))
+    a = alerts.select("alert_id", "effect", "cause", "header_text", "description_text",
+                      F.array_join("affected_route_ids", ",").alias("affected_route_ids"),
+                      F.array_join("affected_stop_ids", ",").alias("affected_stop_ids"),
+                      "active_since", F.col("feed_ts").alias("timestamp"))
     r = ripples.select("ripple_id", "source_alert_id", "source_effect", "affected_station",
                        "feeder_route_id", "predicted_impact", "header_text",
                        X.epoch_ms("written_at").alias("detected_at"))
@@ -214,19 +217,45 @@ def peek(records: DataFrame, value_col: str = "value", n: int = 10, last: bool =
     return ordered.limit(n)
 
 
-def client_vehicle_state(positions: DataFrame, estimates: DataFrame) -> DataFrame:
-    """A-14 + J-13: the client's merged vehicle state.
+def last_runs(positions: DataFrame, seen: str, stale_s: int = X.CLIENT_STALE_S) -> DataFrame:
+    """(vehicle_id, run_start, last_seen): since when the client knows each vehicle.
 
-    Sparse position messages merge field by field (``sticky_state``); a
-    crowding message only sets ``crowding_level`` on a vehicle already known
-    from positions (the latest estimate per vehicle, by window end).
+    It forgets a vehicle that was silent for more than ``stale_s`` and starts
+    anew with the next message (ST-11). Messages are first combined into
+    steps of ``stale_s`` (no longer silence fits inside one), so only steps
+    are ordered per vehicle.
     """
-    latest_level = latest_by_key(keyed_messages(estimates, "vehicle_id")
-                                 .select("vehicle_id", "window_end", "route_id", "direction_id",
-                                         "crowding_level"),
-                                 ["vehicle_id"], ["window_end", "route_id", "direction_id"])
-    return sticky_state(positions).join(latest_level.select("vehicle_id", "crowding_level"),
-                                        "vehicle_id", "left")
+    stale = stale_s * 1_000_000
+    at = F.unix_micros(seen)
+    steps = keyed_messages(positions, "vehicle_id").groupBy("vehicle_id", F.floor(at / stale).alias("step")).agg(
+        F.min(at).alias("first"), F.max(at).alias("last"))
+    before = F.lag("last").over(W.partitionBy("vehicle_id").orderBy("step"))
+    marked = steps.withColumn("begins", before.isNull() | (F.col("first") - before > stale))
+    return marked.groupBy("vehicle_id").agg(
+        F.max(F.when(F.col("begins"), F.col("first"))).alias("run_start"), F.max("last").alias("last_seen"))
+
+
+def client_vehicle_state(positions: DataFrame, estimates: DataFrame, as_of_s: int, seen: str = "received_at",
+                         stale_s: int = X.CLIENT_STALE_S) -> DataFrame:
+    """A-14 + J-13 + ST-11: the client's merged vehicle state at ``as_of_s``.
+
+    Sparse position messages merge field by field (``sticky_state``) within the
+    vehicle's last run; a vehicle silent for more than ``stale_s`` is gone, its old
+    fields with it. A crowding message only sets ``crowding_level`` while the
+    vehicle is known, and does not count as a sign of life.
+    """
+    runs = last_runs(positions, seen, stale_s).where(
+        F.col("last_seen") >= F.lit((as_of_s - stale_s) * 1_000_000))
+    known = (positions.join(runs.select("vehicle_id", "run_start"), "vehicle_id")
+             .where(F.unix_micros(seen) >= F.col("run_start")))
+    written = (F.col("window_end") + X.GRACE_SECONDS * 1000) * 1000
+    levels = (keyed_messages(estimates, "vehicle_id").join(runs, "vehicle_id")
+              .where((written >= F.col("run_start")) & (written <= F.col("last_seen") + stale_s * 1_000_000)
+                     & (written <= F.lit(as_of_s * 1_000_000)))
+              .select("vehicle_id", "window_end", "route_id", "direction_id", "crowding_level"))
+    latest_level = latest_by_key(levels, ["vehicle_id"], ["window_end", "route_id", "direction_id"])
+    return sticky_state(known).join(latest_level.select("vehicle_id", "crowding_level"),
+                                    "vehicle_id", "left")
 
 
 def named_counts(**frames: DataFrame) -> DataFrame:

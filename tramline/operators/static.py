@@ -51,14 +51,22 @@ def normalize_routes(routes_raw: DataFrame) -> DataFrame:
 
 
 def normalize_trips(trips_raw: DataFrame) -> DataFrame:
-    """Trips with the raw direction text kept next to its parsed forms."""
-    return trips_raw.select(
+    """Trips with the raw direction text kept next to its parsed forms.
+
+    One row per trip_id (A-16): a table has no last row, so of rows that repeat
+    an id the one with the greatest (route, service, direction text, shape) is
+    kept, everywhere the same.
+    """
+    typed = trips_raw.select(
         F.col("trip_id").cast("string").alias("trip_id"),
         F.col("route_id").cast("string").alias("route_id"),
         _blank("service_id").alias("service_id"),
         _blank("direction_id").alias("direction_raw"),
-        X.parse_int("direction_id").alias("direction_id"),
         F.trim(_blank("shape_id")).alias("shape_id"))
+    return (typed.groupBy("trip_id")
+            .agg(F.max(F.struct("route_id", "service_id", "direction_raw", "shape_id")).alias("t"))
+            .select("trip_id", "t.route_id", "t.service_id", "t.direction_raw",
+                    X.parse_int("t.direction_raw").alias("direction_id"), "t.shape_id"))
 
 
 def normalize_stops(stops_raw: DataFrame) -> DataFrame:
@@ -327,7 +335,7 @@ def surface_stop_routes(routes: DataFrame, stops: DataFrame, served: DataFrame)
 def _lon_reach_deg(lat: Column, radius_m: float, margin_deg: float) -> Column:
     """Largest |dlon| (degrees) any point within ``radius_m`` can have.
 
-    From haversine: sin(|dlon|/2) <= sin(d/2R) / cos(phi_max), with phi_max
+    On the sphere sin(|dlon|/2) <= sin(d/2R) / cos(phi_max), with phi_max
     the largest |latitude| allowed by the latitude prefilter.
     """
     s = math.sin(radius_m / (2.0 * X.EARTH_RADIUS_M))
@@ -347,10 +355,12 @@ def station_feeder_routes(routes: DataFrame, stops: DataFrame, served: DataFrame
     pair within the radius is missed, at any latitude. Stops in a crowded cell
     are a skewed join key that AQE's skew-join handling splits.
     """
-    margin = X.lat_margin_deg(radius_m)
+    margin = X.lat_cell_deg(radius_m)
     cell = margin  # grid step in degrees, >= the latitude reach
     n_lon = int(math.ceil(360.0 / cell))
-    max_k = (n_lon - 1) // 2
+    # every cell within half a turn either way: with an even number of cells the
+    # farthest is listed twice, and the distinct below keeps it once
+    max_k = n_lon // 2
 
     def lon_cell(lon: Column) -> Column:
         return F.pmod(F.floor((lon + 180.0) / cell).cast("long"), F.lit(n_lon))
@@ -372,6 +382,7 @@ def station_feeder_routes(routes: DataFrame, stops: DataFrame, served: DataFrame
         "station_id", "station_name", "s_lat", "s_lon",
         (F.col("base_lat") + F.col("dlat")).alias("lat_cell"),
         F.pmod(F.col("base_lon") + F.col("dlon"), F.lit(n_lon)).alias("lon_cell"))
+    station_cells = station_cells.distinct()
 
     pairs = surface_stop_routes(routes, stops, served)
     surface = (stops.join(pairs.select("stop_id").distinct(), "stop_id")
@@ -381,7 +392,7 @@ def station_feeder_routes(routes: DataFrame, stops: DataFrame, served: DataFrame
 
     near = (station_cells.join(surface, ["lat_cell", "lon_cell"])
             .where(F.abs(F.col("p_lat") - F.col("s_lat")) <= margin)
-            .withColumn("distance", X.haversine_m("s_lat", "s_lon", "p_lat", "p_lon"))
+            .withColumn("distance", X.arc_metres("s_lat", "s_lon", "p_lat", "p_lon"))
             .where(F.col("distance") <= radius_m)
             .select("station_id", "station_name", "stop_id", "distance"))
 

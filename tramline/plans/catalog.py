@@ -258,14 +258,15 @@ def q_vehicle_snapshot(spark, sf_dir):
 
 def q_vehicle_client_state(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return LV.client_vehicle_state(_positions(spark, sf_dir), _crowding(spark, sf_dir, t)).select(
+    return LV.client_vehicle_state(TD.vehicle_positions(spark, sf_dir, received=True),
+                                   _crowding(spark, sf_dir, t), NOW).select(
         "vehicle_id", "route_id", "latitude", "longitude", "bearing", "occupancy", "trip_id",
         "direction_id", "current_stop_sequence", "feed_ts", "arrival_seq", "crowding_level")
 
 
 def q_live_counters(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return LV.live_counts(_live_vehicles(spark, sf_dir), A.current_alerts(_alerts(spark, sf_dir)),
+    return LV.live_counts(_live_vehicles(spark, sf_dir), A.last_bodies(_alerts(spark, sf_dir)),
                           LV.live_ripples(_ripples(spark, sf_dir, t), NOW))
 
 
@@ -280,14 +281,14 @@ def q_delay_board(spark, sf_dir):
 
 def q_active_alerts(spark, sf_dir):
     t = _t(spark, sf_dir)
-    alerts = A.current_alerts(_alerts(spark, sf_dir))
+    alerts = A.last_bodies(_alerts(spark, sf_dir))
     ripples = LV.live_ripples(_ripples(spark, sf_dir, t), NOW)
     return LV.active_alerts(alerts, ripples)
 
 
 def q_alert_feed(spark, sf_dir):
     t = _t(spark, sf_dir)
-    alerts = A.current_alerts(_alerts(spark, sf_dir))
+    alerts = A.last_bodies(_alerts(spark, sf_dir))
     ripples = LV.live_ripples(_ripples(spark, sf_dir, t), NOW)
     return LV.alert_feed(alerts, ripples)
 
@@ -317,7 +318,7 @@ def q_vehicle_feed_normalized(spark, sf_dir):
 def q_alert_feed_normalized(spark, sf_dir):
     entities = FD.alert_entities_from_alerts(_alerts(spark, sf_dir))
     out = FD.normalize_alert_feed(entities).select(
-        "alert_id", "effect", "header_text", "description_text", "affected_route_ids",
+        "alert_id", "effect", "cause", "header_text", "description_text", "affected_route_ids",
         "affected_stop_ids", "active_since", "feed_ts", "arrival_seq")
     return _text(out, "affected_route_ids", "affected_stop_ids")
 

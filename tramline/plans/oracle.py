@@ -26,13 +26,13 @@ _BASE = [
  case when event_id%13=0 then null else 'T'||(user_id//12+1) end trip_id,
  case when event_id%29=0 then cast(user_id%2 as int) end direction_id,
  case when event_type='signup' then null else cast(floor(value) as int)%60 end current_stop_sequence,
- make_timestamp({_ET}-case when event_id%17=0 then 400000000 else 0 end) event_time,
+ make_timestamp({_ET}-case when event_id%17=0 then 400000000 else 0 end) event_time, make_timestamp({_ET}) received_at,
  {_ET}//1000000-(event_id%3)*20 feed_ts, event_id arrival_seq from events"""),
     ("routes_txt", """
  select 'R'||n_nationkey route_id, case when n_nationkey=10 then '' when n_nationkey=12 then '503' else cast(500+n_nationkey as varchar) end route_short_name,
- case when n_nationkey<2 then 1 when n_nationkey<5 then 0 when n_nationkey=9 then null else 3 end route_type from nation where n_nationkey<=12 and n_nationkey<>11"""),
+ case when n_nationkey<2 then 1 when n_nationkey<5 then 0 when n_nationkey=9 then null else 3 end route_type from nation"""),
     ("trips_txt", """
- select 'T'||o_orderkey trip_id,'R'||(o_custkey%13) route_id,o_orderpriority service_id, case when o_orderkey%7=0 then '' else cast(o_orderkey%2 as varchar) end direction_id,o_orderstatus shape_id from orders"""),
+ select 'T'||case when o_orderkey%50=7 then o_orderkey-1 else o_orderkey end trip_id,'R'||(o_custkey%26) route_id,o_orderpriority service_id, case when o_orderkey%7=0 then '' else cast(o_orderkey%2 as varchar) end direction_id,o_orderstatus shape_id from orders"""),
     ("calendar_txt", """
  select * from (values ('1-URGENT','1','20240101','20240630'),('2-HIGH','1','20240101','20240630'),('3-MEDIUM',' 1 ','20230701','20231231'),('4-NOT SPECIFIED','0','20240101','20240630'),('5-LOW','1','20231015','20240630')) t(service_id,wednesday,start_date,end_date)"""),
     ("stops_txt", """
@@ -40,12 +40,12 @@ _BASE = [
  case when s_suppkey%10=0 then '1' else '' end location_type, case when s_suppkey%10 in (1,2) then 'S'||(s_suppkey-s_suppkey%10) else '' end parent_station from supplier"""),
     ("stop_times_txt", """
  select 'T'||l_orderkey trip_id,'S'||l_suppkey stop_id,cast(l_linenumber as varchar) stop_sequence, case when l_linenumber=1 and l_returnflag='R' then '' else lpad(cast(l_orderkey%28 as varchar),2,'0')||':15:00' end arrival_time
- from lineitem join orders on l_orderkey=o_orderkey where case when o_custkey%13<2 then l_suppkey%10 in (1,2) else (l_suppkey+o_custkey%13)%4=0 end"""),
+ from lineitem"""),
     ("service_alerts", f"""
- select 'A'||(user_id%40) alert_id, event_id%333<>0 has_body, case when user_id%4=0 then 'NO_SERVICE' else 'DETOUR' end effect,
+ select 'A'||(user_id%40) alert_id, event_id%333<>0 and not (user_id%8=3 and event_id%2=0) has_body, case when (event_id//700)%2=1 then 'CONSTRUCTION' end cause, case when user_id%3=0 then 'Detail '||((event_id//300)%4) end description_text, case when user_id%4=0 then 'NO_SERVICE' else 'DETOUR' end effect,
  'Alert '||(user_id%40)||' v'||(case when (event_id//500)%3=1 then 1 else 0 end) header_text, list_value(cast(500+user_id%12 as varchar)) affected_route_ids,
- list_value('S'||(10*(user_id%10)),'S'||(10*((user_id+case when (event_id//500)%3=1 then 1 else 0 end)%10))) affected_stop_ids, event_id arrival_seq,
- {_ET}//1000000 feed_ts, make_timestamp({_ET}) event_time from events where event_id%5=0"""),
+ case when user_id%8=5 then list_value('X'||user_id%40, 'X0') else list_value('S'||(10*(user_id%10)),'S'||(10*((user_id+case when (event_id//500)%3=1 then 1 else 0 end)%10))) end affected_stop_ids, event_id arrival_seq,
+ {_ET}//1000000 feed_ts, make_timestamp({_ET}) event_time from events"""),
 ]
 
 _TOR = "cast(hour(timezone('America/Toronto', timezone('UTC', make_timestamp(({ms})*1000)))) as integer)"
@@ -57,8 +57,10 @@ _DERIVED = [
  try_cast(nullif(trim(cast(route_type as varchar)),'') as integer) route_type,
  coalesce(nullif(coalesce(route_short_name,''),''), route_id) route_key from routes_txt"""),
     ("g_trips", """
- select trip_id, route_id, coalesce(service_id,'') service_id, coalesce(direction_id,'') direction_raw,
- try_cast(nullif(trim(direction_id),'') as integer) direction_id, trim(coalesce(shape_id,'')) shape_id from trips_txt"""),
+ select trip_id, route_id, service_id, direction_raw, try_cast(nullif(trim(direction_raw),'') as integer) direction_id, shape_id from (
+   select *, row_number() over (partition by trip_id order by route_id desc, service_id desc, direction_raw desc, shape_id desc) rn from (
+     select trip_id, route_id, coalesce(service_id,'') service_id, coalesce(direction_id,'') direction_raw, trim(coalesce(shape_id,'')) shape_id from trips_txt))
+ where rn = 1"""),
     ("g_stops", """
  select * from (select stop_id, coalesce(stop_name,'') stop_name,
  try_cast(nullif(trim(stop_lat),'') as double) latitude, try_cast(nullif(trim(stop_lon),'') as double) longitude,
@@ -195,13 +197,18 @@ _DERIVED += [
     ("a_changes", """
  select * from (select *, lag(effect) over w pe, lag(header_text) over w ph,
      lag(list_sort(affected_route_ids)) over w pr, lag(list_sort(affected_stop_ids)) over w ps,
+     lag(cause) over w pc, lag(description_text) over w pd,
      row_number() over w rn
    from service_alerts where has_body window w as (partition by alert_id order by arrival_seq))
  where rn = 1 or pe is distinct from effect or ph is distinct from header_text
-    or pr is distinct from list_sort(affected_route_ids) or ps is distinct from list_sort(affected_stop_ids)"""),
+    or pr is distinct from list_sort(affected_route_ids) or ps is distinct from list_sort(affected_stop_ids)
+    or pc is distinct from cause or pd is distinct from description_text"""),
     ("a_current", """
  select * exclude (rn) from (select *, row_number() over (partition by alert_id order by arrival_seq desc) rn
  from service_alerts) where rn = 1 and has_body"""),
+    ("a_last", """
+ select * exclude (rn) from (select *, row_number() over (partition by alert_id order by arrival_seq desc) rn
+ from service_alerts where has_body) where rn = 1"""),
     ("r_versions", """
  select alert_id, effect, header_text, affected_route_ids, arrival_seq, event_time,
         unnest(list_distinct(affected_stop_ids)) station_id from service_alerts where has_body"""),
@@ -225,9 +232,23 @@ _DERIVED += [
     ("v_crowd_live", f"""
  select * exclude (rn) from (select *, row_number() over (
    partition by vehicle_id order by window_end desc, route_id desc, direction_id desc) rn
- from c_out where vehicle_id <> '') where rn = 1 and window_end * 1000 + 600000000 > {AS_OF_EPOCH_S * 1000000}"""),
+ from c_out where vehicle_id <> '') where rn = 1 and window_end * 1000 + 30000000 + 600000000 > {AS_OF_EPOCH_S * 1000000}"""),
     ("v_snapshot", """
  select v.*, c.crowding_level from v_live v left join v_crowd_live c on c.vehicle_id = v.vehicle_id"""),
+    ("v_marked", """
+ select *, sum(case when p is null or epoch_us(received_at) - epoch_us(p) > 180000000 then 1 else 0 end)
+   over (partition by vehicle_id order by received_at, arrival_seq) run from (
+   select *, lag(received_at) over (partition by vehicle_id order by received_at, arrival_seq) p
+   from vehicle_positions where vehicle_id <> '')"""),
+    ("v_last_run", f"""
+ select m.* from v_marked m join (select vehicle_id, max(run) run from v_marked group by vehicle_id
+   having epoch_us(max(received_at)) >= {(AS_OF_EPOCH_S - 180) * 1000000}) l on l.vehicle_id = m.vehicle_id and l.run = m.run"""),
+    ("v_levels", f"""
+ select vehicle_id, crowding_level from (select c.vehicle_id, c.crowding_level, row_number() over (
+     partition by c.vehicle_id order by window_end desc, c.route_id desc, c.direction_id desc) rn
+   from c_out c join (select vehicle_id, min(epoch_us(received_at)) b, max(epoch_us(received_at)) e from v_last_run group by vehicle_id) r
+     on r.vehicle_id = c.vehicle_id and c.window_end * 1000 + 30000000 between b and e + 180000000
+   where c.window_end * 1000 + 30000000 <= {AS_OF_EPOCH_S * 1000000}) where rn = 1"""),
     ("d_board", """
  select * exclude (rn) from (select *, row_number() over (partition by route_id order by window_start desc) rn
  from p_delay) where rn = 1"""),
@@ -290,12 +311,10 @@ ORACLE_SELECTS: dict[str, str] = {
     "vehicle_snapshot": f"select {_VEH}, crowding_level from v_snapshot",
     "vehicle_client_state": "select s.*, c.crowding_level from (select vehicle_id, " + ", ".join(
         f"arg_max({c}, arrival_seq) filter (where {c} is not null) {c}" for c in _STICKY)
-        + ", max(arrival_seq) arrival_seq from vehicle_positions where vehicle_id <> '' group by vehicle_id) s"
-        + " left join (select vehicle_id, crowding_level from (select *, row_number() over (partition by vehicle_id"
-        + " order by window_end desc, route_id desc, direction_id desc) rn from c_out where vehicle_id <> '')"
-        + " where rn = 1) c on c.vehicle_id = s.vehicle_id",
+        + ", max(arrival_seq) arrival_seq from v_last_run group by vehicle_id) s"
+        + " left join v_levels c on c.vehicle_id = s.vehicle_id",
     "live_counters": """select 'vehicles' counter, count(*) "value" from v_live
-        union all select 'alerts', count(*) from a_current
+        union all select 'alerts', count(*) from a_last
         union all select 'ripples', count(*) from r_live""",
     "map_vehicles": """select s.vehicle_id, s.route_id, s.latitude, s.longitude,
         case when t.route_type = 1 then 'subway' when t.route_type = 0 then 'streetcar' else 'bus' end vehicle_kind,
@@ -308,13 +327,14 @@ ORACLE_SELECTS: dict[str, str] = {
     "delay_board": """select route_id, window_start, delay_score, actual_headway_minutes, scheduled_headway_minutes,
         case when delay_score >= 2 then 'bad' when delay_score <= -2 then 'ahead' else 'ok' end band,
         case when delay_score > 0 then '+' else '' end || printf('%.2f', delay_score) delay_display from d_board""",
-    "active_alerts": """select alert_id, effect, header_text, feed_ts "timestamp" from a_current
+    "active_alerts": """select alert_id, effect, cause, header_text, description_text, array_to_string(affected_route_ids, ',') affected_route_ids,
+          array_to_string(affected_stop_ids, ',') affected_stop_ids, feed_ts active_since, feed_ts "timestamp" from a_last
         union all by name
         select ripple_id, source_alert_id, source_effect, affected_station, feeder_route_id, predicted_impact,
           header_text, (epoch_us(written_at) // 1000) detected_at from r_live""",
     "alert_feed": """select 'alert' kind, alert_id item_id, coalesce(feed_ts, 0) * 1000 sort_time_ms,
           case when effect = 'NO_SERVICE' then 'severe' else 'info' end severity,
-          replace(effect, '_', ' ') label, header_text text from a_current
+          replace(effect, '_', ' ') label, header_text text from a_last
         union all
         select 'ripple', ripple_id, (epoch_us(written_at) // 1000), 'ripple', lower(replace(predicted_impact, '_', ' ')),
           'Route ' || feeder_route_id || ' near ' || affected_station || ' - cascaded from ' || source_alert_id
@@ -329,7 +349,7 @@ ORACLE_SELECTS: dict[str, str] = {
         case when latitude = 0 and longitude = 0 then 0.0::double else cast(cast(longitude as float) as double) end longitude,
         case when latitude = 0 and longitude = 0 then null else bearing end bearing,
         feed_ts, occupancy, trip_id, direction_id, current_stop_sequence, arrival_seq from vehicle_positions""",
-    "alert_feed_normalized": """select alert_id, effect, header_text, cast(null as varchar) description_text,
+    "alert_feed_normalized": """select alert_id, effect, cause, header_text, description_text,
         array_to_string(affected_route_ids, ',') affected_route_ids,
         case when affected_stop_ids[1] = affected_stop_ids[2] then affected_stop_ids[1]
              else affected_stop_ids[1] || ',' || affected_stop_ids[2] end affected_stop_ids,

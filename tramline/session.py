@@ -60,15 +60,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        # one machine: its temporary folder is shared by all there is
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tramline-checkpoint-"))
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    filesystem). Only when it is unset — local tests — do we pick a scratch
-    folder ourselves and register it.
+    This is whatever ``spark.checkpoint.dir`` names (a filesystem that the
+    driver and all executors share). There is no fallback: a folder of the
+    driver's own would lose its files with the machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
@@ -77,10 +80,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="tramline-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:

@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,11 +46,19 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    p, fs = _fs(spark, path)
-    out = fs.create(p, True)
+def _replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a new file and rename it over the old one: a reader sees the one or the other."""
+    fresh, fs = _fs(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(fresh, False)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    how = sc._gateway.new_array(hadoop.Options.Rename, 1)
+    how[0] = hadoop.Options.Rename.OVERWRITE
+    place, _ = _fs(spark, path)
+    hadoop.FileContext.getFileContext(fresh.toUri() if fresh.toUri().getScheme() else fs.getUri(),
+                                      sc._jsc.hadoopConfiguration()).rename(fresh, place, how)
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
@@ -93,7 +102,7 @@ def publish_reference_tables(spark: SparkSession, tables: dict[str, DataFrame],
     base = f"{root.rstrip('/')}/{version}"
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{base}/{name}")
-    _write_text(spark, f"{root.rstrip('/')}/_CURRENT", version + "\n")
+    _replace_text(spark, f"{root.rstrip('/')}/_CURRENT", version + "\n")
     return version
 
 

@@ -128,8 +128,9 @@ def alert_entities_from_alerts(alerts: DataFrame) -> DataFrame:
                                            F.struct(c("header_text").alias("text"))))
                       .otherwise(F.array(F.struct(c("header_text").alias("text"))))
                       .alias("translation"))
-    desc = F.struct(F.array().cast(T.ArrayType(T.StructType([T.StructField("text", T.StringType())])))
-                    .alias("translation"))
+    none = F.array().cast(T.ArrayType(T.StructType([T.StructField("text", T.StringType())])))
+    desc = F.struct(F.when(c("description_text").isNull(), none)
+                    .otherwise(F.array(F.struct(c("description_text").alias("text")))).alias("translation"))
     informed = F.concat(
         F.transform("affected_route_ids", lambda r: F.struct(r.alias("route_id"),
                                                              F.lit(None).cast("string").alias("stop_id"))),

@@ -42,8 +42,10 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vehicle_positions(spark: SparkSession, sf_dir: str, received: bool = False) -> DataFrame:
+    """Positions; ``received`` adds when each arrived (its record time may be older)."""
     configure(spark)
+    more = [f"timestamp_micros({_EVENT_TIME_US}) as received_at"] if received else []
     return _read(spark, sf_dir, "events").selectExpr(
         "case when event_id % 97 = 0 then '' else 'V' || user_id end as vehicle_id",
         "case when event_type = 'error' then '' else cast(500 + user_id % 12 as string) end as route_id",
@@ -62,6 +64,7 @@ def vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "- case when event_id % 17 = 0 then 400000000 else 0 end) as event_time",
         f"{_EVENT_TIME_US} div 1000000 - (event_id % 3) * 20 as feed_ts",
         "event_id as arrival_seq",
+        *more,
     )
 
 
@@ -72,15 +75,16 @@ def service_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     configure(spark)
     version = "case when (event_id div 500) % 3 = 1 then 1 else 0 end"
-    return (_read(spark, sf_dir, "events").where("event_id % 5 = 0").selectExpr(
+    return (_read(spark, sf_dir, "events").selectExpr(
         "'A' || (user_id % 40) as alert_id",
-        "event_id % 333 <> 0 as has_body",
+        "event_id % 333 <> 0 and not (user_id % 8 = 3 and event_id % 2 = 0) as has_body",
         "case when user_id % 4 = 0 then 'NO_SERVICE' else 'DETOUR' end as effect",
-        "cast(null as string) as cause",
+        "case when (event_id div 700) % 2 = 1 then 'CONSTRUCTION' end as cause",
         f"'Alert ' || (user_id % 40) || ' v' || ({version}) as header_text",
-        "cast(null as string) as description_text",
+        "case when user_id % 3 = 0 then 'Detail ' || ((event_id div 300) % 4) end as description_text",
         "array(cast(500 + user_id % 12 as string)) as affected_route_ids",
-        f"array('S' || (10 * (user_id % 10)), 'S' || (10 * ((user_id + {version}) % 10))) "
+        f"case when user_id % 8 = 5 then array('X' || user_id % 40, 'X0') else "
+        f"array('S' || (10 * (user_id % 10)), 'S' || (10 * ((user_id + {version}) % 10))) end "
         "as affected_stop_ids",
         f"{_EVENT_TIME_US} div 1000000 as active_since",
         f"{_EVENT_TIME_US} div 1000000 as feed_ts",
@@ -92,7 +96,6 @@ def service_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def routes_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return (_read(spark, sf_dir, "nation")
-            .where("n_nationkey <= 12 and n_nationkey <> 11")
             .selectExpr(
                 "'R' || n_nationkey as route_id",
                 "case when n_nationkey = 10 then '' when n_nationkey = 12 then '503' "
@@ -104,8 +107,9 @@ def routes_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return _read(spark, sf_dir, "orders").selectExpr(
-        "'T' || o_orderkey as trip_id",
-        "'R' || (o_custkey % 13) as route_id",
+        # every 50th order repeats the trip id of the one before it; R25 is no route
+        "'T' || case when o_orderkey % 50 = 7 then o_orderkey - 1 else o_orderkey end as trip_id",
+        "'R' || (o_custkey % 26) as route_id",
         "o_orderpriority as service_id",
         "case when o_orderkey % 7 = 0 then '' else cast(o_orderkey % 2 as string) end as direction_id",
         "o_orderstatus as shape_id")
@@ -143,12 +147,7 @@ def stops_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stop_times_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    lineitem = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag")
-    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return (lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
-            .where("case when o_custkey % 13 < 2 then l_suppkey % 10 in (1, 2) "
-                   "else (l_suppkey + o_custkey % 13) % 4 = 0 end")
+    return (_read(spark, sf_dir, "lineitem")
             .selectExpr(
                 "'T' || l_orderkey as trip_id",
                 "'S' || l_suppkey as stop_id",

@@ -37,24 +37,6 @@ from ..operators import delay as D
 from ..session import stream_checkpoint
 
 
-# Reference tables joined into a stream are at most this many rows when
-# broadcast (the reference's trips lookup is ~126k rows).
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def static_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Prepare a reference table for a stream-static join.
-
-    A static side is re-evaluated by every micro-batch, so it is persisted
-    once (lost blocks are recomputed from its lineage). It is counted at
-    query start — one small action — and hinted for broadcast only when that
-    count is within ``max_rows``; a larger table is left to Spark's own
-    size-based choice (shuffle join).
-    """
-    cached = df.persist()
-    return F.broadcast(cached) if cached.count() <= max_rows else cached
-
-
 # ---------------------------------------------------------------------------
 # J3 / J4: windowed jobs
 # ---------------------------------------------------------------------------
@@ -73,7 +55,7 @@ def route_windows_stream(positions: DataFrame, window: str = X.WINDOW,
 def delay_scores_stream(positions: DataFrame, headways: DataFrame, window: str = X.WINDOW,
                         grace: str = X.GRACE, tz: str = X.LOCAL_TZ) -> DataFrame:
     """Streaming delay scores (append mode); ``headways`` is a static DataFrame."""
-    return D.score_windows(route_windows_stream(positions, window, grace), static_side(headways),
+    return D.score_windows(route_windows_stream(positions, window, grace), headways,
                            tz=tz)
 
 
@@ -83,10 +65,10 @@ def crowding_stream(positions: DataFrame, trips: DataFrame, headways: DataFrame,
                     tz: str = X.LOCAL_TZ) -> DataFrame:
     """Streaming crowding estimates (append mode): latest snapshot per vehicle,
     then the sorted vehicle list per (route, direction, window) (ST-9)."""
-    timed = C.eligible(positions, static_side(trips)).withWatermark("event_time", grace)
+    timed = C.eligible(positions, trips).withWatermark("event_time", grace)
     snapshots = C.latest_snapshots(timed, window)
     lists = C.vehicle_lists(snapshots, F.window(F.window_time("w"), window))
-    return C.explode_lists(C.with_schedule(lists, static_side(headways), tz), crowded, empty)
+    return C.explode_lists(C.with_schedule(lists, headways, tz), crowded, empty)
 
 
 # ---------------------------------------------------------------------------
@@ -106,7 +88,7 @@ def start_ripples(alerts: DataFrame, feeders: DataFrame, path: str, checkpoint:
                   trigger: dict | None = None):
     """Start the ripple job; the checkpoint defaults to the shared checkpoint folder."""
     checkpoint = checkpoint or stream_checkpoint(alerts.sparkSession, "ripples")
-    w = (alerts.writeStream.foreachBatch(ripples_batch_writer(static_side(feeders), path))
+    w = (alerts.writeStream.foreachBatch(ripples_batch_writer(feeders, path))
          .option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
