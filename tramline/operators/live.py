@@ -141,7 +141,7 @@ def alert_feed(alerts: DataFrame, ripples: DataFrame) -> DataFrame:
         F.concat(F.lit("Route "), F.col("feeder_route_id"), F.lit(" near "),
                  F.col("affected_station"), F.lit(" - cascaded from "),
                  F.col("source_alert_id")).alias("text"))
-    return a.unionByName(r).orderBy(F.col("sort_time_ms").desc())
+    return a.unionByName(r).orderBy(F.col("sort_time_ms").desc(), "kind", "item_id")
 
 
 def envelopes(**streams: DataFrame) -> DataFrame:
@@ -167,8 +167,21 @@ def envelope_counts(**streams: DataFrame) -> DataFrame:
 
 
 def routes_by_short_name(routes: DataFrame) -> DataFrame:
-    """L-4: the routes listing, ordered by short name."""
-    return routes.select("route_id", "route_short_name", "route_type").orderBy("route_short_name")
+    """L-4: the routes listing in order of short name (ties by id), with each one's rank.
+
+    The rank needs one ordered list; the routes table has a row per route.
+    """
+    order = W.orderBy("route_short_name", "route_id")
+    return routes.select("route_id", "route_short_name", "route_type",
+                         F.row_number().over(order).alias("listing_rank")).orderBy("listing_rank")
+
+
+def delay_board_by_route(delays: DataFrame) -> DataFrame:
+    """L-5: the board in natural route order ('2' before '10', then text), with ranks."""
+    number = F.regexp_extract("route_id", r"^(\d+)", 1).try_cast("long")
+    order = W.orderBy(number.asc_nulls_last(), "route_id")
+    latest = latest_by_key(delays, ["route_id"], ["window_start"])
+    return headway_display(latest).withColumn("board_rank", F.row_number().over(order)).orderBy("board_rank")
 
 
 def headway_display(delays: DataFrame) -> DataFrame:

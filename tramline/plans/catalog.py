@@ -279,6 +279,28 @@ def q_delay_board(spark, sf_dir):
     return LV.delay_board(q_delay_scores(spark, sf_dir))
 
 
+def q_routes_by_short_name(spark, sf_dir):
+    return LV.routes_by_short_name(_t(spark, sf_dir)["routes"])
+
+
+def q_delay_board_by_route(spark, sf_dir):
+    return LV.delay_board_by_route(q_delay_scores(spark, sf_dir))
+
+
+def q_delay_envelopes(spark, sf_dir):
+    """U-6 / P-3: the delay messages of the firehose with their payload."""
+    rows = q_delay_scores(spark, sf_dir).select(
+        "route_id", "window_start", "window_end", "actual_headway_minutes", "scheduled_headway_minutes", "delay_score")
+    return LV.envelopes(delay_update=rows)
+
+
+def q_alert_peek(spark, sf_dir):
+    """L-8: the ten last alert records as JSON (a limit is the feature)."""
+    bodies = _alerts(spark, sf_dir).where("has_body").select(
+        "arrival_seq", F.to_json(F.struct("alert_id", "effect", "header_text")).alias("value"))
+    return LV.peek(bodies, last=True)
+
+
 def q_active_alerts(spark, sf_dir):
     t = _t(spark, sf_dir)
     alerts = A.last_bodies(_alerts(spark, sf_dir))
@@ -358,6 +380,10 @@ QUERIES: dict[str, Query] = {
     "live_counters": q_live_counters,
     "map_vehicles": q_map_vehicles,
     "delay_board": q_delay_board,
+    "routes_by_short_name": q_routes_by_short_name,
+    "delay_board_by_route": q_delay_board_by_route,
+    "delay_envelopes": q_delay_envelopes,
+    "alert_peek": q_alert_peek,
     "active_alerts": q_active_alerts,
     "alert_feed": q_alert_feed,
     "update_envelope_counts": q_update_envelope_counts,

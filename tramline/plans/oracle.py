@@ -327,6 +327,18 @@ ORACLE_SELECTS: dict[str, str] = {
     "delay_board": """select route_id, window_start, delay_score, actual_headway_minutes, scheduled_headway_minutes,
         case when delay_score >= 2 then 'bad' when delay_score <= -2 then 'ahead' else 'ok' end band,
         case when delay_score > 0 then '+' else '' end || printf('%.2f', delay_score) delay_display from d_board""",
+    "routes_by_short_name": """select route_id, route_short_name, route_type,
+        cast(row_number() over (order by route_short_name, route_id) as integer) listing_rank from g_routes""",
+    "delay_board_by_route": """select route_id, case when delay_score > 0 then '+' else '' end || printf('%.2f', delay_score) delay_display,
+        cast(round(cast(actual_headway_minutes as decimal(18, 2)), 1) as varchar) || ' / '
+          || cast(round(cast(scheduled_headway_minutes as decimal(18, 2)), 1) as varchar) headway_display,
+        cast(row_number() over (order by try_cast(nullif(regexp_extract(route_id, '^(\\d+)', 1), '') as bigint) nulls last, route_id) as integer) board_rank
+        from d_board""",
+    "delay_envelopes": """select 'delay_update' "type", cast(to_json({'route_id': route_id, 'window_start': window_start, 'window_end': window_end,
+        'actual_headway_minutes': actual_headway_minutes, 'scheduled_headway_minutes': scheduled_headway_minutes,
+        'delay_score': delay_score}) as varchar) "data" from p_delay""",
+    "alert_peek": """select arrival_seq, cast(to_json({'alert_id': alert_id, 'effect': effect, 'header_text': header_text}) as varchar) "value"
+        from service_alerts where has_body order by arrival_seq desc limit 10""",
     "active_alerts": """select alert_id, effect, cause, header_text, description_text, array_to_string(affected_route_ids, ',') affected_route_ids,
           array_to_string(affected_stop_ids, ',') affected_stop_ids, feed_ts active_since, feed_ts "timestamp" from a_last
         union all by name
