@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import static as ST
+from ..operators.live import keyed_messages, latest_by_key
 from ..session import checkpoint_root
 
 
@@ -136,6 +137,22 @@ def build_and_publish(spark: SparkSession, gtfs: dict, root: str, as_of: str,
     return publish_reference_tables(spark, tables, root)
 
 
+def upsert_state(spark: SparkSession, root: str, updates: DataFrame, key: str, order: str = "arrival_seq",
+                 ttl_s: int | None = None, as_of_s: int | None = None, written_at: str = "event_time") -> str:
+    """K-6 / ST-14: merge updates into the published state table, one row per key.
+
+    The latest row by ``order`` stays, expired ones go (if a TTL is given), and the
+    new version replaces the old one at once. Merging the same updates again
+    changes nothing, so a replayed micro-batch is harmless.
+    """
+    try:
+        rows = read_reference_table(spark, root, "state").unionByName(updates)
+    except FileNotFoundError:
+        rows = updates
+    latest = latest_by_key(keyed_messages(rows, key), [key], [order], ttl_s, as_of_s, written_at)
+    return publish_reference_tables(spark, {"state": latest}, root, f"v{time.time_ns()}")
+
+
 def append_history(df: DataFrame, path: str, time_col_ms: str = "window_start",
                    tz: str = "America/Toronto") -> None:
     """K-7: append scores to a history table partitioned by local service date."""

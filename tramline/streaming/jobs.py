@@ -22,7 +22,7 @@ end (append mode), like the reference's suppress-until-close.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -74,17 +74,26 @@ def crowding_stream(positions: DataFrame, trips: DataFrame, headways: DataFrame,
 # ---------------------------------------------------------------------------
 # J5: ripples per micro-batch
 # ---------------------------------------------------------------------------
-def ripples_batch_writer(feeders: DataFrame, path: str, fmt: str = "parquet"):
+def ripples_batch_writer(feeders: DataFrame | Callable[[], DataFrame], path: str, fmt: str = "parquet"):
     """foreachBatch function: cascade each batch of alert versions and write it
     to ``path/batch_id=<id>``. Re-running a batch after a failure overwrites
-    the same directory, so output keyed by ripple_id stays exact (ST-14)."""
+    the same directory, so output keyed by ripple_id stays exact (ST-14).
+
+    ``feeders`` may be a function, called for every micro-batch: a schedule
+    published meanwhile then counts from the next batch on. The cascade uses its
+    alerts twice, so the batch is kept while it is written and read once.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        (A.ripples(batch, feeders).write.mode("overwrite").format(fmt)
-         .save(f"{path.rstrip('/')}/batch_id={batch_id}"))
+        kept = batch.persist()
+        try:
+            (A.ripples(kept, feeders() if callable(feeders) else feeders).write.mode("overwrite")
+             .format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}"))
+        finally:
+            kept.unpersist()
     return write
 
 
-def start_ripples(alerts: DataFrame, feeders: DataFrame, path: str, checkpoint: str | None = None,
+def start_ripples(alerts: DataFrame, feeders: DataFrame | Callable[[], DataFrame], path: str, checkpoint: str | None = None,
                   trigger: dict | None = None):
     """Start the ripple job; the checkpoint defaults to the shared checkpoint folder."""
     checkpoint = checkpoint or stream_checkpoint(alerts.sparkSession, "ripples")
@@ -96,16 +105,13 @@ def start_ripples(alerts: DataFrame, feeders: DataFrame, path: str, checkpoint:
 # ---------------------------------------------------------------------------
 # J1: keyed change detection (ST-6)
 # ---------------------------------------------------------------------------
-CHANGE_COLUMNS = ["alert_id", "effect", "header_text", "affected_route_ids",
-                  "affected_stop_ids", "feed_ts", "arrival_seq", "fingerprint"]
-
-
 def alert_changes_stream(alerts: DataFrame, state_ttl_ms: int | None = None) -> DataFrame:
     """Emit an alert version when its content differs from the last published
     one for that alert (A, A, B, A -> 3 rows). State is the last published
     fingerprint per alert, checkpointed with each micro-batch; with
-    ``state_ttl_ms`` an alert not seen for that long is forgotten."""
-    bodies = A.with_fingerprint(alerts.where(F.col("has_body"))).select(*CHANGE_COLUMNS)
+    ``state_ttl_ms`` an alert not seen for that long is forgotten. The whole
+    alert row comes out (and its fingerprint), so ``start_ripples`` can take it."""
+    bodies = A.with_fingerprint(alerts.where(F.col("has_body")))
     out_schema = bodies.schema
     state_schema = T.StructType([T.StructField("fingerprint", T.StringType())])
 
@@ -158,8 +164,10 @@ def live_state_stream(df: DataFrame, key: str, ttl_s: int, order: str = "arrival
             state.remove()
             yield pd.DataFrame([{**last, "expired": True}], columns=names + ["expired"])
             return
-        pdf = pd.concat(list(batches), ignore_index=True)
-        newest = pdf.loc[pdf[order].idxmax(), names]
+        newest = None
+        for pdf in batches:  # one row is held, however many a key has
+            best = pdf.loc[pdf[order].idxmax(), names]
+            newest = best if newest is None or best[order] > newest[order] else newest
         if state.exists and dict(zip(names, state.get))[order] >= newest[order]:
             return
         expires_at = int(newest["written_at_ms"]) + ttl_ms
