@@ -20,6 +20,7 @@ from ..operators import crowding as C
 from ..operators import delay as D
 from ..operators import live as LV
 from ..operators import static as ST
+from ..session import checkpoint_root
 from ..sources import feeds as FD
 from ..sources import testdata as TD
 
@@ -40,7 +41,11 @@ def _headways(t) -> DataFrame:
 
 
 def _feeders(t) -> DataFrame:
+    """Feeder routes; the served pairs (a few per stop) are staged once, for the stations, the
+    surface stops and the pairs all need them and each would scan the stop times anew."""
     served = ST.stop_routes(t["trips"], t["stop_times"])
+    checkpoint_root(served.sparkSession)
+    served = served.checkpoint()
     stations = ST.subway_stations(t["routes"], t["stops"], served)
     return ST.station_feeder_routes(t["routes"], t["stops"], served, stations)
 
