@@ -122,7 +122,8 @@ def trained(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> tuple[
     """The model, fitted in one task on a bounded sample of ratings (doc_id, grade)."""
     chosen = common.stage(ratings.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(sample), "ratings")
     chosen = common.sized(chosen.select(F.col("doc_id").alias("__rated"), "grade"), sample, 24)
-    labelled = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("__rated")).select("text", "grade")
+    labelled = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("__rated")).select(
+        "text", "grade", F.xxhash64("doc_id", "grade", "text").alias("by"))
 
     def rows(batches):
         for batch in batches:
@@ -130,24 +131,28 @@ def trained(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> tuple[
                 slots, values, first, _ = features(data, offsets)
                 ends = pa.array(first.astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(1).slice(row, len(first) - 1),
+                    batch.column(1).slice(row, len(first) - 1), batch.column(2).slice(row, len(first) - 1),
                     pa.ListArray.from_arrays(ends, pa.array(slots.astype(np.int32))),
-                    pa.ListArray.from_arrays(ends, pa.array(values.astype(np.float32)))], names=["grade", "slots", "weights"])
+                    pa.ListArray.from_arrays(ends, pa.array(values.astype(np.float32)))], names=["grade", "by", "slots", "weights"])
 
     def model(batches):
         grades, slots, values, sizes = ([np.zeros(0, np.int64)] for _ in range(4))
         for batch in batches:
             grades.append(batch.column(0).to_numpy().astype(np.int64))
-            slots.append(batch.column(1).flatten().to_numpy().astype(np.int64))
-            values.append(batch.column(2).flatten().to_numpy().astype(float))
-            sizes.append(np.diff(batch.column(1).offsets.to_numpy()))
+            slots.append(batch.column(2).flatten().to_numpy().astype(np.int64))
+            values.append(batch.column(3).flatten().to_numpy().astype(float))
+            sizes.append(np.diff(batch.column(2).offsets.to_numpy()))
         first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)
         weights, thresholds = fit(np.concatenate(slots), np.concatenate(values), first, np.concatenate(grades))
         yield pa.RecordBatch.from_arrays([
             pa.array([weights.astype(np.float32).tobytes()]), pa.array([thresholds.tobytes()])], names=["weights", "thresholds"])
 
-    found = (labelled.mapInArrow(rows, "grade int, slots array<int>, weights array<float>")
-             .coalesce(1).mapInArrow(model, "weights binary, thresholds binary").first())
+    # all tasks read documents; only the sample's sparse rows meet in one, in a fixed order
+    found = (labelled.mapInArrow(rows, "grade int, by long, slots array<int>, weights array<float>")
+             .repartition(1).sortWithinPartitions("by").mapInArrow(model, "weights binary, thresholds binary").first())
+    if found is None:  # no labelled document, no task
+        none = np.zeros(0, np.int64)
+        return fit(none, none.astype(float), np.zeros(1, np.int64), none)
     return np.frombuffer(found[0], np.float32).astype(float), np.frombuffer(found[1], float)
 
 

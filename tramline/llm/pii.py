@@ -280,6 +280,8 @@ def trained(docs: DataFrame, sample: int = SAMPLE) -> Field:
         yield pa.RecordBatch.from_arrays([pa.array([field.spans.tobytes()]), pa.array([field.follows.tobytes()])], names=["spans", "follows"])
 
     row = chosen.coalesce(1).mapInArrow(step, "spans binary, follows binary").first()
+    if row is None:  # nothing to learn from, no task
+        return Field()
     n = len(TYPES)
     return Field(np.frombuffer(row[0]).reshape(n, _SLOTS), np.frombuffer(row[1]).reshape(n, n))
 
