@@ -39,7 +39,7 @@ def lines(rows):
     rows = ordered(rows)
     sets, first = [], {}
     for k, (_, text) in enumerate(rows):
-        own = [frozenset(w for w in re.split(r"[\x20\x09-\x0D]+", line.lower()) if w) for line in (text or "").split("\n")]
+        own = [frozenset(w for w in re.split(r"[\x20\x09-\x0D]+", line) if w) for line in lowered(text).split("\n")]
         sets.append(own)
         for i, s in enumerate(own):
             if s:

@@ -11,7 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import brute
-from conftest_llm import bag, frame
+from conftest_llm import bag, docs, frame, rows  # noqa: F401
 from tramline.llm import (arrays, common, decontaminate, exact_dedup, extend_dedup, line_dedup, near_dedup, ordinal_quality, pieces, pii, run_index,
                           seeds, training_order)
 
@@ -100,10 +100,8 @@ def test_line_dedup(docs, rows):
     assert bag((r.doc_id, r.n_lines, r.n_removed, r.kept) for r in found) == bag(want)
     short = line_dedup.summary(docs).collect()
     assert bag((r.doc_id, r.n_lines, r.n_removed, r.kept) for r in short) == bag(want)
-    texts = {(d, k): None for d, _, _, k in []}
     for r in found:
-        kept = r.text.split("\n")
-        assert sum(bool(x.strip(" \t\n\v\f\r")) for x in kept) == len(r.kept), texts
+        assert sum(bool(x.strip(" \t\n\v\f\r")) for x in r.text.split("\n")) == len(r.kept)
 
 
 def test_line_dedup_partner_that_is_not_the_earliest(spark):
@@ -198,11 +196,14 @@ def test_matching_statistics():
 
 def test_training_order(spark, docs, rows):
     place = training_order.written(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, f"{common.shared_folder(spark)}/order", length=16, per_shard=8)
-    found = training_order.read(spark, place, 16, 8).collect() if rows else []
+    found = training_order.read(spark, place, 16).collect() if rows else []
     encoding, end = training_order._encoding(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
     n = len(found)
-    assert sorted(r.slot for r in found) == sorted(r.number for r in found) == list(range(n))
-    assert all(r.shard == r.slot // 8 and training_order.feistel(np.array([r.number]), n, training_order.KEY)[0] == r.slot for r in found)
+    _, places = training_order._numbered(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, 16, training_order.KEY)
+    by_slot = sorted(found, key=lambda r: r.slot)
+    order = training_order.feistel(np.array([r.number for r in by_slot], np.int64), places, training_order.KEY)
+    assert [r.slot for r in by_slot] == list(range(n))
+    assert (np.diff(order) > 0).all() and [r.shard for r in by_slot] == (order // 8).tolist()
     got = [i for r in sorted(found, key=lambda r: r.number) for i in np.frombuffer(r.ids, "<u2")[: r.n_ids].tolist()]
     documents, held = [], []
     for i in got:
@@ -211,7 +212,12 @@ def test_training_order(spark, docs, rows):
             documents.append(held)
             held = []
     assert not held
-    assert bag(documents) == bag([*encoding.encode_ordinary(t or ""), end] for _, t in rows)
+    whole = [(training_order._NO_ID if d is None else d, [*encoding.encode_ordinary(t or ""), end]) for d, t in rows]
+    assert bag(documents) == bag(ids for _, ids in whole)
+    for r in found:  # a record begins in the document and at the place that it says
+        begin = np.frombuffer(r.ids, "<u2")[: r.n_ids].tolist()
+        own = [ids[r.offset:] for d, ids in whole if d == r.doc_id]
+        assert any(o and o[: len(begin)] == begin[: len(o)] for o in own)
 
 
 @pytest.mark.parametrize("count", [1, 2, 3, 4, 5, 16, 17, 1000, 4097])
@@ -309,10 +315,8 @@ def test_exact_dedup_with_and_without_broadcast(spark, limit, monkeypatch):
     assert bag((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in found) == bag(brute.exact(rows))
 
 
-@pytest.mark.parametrize("module", ["exact_dedup", "line_dedup"])
-def test_native_operators_run_no_python(docs, module):
-    found = exact_dedup.classes(docs) if module == "exact_dedup" else line_dedup.summary(docs)
-    plan = found._jdf.queryExecution().executedPlan().toString()
+def test_native_operator_runs_no_python(docs):
+    plan = exact_dedup.classes(docs)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
 
 
