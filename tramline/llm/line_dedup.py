@@ -1,6 +1,6 @@
-"""Line dedup by an exact set-similarity join (DataFrame functions only).
+"""Line dedup by an exact set-similarity join.
 
-A line's tokens are its different words (lower case, split at white space). Lines with equal
+A line's tokens are its different words (A-Z lowered, ``[^\\x20\\x09-\\x0D]+``). Lines with equal
 sets are one class, represented by its first line (smallest doc_id, then line). Classes with
 a Jaccard similarity of 0.8 or more match, and a line goes if it matches an earlier one,
 judged on the input: so the first line of each class stays unless an earlier class
@@ -18,6 +18,9 @@ from it meet the others, so many variants of one line give as many pairs as vari
 their square. Nothing is capped: a class whose earliest partner is not confirmed meets
 all others.
 
+Counting and coding the tokens runs in Arrow batches; in DataFrame functions alone it took
+more than the time and disk allowed (README). The joins are DataFrame functions.
+
 Defined results: a null or empty text is one blank line; a document of any length is one
 row, its lines are spread; rows that repeat a doc_id, and null ids, are documents of their
 own (``common.keyed``), the later ones lose their lines.
@@ -25,11 +28,12 @@ own (``common.keyed``), the later ones lose their lines.
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import arrays as A
 from . import common
 
 #: Counts that order tokens by rarity.
@@ -42,39 +46,76 @@ def lines_of(text: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), _SPACE), "")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.array_remove(F.split(F.translate(text, upper, upper.lower()), _SPACE), "")
 
 
-def _rarity(docs: DataFrame) -> Column:
-    """An array literal: for each slot a step that grows with the count of its tokens."""
-    counts = (docs.select(F.explode(_words(F.coalesce("text", F.lit("")))).alias("word"))
-              .groupBy(F.pmod(F.xxhash64("word"), F.lit(SLOTS)).alias("slot")).agg(F.count(F.lit(1)).alias("n")))
-    steps = ["0"] * SLOTS
-    for slot, n in counts.collect():  # at most SLOTS rows, whatever the table's size
-        steps[slot] = str(min(125, 1 + int(3 * math.log2(n))))
-    return F.expr(f"cast(split('{','.join(steps)}', ',') as array<bigint>)")
+def _rarity(docs: DataFrame) -> np.ndarray:
+    """For each slot a step that grows with the count of its tokens."""
 
+    def count(batches):
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for _, data, offsets in A.blocks(batch.column(0)):
+                hashes = A.Words(data, offsets, A.SPACED_WORD).hashes(A.LOWER[data])
+                total += np.bincount((hashes % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+        slots = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(total[slots])], names=["slot", "n"])
 
-def _codes(words: Column, rarity: Column) -> Column:
-    """A line's tokens as sorted numbers, the rarest first: step, then hash."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return F.array_sort(F.array_distinct(F.transform(hashes, lambda h: F.shiftleft(
-        F.get(rarity, F.pmod(h, F.lit(SLOTS)).cast("int")), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1))))))
+    counts = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    steps = np.zeros(SLOTS, np.uint64)
+    for slot, n in counts.collect():  # at most SLOTS rows, whatever the table's size
+        steps[slot] = min(250, 1 + int(6 * np.log2(n)))
+    return steps
+
+
+def coded(data: np.ndarray, offsets: np.ndarray, steps: np.ndarray):
+    """Lines with tokens of a block: (document, line, codes, first), codes sorted and different
+    within each line, the rarest first: step, then hash."""
+    words = A.Words(data, offsets, A.SPACED_WORD)
+    ends = np.concatenate([[0], np.cumsum(data == 0x0A)])
+    doc = words.document()
+    line = ends[words.start] - ends[offsets[:-1]][doc]
+    hashes = words.hashes(A.LOWER[data])
+    codes = (steps[(hashes % np.uint64(SLOTS)).astype(np.int64)] << np.uint64(56)) | (hashes >> np.uint64(8))
+    new = np.ones(len(codes), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
+    group = np.cumsum(new) - 1
+    order = np.lexsort((codes, group))
+    codes, of = codes[order], group[order]
+    keep = np.ones(len(codes), bool)
+    keep[1:] = (codes[1:] != codes[:-1]) | (of[1:] != of[:-1])
+    codes, of = codes[keep], of[keep]
+    return doc[new], line[new], codes, np.searchsorted(of, np.arange(int(new.sum()) + 1))
 
 
 def _classes(docs: DataFrame) -> DataFrame:
     """(id, line, n, outline, prefix): one row per class, by its first line."""
-    rarity = _rarity(docs)
-    lines = docs.select("id", F.posexplode(lines_of(F.col("text"))).alias("line", "body"))
-    coded = lines.select("id", "line", _codes(_words(F.col("body")), rarity).alias("codes")).filter(F.size("codes") > 0)
-    n = F.size("codes")
-    shaped = coded.select(
-        F.struct("id", "line").alias("place"), F.xxhash64("codes").alias("key1"), F.xxhash64("codes", F.lit(1)).alias("key2"),
-        n.alias("n"),
-        F.expr("aggregate(codes, 0L, (a, c) -> a | shiftleft(1L, cast(c & 63 as int)))").alias("outline"),
-        F.slice("codes", F.lit(1), n - F.floor((4 * n + 4) / 5).cast("int") + 1).alias("prefix"))
-    first = shaped.groupBy("key1", "key2").agg(F.min(F.struct("place", "n", "outline", "prefix")).alias("f"))
-    return common.stage(first.select("f.place.id", "f.place.line", "f.n", "f.outline", "f.prefix"), "classes")
+    shared = docs.sparkSession.sparkContext.broadcast(_rarity(docs))
+
+    def shape(batches):
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for row, data, offsets in A.blocks(batch.column(1)):
+                doc, line, codes, first = coded(data, offsets, shared.value)
+                if not len(doc):
+                    continue
+                n = np.diff(first)
+                size = n - -(-4 * n // 5) + 1
+                place = np.arange(len(codes)) - np.repeat(first[:-1], n)
+                prefix = codes[place < np.repeat(size, n)]
+                outline = np.bitwise_or.reduceat(np.uint64(1) << (codes & np.uint64(63)), first[:-1])
+                keys = [np.add.reduceat(A.mix(codes + np.uint64(k)), first[:-1]) for k in (1, 2)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(ids[row + doc]), pa.array(line.astype(np.int32)), *(pa.array(k.view(np.int64)) for k in keys),
+                    pa.array(n.astype(np.int32)), pa.array(outline.view(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(prefix.view(np.int64)))],
+                    names=["id", "line", "key1", "key2", "n", "outline", "prefix"])
+
+    shaped = docs.select("id", "text").mapInArrow(
+        shape, "id long, line int, key1 long, key2 long, n int, outline long, prefix array<long>")
+    first = shaped.groupBy("key1", "key2").agg(F.min(F.struct("id", "line", "n", "outline", "prefix")).alias("f"))
+    return common.stage(first.select("f.*"), "classes")
 
 
 def _enough(inter: Column, a: Column, b: Column) -> Column:
@@ -108,29 +149,37 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def matched(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(id, line) of the classes that match an earlier one."""
-    entries = classes.filter("n >= 4").select(  # smaller sets match equal ones only
-        F.struct("id", "line").alias("place"), "n", "outline", F.posexplode("prefix").alias("pos", "token"))
-    entry = F.struct("place", "n", "outline", "pos")
-    by_token = entries.select("token", entry.alias("y"))
-    first = by_token.withColumn("x", F.min("y").over(Window.partitionBy("token").orderBy("y.place").rowsBetween(
+    # smaller sets match equal ones only
+    entries = classes.filter("n >= 4").select("id", "line", "n", "outline", F.posexplode("prefix").alias("pos", "token"))
+
+    def sure(*names):  # never null, said to Spark: else each use gets null filters, and a shuffle, of its own
+        return [F.coalesce(n, F.lit(0)).alias(n) for n in names]
+
+    entry = F.struct(F.struct(*sure("id", "line")).alias("place"), *sure("n", "outline", "pos"))
+    by_token = entries.select(*sure("token"), entry.alias("y"))
+    first = by_token.withColumn("x", F.min("y").over(Window.partitionBy("token").orderBy("y").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)))
-    later = first.filter(F.col("x.place") < F.col("y.place"))
-    star = common.stage(later.filter(_may("x", "y")).select(F.col("x.place").alias("x"), F.col("y.place").alias("y")).distinct(), "star")
+    later = first.filter(F.col("x.place") < F.col("y.place")).withColumn("star", _may("x", "y"))
     others = by_token.withColumnRenamed("y", "z")
 
     def met(rows):
         pairs = rows.select("token", "y").join(others, "token").filter((F.col("z.place") < F.col("y.place")) & _may("z", "y"))
-        return pairs.select(F.col("z.place").alias("x"), F.col("y.place").alias("y")).distinct()
-
-    apart = common.stage(met(later.filter(~_may("x", "y"))), "apart")
-    found = common.stage(_confirmed(common.stage(star.union(apart).distinct(), "pairs"), docs).select("y").distinct(), "matched")
+        return pairs.select(F.col("z.place").alias("x"), F.col("y.place").alias("y"))
+
+    # one plan, so the entries are shuffled by token once for both kinds of pairs
+    tried = common.stage(
+        later.filter("star").select(F.col("x.place").alias("x"), F.col("y.place").alias("y"), F.lit(1).alias("star"))
+        .union(met(later.filter("not star")).withColumn("star", F.lit(0)))
+        .groupBy("x", "y").agg(F.max("star").alias("star")), "pairs")
+    pairs = tried.select("x", "y")
+    found = common.stage(_confirmed(pairs, docs).select("y").distinct(), "matched")
     # those whose earliest partner only seemed to match, and that no other one has matched
-    again = common.stage(star.select("y").distinct().join(found, "y", "left_anti").select(F.col("y").alias("again")), "again")
+    again = common.stage(tried.filter("star = 1").select("y").distinct().join(found, "y", "left_anti").select(F.col("y").alias("again")), "again")
     n = again.count()
     if n:
         few = common.sized(again, n, 40)
         rows = by_token.join(few, F.col("y.place") == F.col("again"), "left_semi")
-        more = common.stage(met(rows).join(star.union(apart), ["x", "y"], "left_anti"), "more")
+        more = common.stage(met(rows).distinct().join(pairs, ["x", "y"], "left_anti"), "more")
         found = common.stage(found.union(_confirmed(more, docs).select("y")).distinct(), "matched")
     return found.select("y.id", "y.line")
 
