@@ -1,22 +1,27 @@
 """Token-ID output in training order.
 
 The documents of an input split, each with an end id behind it, are one row of token ids
-that is cut into sequences of ``length`` ids (the split's last is padded). A first pass
-counts the sequences of every split; with the running totals a second one numbers them
-0 .. N - 1. A keyed Feistel permutation over the next power of four, walked along its
-cycle until it falls below N, gives every sequence its slot: all of 0 .. N - 1, each once,
-from key and number alone, so a run that is repeated finds the same order. Slots are
-partitioned by ranges: shard k holds slots from k * per_shard on, in order, in one file of
-records of equal size. Slot s is at byte (s mod per_shard) * stride of shard s div per_shard,
-so a reader can start, or resume, anywhere and read on.
-
-A record is number, document, offset (of the first id's document and its place there; -1
-in padding), count of ids before the padding, the ids as little-endian uint16, and a line end. Files
+that is cut into sequences of ``length`` ids (the split's last is padded). An id stands for
+one byte of text at least, so the bytes of a split bound its sequences; with the running
+totals of these bounds every sequence has a number of its own below N, without a first pass
+of encoding. A keyed Feistel permutation over the next power of four, walked along its
+cycle until it falls below N, gives every number a place of its own below N, from
+key and number alone, so a run that is repeated finds the same order. A sequence's slot is its
+rank by place: slots are 0 .. count - 1.
+
+Places are partitioned by ranges: shard k holds, in order, the sequences with places from
+k * per_shard on (about two places in five are taken), in one file of records of equal size.
+Slot s is at byte (s - first) * stride of the shard whose first slot, the sum of the record counts
+of those before it, is the last not above s; so a reader can start, or resume, anywhere and
+read on.
+
+A record is number, document, offset (of the first id's document and its place there), count
+of ids before the padding, the ids as little-endian uint16, and a line end. Files
 are written by Spark's text writer, which commits whole files, so a lost executor leaves
 no part of one.
 
-The splits must be the same in both passes; each task checks that, and if executors came or
-went and changed them, both passes are repeated.
+The splits must be the same when they are measured and when they are encoded; each task checks
+that, and if executors came or went and changed them, both are repeated.
 
 Defined results: a null or empty text is the end id alone; rows that repeat a document are
 documents of their own; a null doc_id is written as the least long; an empty table gives
@@ -31,21 +36,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import arrays as A
 from . import common
 
-#: Ids of a sequence, sequences of a shard, and the key of the order.
-LENGTH, PER_SHARD, KEY = 512, 2048, 0x5DEECE66D
+#: Ids of a sequence, places of a shard, and the key of the order.
+LENGTH, PER_SHARD, KEY = 512, 4096, 0x5DEECE66D
 _FEISTEL_ROUNDS = 4
 _NO_ID = -(1 << 63)
 _MOVED = "the input's splits have changed since they were counted"
 
 
 def feistel(number: np.ndarray, count: int, key: int) -> np.ndarray:
-    """The slot of each number below count: a permutation of range(count)."""
+    """The place of each number below count: a permutation of range(count)."""
     half = 1
     while 4 ** half < count:
         half += 1
@@ -77,36 +82,28 @@ def record_type(length: int) -> np.dtype:
 
 
 def _coded(batches, path: str, pattern: str):
-    """For each document of a split: (doc_id, ids with the end id)."""
-    encoding, end = _encoding(path, pattern)
+    """For each document of a split: (doc_id, bytes, its ids as an array, without the end id)."""
+    encoding, _ = _encoding(path, pattern)
     for batch in batches:
         ids = batch.column(0).cast(pa.int64()).fill_null(_NO_ID).to_pylist()
         for i in range(0, batch.num_rows, 64):
             for doc, text in zip(ids[i: i + 64], batch.column(1).slice(i, 64).to_pylist()):
-                coded = encoding.encode_ordinary(text) if text else []
-                coded.append(end)
-                yield doc, coded
+                text = text or ""
+                yield doc, len(text.encode()), np.array(encoding.encode_ordinary(text), np.uint16)
 
 
 def _numbered(docs: DataFrame, path: str, pattern: str, length: int, key: int) -> tuple[DataFrame, int]:
-    """(slot, record: binary) of every sequence, and their number."""
+    """(place, record: binary) of every sequence, and the number of places."""
     source = docs.select("doc_id", "text")
-
-    def count(batches):
-        ids = rows = 0
-        for _, coded in _coded(batches, path, pattern):
-            ids += len(coded)
-            rows += 1
-        yield pa.RecordBatch.from_arrays([pa.array([-(-ids // length)]), pa.array([rows])], names=["sequences", "docs"])
-
-    counted = source.mapInArrow(count, "sequences long, docs long").select(
-        F.spark_partition_id().alias("split"), "sequences", "docs")
+    split = F.spark_partition_id().alias("split")
     # a row for each input split: as many as tasks, whatever the table's rows
-    sizes = {r["split"]: (r["sequences"], r["docs"]) for r in counted.collect()}
+    sizes = {r["split"]: (r["size"], r["docs"]) for r in source.select(
+        split, F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).groupBy("split").agg(
+        F.sum("size").alias("size"), F.count(F.lit(1)).alias("docs")).collect()}
     begin, total = {}, 0
     for k in sorted(sizes):
         begin[k] = total
-        total += sizes[k][0]
+        total += -(-sum(sizes[k]) // length)
     shared = docs.sparkSession.sparkContext.broadcast((begin, sizes))
     kind = record_type(length)
 
@@ -115,39 +112,47 @@ def _numbered(docs: DataFrame, path: str, pattern: str, length: int, key: int) -
 
         split = TaskContext.get().partitionId()
         begin, sizes = shared.value
-        at, rows, ids, docs_, offsets = begin.get(split, 0), 0, [], [], []
-        first = at
+        end = np.array([_encoding(path, pattern)[1]], np.uint16)
+        at = begin.get(split, 0)
+        # parts of documents that wait for their sequence: ids, document, place of the first id in it
+        rows, size, waiting, held = 0, 0, [], 0
 
         def cut(n):
-            nonlocal at
-            out = np.zeros(n, kind)
-            flat = np.full(n * length, _encoding(path, pattern)[1], np.uint16)
+            nonlocal at, held
+            ids = np.concatenate([w[0] for w in waiting])
+            starts = np.cumsum([0, *(len(w[0]) for w in waiting)])
             use = min(len(ids), n * length)
+            flat = np.full(n * length, end[0], np.uint16)
             flat[:use] = ids[:use]
+            begins = length * np.arange(n)
+            part = np.searchsorted(starts, begins, "right") - 1
+            out = np.zeros(n, kind)
             out["number"] = at + np.arange(n)
-            out["doc_id"] = docs_[: n * length: length]
-            out["offset"] = offsets[: n * length: length]
-            out["n_ids"] = np.minimum(length, use - length * np.arange(n))
+            out["doc_id"] = np.array([w[1] for w in waiting])[part]
+            out["offset"] = np.array([w[2] for w in waiting])[part] + begins - starts[part]
+            out["n_ids"] = np.minimum(length, use - begins)
             out["ids"] = flat.reshape(n, length)
             out["end"] = b"\n"
             at += n
-            del ids[:use], docs_[:use], offsets[:use]
+            held = len(ids) - use
+            waiting[:] = [(w[0][max(use - s, 0):], w[1], w[2] + max(use - s, 0))
+                          for w, s in zip(waiting, starts.tolist()) if s + len(w[0]) > use]
             raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(kind.itemsize), n, [None, pa.py_buffer(out.tobytes())])
-            return pa.RecordBatch.from_arrays([pa.array(feistel(out["number"], total, key)), raw.cast(pa.binary())], names=["slot", "record"])
+            return pa.RecordBatch.from_arrays([pa.array(feistel(out["number"], total, key)), raw.cast(pa.binary())], names=["place", "record"])
 
-        for doc, coded in _coded(batches, path, pattern):
+        for doc, n_bytes, coded in _coded(batches, path, pattern):
             rows += 1
-            ids += coded
-            docs_ += [doc] * len(coded)
-            offsets += range(len(coded))
-            if len(ids) >= 256 * length:
-                yield cut(len(ids) // length)
-        if ids:
-            yield cut(-(-len(ids) // length))
-        if (at - first, rows) != sizes.get(split, (0, 0)):
+            size += n_bytes
+            waiting += [(coded, doc, 0), (end, doc, len(coded))]
+            held += len(coded) + 1
+            if held >= 256 * length:
+                yield cut(held // length)
+        if held:
+            yield cut(-(-held // length))
+        if (size, rows) != sizes.get(split, (0, 0)):
             raise RuntimeError(_MOVED)
 
-    return source.mapInArrow(number, "slot long, record binary"), total
+    return source.mapInArrow(number, "place long, record binary"), total
 
 
 def written(docs: DataFrame, path: str, pattern: str, folder: str, *, length: int = LENGTH,
@@ -158,8 +163,8 @@ def written(docs: DataFrame, path: str, pattern: str, folder: str, *, length: in
         rows, total = _numbered(docs, path, pattern, length, key)
         shards = max(1, -(-total // per_shard))
         place = f"{folder}/order-{uuid.uuid4().hex}"
-        ranged = (rows.withColumn("shard", (F.col("slot") / per_shard).cast("int"))
-                  .repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "slot"))
+        ranged = (rows.withColumn("shard", (F.col("place") / per_shard).cast("int"))
+                  .repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "place"))
         # the text writer puts a line end, the last byte of a record, behind each
         body = F.substring("record", 1, record_type(length).itemsize - 1).cast("string")
         try:
@@ -171,20 +176,25 @@ def written(docs: DataFrame, path: str, pattern: str, folder: str, *, length: in
     raise AssertionError
 
 
-def read(spark, place: str, length: int = LENGTH, per_shard: int = PER_SHARD) -> DataFrame:
+def read(spark, place: str, length: int = LENGTH) -> DataFrame:
     """slot, shard, number, doc_id, offset, n_ids and ids (binary, padding included) of every record."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(place)
-             .select(F.regexp_extract("path", r"shard=(\d+)/", 1).cast("int").alias("shard"), "content"))
+             .withColumn("shard", F.regexp_extract("path", r"shard=(\d+)/", 1).cast("int")))
     kind = record_type(length)
+    # one row for each shard
+    counts = files.select("shard", (F.col("length") / kind.itemsize).cast("long").alias("n"))
+    before = F.sum("n").over(Window.orderBy("shard")) - F.col("n")
+    firsts = counts.select(F.col("shard").alias("of"), before.alias("first"))
+    contents = files.select("shard", "content").join(firsts, F.col("shard") == F.col("of")).select("shard", "first", "content")
 
     def step(batches):
         for batch in batches:
-            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for shard, first, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 rows = np.frombuffer(content.as_buffer(), kind)
                 raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * length), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows["ids"]).tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard * per_shard + np.arange(len(rows))), pa.array([shard] * len(rows), pa.int32()),
+                    [pa.array(first + np.arange(len(rows))), pa.array([shard] * len(rows), pa.int32()),
                      *(pa.array(np.ascontiguousarray(rows[c])) for c in ("number", "doc_id", "offset", "n_ids")), raw.cast(pa.binary())],
                     names=["slot", "shard", "number", "doc_id", "offset", "n_ids", "ids"])
 
-    return files.mapInArrow(step, "slot long, shard int, number long, doc_id long, offset int, n_ids int, ids binary")
+    return contents.mapInArrow(step, "slot long, shard int, number long, doc_id long, offset int, n_ids int, ids binary")
