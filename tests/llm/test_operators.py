@@ -137,6 +137,19 @@ def test_decontamination_without_benchmark(spark, docs, rows):
     assert len(found) == len(rows) and not any(r.contaminated or r["items"] for r in found)
 
 
+def test_decontamination_with_a_long_and_a_one_word_item(spark):
+    rng = random.Random(13)
+    words = [f"w{rng.randrange(3000)}" for _ in range(50_000)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, "zebra")], BENCH)
+    rows = [(1, " ".join(words[100:160])), (2, "a zebra here"), (3, " ".join(words)), (4, " ".join(words[:9]) + " x"), (5, "w1 " * 30),
+            (6, "z " + " ".join(words[-12:]) + " " + " ".join(words[:10]))]
+    found = {r.doc_id: r for r in decontaminate.judged(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert {d: (r.n_hit, r["items"]) for d, r in found.items()} == {
+        1: (60, ["1"]), 2: (1, ["2"]), 3: (50_000, ["1"]), 4: (0, []), 5: (0, []), 6: (22, ["1"])}
+    queries = decontaminate.Queries([("1", " ".join(words)), ("2", "zebra")], 10)
+    assert sum(v.nbytes for v in vars(queries).values() if isinstance(v, np.ndarray)) < 64 * len(words)
+
+
 def test_longest_matches(spark):
     rows = [(1, "a b c d e f g h i j k l m"), (2, "x d e f g h i j k l m n o p"), (3, None)]
     bench = spark.createDataFrame([(9, "c d e f g h i j k l m n o")], BENCH)
