@@ -50,6 +50,19 @@ def test_pii_field_learns_spans_that_the_patterns_miss(spark):
     assert pii.all_spans("nothing to see at all here", [], field) == []
 
 
+def test_pii_field_reads_texts_without_digits_and_at_signs(spark):
+    rng = random.Random(4)
+    name = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(3, 8)))
+    texts = [f"please write to {name()}.{name()}@{name()}.example.com about it" for _ in range(120)]
+    body = "please write to {}.{} (at) {}.example.com about it"
+    masked = [body.format(name(), name(), name()) for _ in range(20)]
+    rows = [*enumerate(texts), *enumerate(masked, 1000)]
+    found = {r.doc_id: r for r in pii.marked(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in enumerate(masked):
+        assert not found[1000 + i].base
+        assert any(s.kind == "email" and s.start <= text.index("(at)") < s.end for s in found[1000 + i].spans), text
+
+
 def test_pii_dynamic_programme_is_the_best_segmentation():
     rng = np.random.default_rng(5)
     field = pii.Field(rng.normal(size=(len(pii.TYPES), pii._SLOTS)), rng.normal(size=(len(pii.TYPES),) * 2))

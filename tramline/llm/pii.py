@@ -1,7 +1,7 @@
 """Personal data: base patterns, and a semi-Markov conditional random field that adds spans.
 
 Base spans are exact: the leftmost non-overlapping matches of each kind, checked. The
-field reads the tokens around digits, "@" and "=" (no span of ours is without one) and
+field reads the tokens around digits, "@", "=", "(at)" and "[at]" (no span of ours is without one) and
 scores whole candidate spans of up to ``LONGEST`` tokens: shape, lengths, checks such as
 Luhn, the words on either side, and which type follows which. A dynamic programme over
 span ends chooses boundaries and types together; tokens far from any candidate can only be
@@ -313,7 +313,6 @@ def marked(docs: DataFrame, *, sample: int = SAMPLE, keep: list[str] | None = No
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
     n_keep = len(keep)
     shared = docs.sparkSession.sparkContext.broadcast(trained(docs, sample))
-    worth = re.compile("[0-9@]")
 
     def step(batches):
         field = shared.value
@@ -322,7 +321,7 @@ def marked(docs: DataFrame, *, sample: int = SAMPLE, keep: list[str] | None = No
             base, spans = [], []
             for text in batch.column(at).to_pylist():
                 own = every = []
-                if text and worth.search(text):
+                if text and _TRIGGER.search(text):
                     own = base_spans(text)
                     every = all_spans(text, own, field)
                 base.append([dict(zip(names, s)) for s in own])
