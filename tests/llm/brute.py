@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -142,3 +143,53 @@ def exact(rows):
 
 def ceil_prefix(n):
     return n - math.ceil(0.8 * n) + 1
+
+
+def codes(rows, parts=4, entries=256, rounds=4, scale=1024):
+    """rows are (vec_id, vector, label): (vec_id, code, error, label_error) in order, and the final entries."""
+    rows = [r for r in rows if r[1] and all(x is not None and math.isfinite(x) for x in r[1])]
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    whole = [[math.floor(scale * x) for x in r[1]] for r in rows]
+    if not rows:
+        return [], []
+    w = len(whole[0]) // parts
+    cut = [[v[p * w:(p + 1) * w] for p in range(parts)] for v in whole]
+    books = [[v[p] for v in cut[:entries]] for p in range(parts)]
+
+    def nearest(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), i) for i, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            own = defaultdict(list)
+            for v in cut:
+                own[nearest(v[p], books[p])[1]].append(v[p])
+            books[p] = [[sum(c) // len(own[i]) for c in zip(*own[i])] if i in own else e for i, e in enumerate(books[p])]
+    found = [[nearest(v[p], books[p]) for p in range(parts)] for v in cut]
+    by_label = Counter()
+    for r, f in zip(rows, found):
+        by_label[r[2]] += sum(d for d, _ in f)
+    return [(r[0], "".join(f"{i:02x}" for _, i in f), sum(d for d, _ in f), by_label[r[2]]) for r, f in zip(rows, found)], books
+
+
+def resampled(rows, target, seed=42, least=20, percent=5, buckets=10_000):
+    """(doc_id, n_features, weight, score, rank)."""
+
+    def features(text):
+        w = LETTERED.findall(lowered(text))
+        return w, [zlib.crc32(" ".join(w[i:i + n]).encode()) % buckets for n in (1, 2, 3) for i in range(len(w) - n + 1)]
+
+    docs = [(d, *features(t)) for d, t in rows]
+    s, t = Counter(b for _, _, f in docs for b in f), Counter(b for text in target for b in features(text)[1])
+    gain = {b: math.floor(1000 * math.log((t[b] + 1) * (s.total() + buckets) / ((s[b] + 1) * (t.total() + buckets)))) for b in s}
+    out, able = [], []
+    for k, (d, w, f) in enumerate(docs):
+        h = int(sha(f"{seed}:{'' if d is None else d}")[:8], 16)
+        weight = sum(gain[b] for b in f)
+        out.append([d, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None])
+        if len(w) >= least:
+            able.append(k)
+    able.sort(key=lambda k: (-out[k][3], out[k][0] is not None, out[k][0] or 0, -out[k][2], -out[k][1]))
+    for place, k in enumerate(able[:percent * len(able) // 100], 1):
+        out[k][4] = place
+    return [tuple(o) for o in out]

@@ -59,7 +59,7 @@ def test_encoding_stage(stages):
 def test_every_dealt_query_is_registered():
     names = set(E.queries())
     assert {"pipeline", *queries.QUERIES} <= names
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 
@@ -68,7 +68,7 @@ def test_query_matches_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
     rel = con.sql(queries.ORACLE_SQL[name])
     df = queries.QUERIES[name](spark, SF_SMALL)
