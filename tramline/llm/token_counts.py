@@ -117,14 +117,13 @@ def frequent(docs: DataFrame, k: int = FREQUENT, tracked: int = TRACKED) -> list
     One sketch of bounded size per task; sketches are merged in groups, as many as the square root of the
     shuffle partitions, then those of the groups in one."""
     words = docs.select(F.explode(F.split("text", " ")).alias("w")).filter(F.octet_length("w").between(1, WIDTH))
-    if words.isEmpty():  # Spark cannot merge no sketches
-        return []
     groups = round(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) ** 0.5)
     merged = (words.groupBy((F.spark_partition_id() % groups).alias("g"))
               .agg(F.expr(f"approx_top_k_accumulate(w, {tracked})").alias("sketch"))
-              .agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+              # by a key, if only one: a task without sketches then merges none, which Spark cannot
+              .groupBy((F.col("g") >= 0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
               .select(F.expr(f"approx_top_k_estimate(sketch, {k})").alias("top")))
-    return [x.item for x in merged.collect()[0].top if "\n" not in x.item]
+    return [x.item for r in merged.collect() for x in r.top if "\n" not in x.item]
 
 
 def counted(docs: DataFrame, model_path: str, *, limit: int, keep: list[str]) -> DataFrame:
