@@ -12,10 +12,13 @@ test mapping return them). Outputs:
 ``route_id`` means the GTFS id in ``routes``/``trips`` and the rider-facing
 short name (falling back to the id) everywhere else.
 
-Tie rules where the source order is unknowable (file order is not defined
-over parallel splits): the dominant shape breaks count ties by the smallest
-shape_id and its representative is the smallest trip_id; duplicate keys keep
-the smallest row.
+Rows that repeat a key follow the order of rows in their file (``file_pos``,
+``sources.order``), which the loader reads from top to bottom. Four rules hold
+for a repeated trip id: the trips table keeps its first row, the stops it
+serves count for the route of its last row, headways for its last row among
+the weekday ones, and shapes are counted on every row. Routes and stops keep
+their last row. Equal shape counts go to the shape that comes first, and its
+representative is its first trip.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..sources.order import FILE_POS, first_row, in_order, last_row
 
 
 # ---------------------------------------------------------------------------
@@ -37,61 +41,47 @@ def _blank(c: str) -> Column:
 
 
 def normalize_routes(routes_raw: DataFrame) -> DataFrame:
-    """route_id, route_short_name ('' when blank), route_type (int or null).
-
-    One row per route_id (duplicates keep the greatest row).
-    """
-    typed = routes_raw.select(
+    """route_id, route_short_name ('' when blank), route_type (int or null): the last row of each id."""
+    return last_row(in_order(routes_raw).select(
         F.col("route_id").cast("string").alias("route_id"),
         _blank("route_short_name").alias("route_short_name"),
-        X.parse_int("route_type").alias("route_type"))
-    return (typed.groupBy("route_id")
-            .agg(F.max(F.struct("route_short_name", "route_type")).alias("r"))
-            .select("route_id", "r.route_short_name", "r.route_type"))
+        X.parse_int("route_type").alias("route_type"), FILE_POS), "route_id")
 
 
 def normalize_trips(trips_raw: DataFrame) -> DataFrame:
-    """Trips with the raw direction text kept next to its parsed forms.
+    """Every row of the trips, in file order, with the raw direction text next to its parsed form.
 
-    One row per trip_id (A-16): a table has no last row, so of rows that repeat
-    an id the one with the greatest (route, service, direction text, shape) is
-    kept, everywhere the same.
+    Which row of a repeated id counts depends on the table that is built (A-16), see above.
     """
-    typed = trips_raw.select(
+    return in_order(trips_raw).select(
         F.col("trip_id").cast("string").alias("trip_id"),
         F.col("route_id").cast("string").alias("route_id"),
         _blank("service_id").alias("service_id"),
         _blank("direction_id").alias("direction_raw"),
-        F.trim(_blank("shape_id")).alias("shape_id"))
-    return (typed.groupBy("trip_id")
-            .agg(F.max(F.struct("route_id", "service_id", "direction_raw", "shape_id")).alias("t"))
-            .select("trip_id", "t.route_id", "t.service_id", "t.direction_raw",
-                    X.parse_int("t.direction_raw").alias("direction_id"), "t.shape_id"))
+        X.parse_int("direction_id").alias("direction_id"),
+        F.trim(_blank("shape_id")).alias("shape_id"), FILE_POS)
 
 
 def normalize_stops(stops_raw: DataFrame) -> DataFrame:
-    """Stops with parseable coordinates only (F-7); one row per stop_id."""
-    typed = stops_raw.select(
+    """Stops with parseable coordinates only (F-7): the last such row of each id."""
+    typed = in_order(stops_raw).select(
         F.col("stop_id").cast("string").alias("stop_id"),
         _blank("stop_name").alias("stop_name"),
         X.parse_double("stop_lat").alias("latitude"),
         X.parse_double("stop_lon").alias("longitude"),
         F.trim(_blank("location_type")).alias("location_type"),
-        F.trim(_blank("parent_station")).alias("parent_station"),
+        F.trim(_blank("parent_station")).alias("parent_station"), FILE_POS,
     ).where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    return (typed.groupBy("stop_id")
-            .agg(F.max(F.struct("stop_name", "latitude", "longitude", "location_type",
-                                "parent_station")).alias("s"))
-            .select("stop_id", "s.*"))
+    return last_row(typed, "stop_id")
 
 
 def normalize_stop_times(stop_times_raw: DataFrame) -> DataFrame:
-    """trip_id, stop_id, stop_sequence (int or null), arrival_time (trimmed)."""
-    return stop_times_raw.select(
+    """trip_id, stop_id, stop_sequence (int or null), arrival_time (trimmed), file_pos."""
+    return in_order(stop_times_raw).select(
         F.col("trip_id").cast("string").alias("trip_id"),
         F.col("stop_id").cast("string").alias("stop_id"),
         X.parse_int("stop_sequence").alias("stop_sequence"),
-        F.trim(_blank("arrival_time")).alias("arrival_time"))
+        F.trim(_blank("arrival_time")).alias("arrival_time"), FILE_POS)
 
 
 def route_key(trips: DataFrame, routes: DataFrame) -> DataFrame:
@@ -131,42 +121,34 @@ def weekday_services(calendar_raw: DataFrame, as_of: str) -> DataFrame:
 
 
 def weekday_trips(trips: DataFrame, calendar_raw: DataFrame | None, as_of: str) -> DataFrame:
-    """Trips of the chosen weekday services (J-7).
+    """Trips of the chosen weekday services (J-7): of a repeated id the last row among theirs.
 
-    With no calendar, or no Wednesday row in it, every trip counts (S-9).
+    With no calendar, or no Wednesday row in it, every row counts (S-9).
     The emptiness test is an uncorrelated EXISTS subquery, evaluated once.
     """
     if calendar_raw is None:
-        return trips
+        return last_row(trips, "trip_id")
     services = weekday_services(calendar_raw, as_of).withColumn("_kept", F.lit(True))
     has_weekday = weekday_calendar(calendar_raw).exists()
-    return (trips.join(services, "service_id", "left")
+    kept = (trips.join(services, "service_id", "left")
             .where(F.col("_kept") | ~has_weekday)
             .drop("_kept"))
+    return last_row(kept, "trip_id")
 
 
 def trip_directions(trips: DataFrame) -> DataFrame:
-    """The ``trips`` reference table: every trip of every service day.
+    """The ``trips`` reference table: every trip of every service day, the first row of each id."""
+    return first_row(trips.select("trip_id", "route_id", "direction_id", FILE_POS), "trip_id")
 
-    One row per trip_id; duplicate ids keep the smallest (route, direction).
-    """
-    return (trips.groupBy("trip_id")
-            .agg(F.min(F.struct("route_id", "direction_id")).alias("t"))
-            .select("trip_id", "t.route_id", "t.direction_id"))
+
+def trip_routes(trips: DataFrame) -> DataFrame:
+    """trip_id, route_id: the last row of each id, of all service days (what serves a stop)."""
+    return last_row(trips.select("trip_id", "route_id", FILE_POS), "trip_id")
 
 
 # ---------------------------------------------------------------------------
 # Headways
 # ---------------------------------------------------------------------------
-_NO_HOUR = 2147483647  # invalid departure hours sort after every valid one
-
-
-def _raw_hour(arrival: Column) -> Column:
-    """Leading hour field of a GTFS time (before the modulo), or the sentinel."""
-    h = F.trim(F.split_part(arrival, F.lit(":"), F.lit(1))).try_cast("int")
-    return F.coalesce(h, F.lit(_NO_HOUR))
-
-
 def _timed(stop_times: DataFrame) -> DataFrame:
     return stop_times.where((F.col("arrival_time") != "") & F.col("stop_sequence").isNotNull())
 
@@ -175,30 +157,16 @@ def first_departures(stop_times: DataFrame) -> DataFrame:
     """Per trip: arrival at the lowest stop_sequence among rows with an arrival (A-7).
 
     Rows with a blank arrival are ignored (F-9); rows whose sequence does not
-    parse are dropped. Ties on the sequence keep the earliest departure hour,
-    then the smallest arrival text.
+    parse are dropped. Of equal sequences the first row counts.
     """
     return (_timed(stop_times).groupBy("trip_id")
-            .agg(F.min(F.struct("stop_sequence", _raw_hour(F.col("arrival_time")).alias("h"),
-                                "arrival_time")).alias("f"))
+            .agg(F.min(F.struct("stop_sequence", FILE_POS, "arrival_time")).alias("f"))
             .select("trip_id", "f.stop_sequence", "f.arrival_time"))
 
 
 def first_departure_hours(stop_times: DataFrame) -> DataFrame:
-    """trip_id, hour_of_day of its first departure — same choice as
-    ``first_departures``, as a hash aggregate.
-
-    (stop_sequence, hour) is packed into one long, so the per-trip minimum
-    runs as a map-side-combined hash aggregate over ``stop_times`` instead
-    of a sort-based struct aggregate. Only the hour is needed downstream.
-    """
-    # low 32 bits: the hour shifted into [0, 2^32) so signed hours keep their order
-    key = (F.col("stop_sequence").cast("long") * F.lit(1 << 32)
-           + _raw_hour(F.col("arrival_time")).cast("long") + F.lit(1 << 31))
-    firsts = _timed(stop_times).groupBy("trip_id").agg(F.min(key).alias("k"))
-    hour = F.col("k").bitwiseAND(F.lit((1 << 32) - 1)) - F.lit(1 << 31)
-    return firsts.select("trip_id", F.when(hour != _NO_HOUR, F.pmod(hour, F.lit(24)).cast("int"))
-                         .alias("hour_of_day"))
+    """trip_id, hour_of_day of its first departure (null where the time has no hour)."""
+    return first_departures(stop_times).select("trip_id", X.gtfs_hour("arrival_time").alias("hour_of_day"))
 
 
 def unusable_stop_times(stop_times_raw: DataFrame) -> DataFrame:
@@ -243,22 +211,36 @@ def scheduled_headways(routes: DataFrame, trips: DataFrame, stop_times: DataFram
 # ---------------------------------------------------------------------------
 # Representative paths
 # ---------------------------------------------------------------------------
-def dominant_shapes(routes: DataFrame, trips: DataFrame) -> DataFrame:
-    """Most-run shape per (route short name, direction) over all service days.
-
-    Returns route_id (short name), direction_id (blank -> 0), shape_id,
-    trip_count and rep_trip_id (A-6, A-12, L-2).
-    """
+def _dominant(routes: DataFrame, trips: DataFrame) -> DataFrame:
+    """``dominant_shapes`` and where the (route, direction) comes first in the file."""
     keyed = route_key(trips, routes).select(
         F.col("route_key").alias("route_id"),
         F.coalesce(F.col("direction_id"), F.lit(0)).alias("direction_id"),
-        "shape_id", "trip_id")
+        "shape_id", "trip_id", FILE_POS)
     per_shape = keyed.groupBy("route_id", "direction_id", "shape_id").agg(
-        F.count(F.lit(1)).alias("trip_count"), F.min("trip_id").alias("rep_trip_id"))
-    best = per_shape.groupBy("route_id", "direction_id").agg(
-        F.min_by(F.struct("shape_id", "trip_count", "rep_trip_id"),
-                 F.struct((-F.col("trip_count")).alias("neg_count"), "shape_id")).alias("b"))
-    return best.select("route_id", "direction_id", "b.shape_id", "b.trip_count", "b.rep_trip_id")
+        F.count(F.lit(1)).alias("trip_count"), F.min_by("trip_id", FILE_POS).alias("rep_trip_id"),
+        F.min(FILE_POS).alias("seen_at"))
+    return per_shape.groupBy("route_id", "direction_id").agg(
+        F.max_by(F.struct("shape_id", "trip_count", "rep_trip_id"),
+                 F.struct("trip_count", (-F.col("seen_at")).alias("earlier"))).alias("b"),
+        F.min("seen_at").alias("seen_at")).select("route_id", "direction_id", "b.*", "seen_at")
+
+
+def dominant_shapes(routes: DataFrame, trips: DataFrame) -> DataFrame:
+    """Most-run shape per (route short name, direction) over all service days.
+
+    Every row of the trips counts, also one that repeats an id. Returns route_id
+    (short name), direction_id (blank -> 0), shape_id, trip_count and rep_trip_id
+    (A-6, A-12, L-2); of equal counts the shape that comes first, and its first trip.
+    """
+    return _dominant(routes, trips).drop("seen_at")
+
+
+def representatives(routes: DataFrame, trips: DataFrame) -> DataFrame:
+    """trip_id, route_id, direction_id: one path per representative trip. An id that stands for
+    several (route, direction) pairs gives its path to the one that comes last in the file."""
+    return _dominant(routes, trips).groupBy(F.col("rep_trip_id").alias("trip_id")).agg(
+        F.max_by(F.struct("route_id", "direction_id"), "seen_at").alias("p")).select("trip_id", "p.*")
 
 
 def route_paths(routes: DataFrame, trips: DataFrame, stops: DataFrame,
@@ -269,8 +251,7 @@ def route_paths(routes: DataFrame, trips: DataFrame, stops: DataFrame,
     join against ``stop_times`` into a broadcast at run time: the big table
     is scanned once and never shuffled.
     """
-    rep = dominant_shapes(routes, trips).select(
-        F.col("rep_trip_id").alias("trip_id"), "route_id", "direction_id")
+    rep = representatives(routes, trips)
     visits = (stop_times.where(F.col("stop_sequence").isNotNull())
               .select("trip_id", "stop_id", "stop_sequence")
               .join(rep, "trip_id"))
@@ -302,11 +283,12 @@ def path_for(paths: DataFrame, route_id: str | None = None, direction: int = 0)
 def stop_routes(trips: DataFrame, stop_times: DataFrame) -> DataFrame:
     """Distinct (stop_id, route_id) served on any service day (J-9).
 
-    The one shuffle of ``stop_times``: hash-partitioned on trip_id for the
-    join, then partially aggregated before the distinct's shuffle.
+    A repeated trip id serves for the route of its last row. The one shuffle of
+    ``stop_times``: hash-partitioned on trip_id for the join, then partially
+    aggregated before the distinct's shuffle.
     """
     return (stop_times.select("trip_id", "stop_id")
-            .join(trips.select("trip_id", "route_id"), "trip_id")
+            .join(trip_routes(trips), "trip_id")
             .select("stop_id", "route_id").distinct())
 
 

@@ -96,6 +96,16 @@ def q_trip_directions(spark, sf_dir):
     return ST.trip_directions(_t(spark, sf_dir)["trips"])
 
 
+def q_trips_first_row(spark, sf_dir):
+    """A-16: the trips table as it is loaded, a later row of an id ignored."""
+    return ST.trip_directions(_t(spark, sf_dir)["trips"])
+
+
+def q_trips_last_row(spark, sf_dir):
+    """A-16: the route that a trip's stops count for, a later row of an id in place of the one before."""
+    return ST.trip_routes(_t(spark, sf_dir)["trips"])
+
+
 def q_first_departures(spark, sf_dir):
     return ST.first_departures(_t(spark, sf_dir)["stop_times"])
 
@@ -362,6 +372,8 @@ QUERIES: dict[str, Query] = {
     "routes": q_routes,
     "weekday_trips": q_weekday_trips,
     "trip_directions": q_trip_directions,
+    "trips_first_row": q_trips_first_row,
+    "trips_last_row": q_trips_last_row,
     "first_departures": q_first_departures,
     "trips_per_hour_direction": q_trips_per_hour_direction,
     "scheduled_headways": q_scheduled_headways,

@@ -3,7 +3,8 @@
 Only the raw driver tables are registered as views on the oracle side, so
 every statement starts with the same CTE prefix: the transit mapping of
 FIXTURES.md §3 (DuckDB spelling) followed by typed/derived tables written
-independently of the Spark code. Window boundaries are epoch milliseconds
+independently of the Spark code. ``pos`` is a row's number in its file: DuckDB
+scans a file in order, and ``row_number() over ()`` counts in that order. Window boundaries are epoch milliseconds
 computed with integer arithmetic; local hours use DuckDB's zone database.
 """
 
@@ -30,17 +31,17 @@ _BASE = [
  {_ET}//1000000-(event_id%3)*20 feed_ts, event_id arrival_seq from events"""),
     ("routes_txt", """
  select 'R'||n_nationkey route_id, case when n_nationkey=10 then '' when n_nationkey=12 then '503' else cast(500+n_nationkey as varchar) end route_short_name,
- case when n_nationkey<2 then 1 when n_nationkey<5 then 0 when n_nationkey=9 then null else 3 end route_type from nation"""),
+ case when n_nationkey<2 then 1 when n_nationkey<5 then 0 when n_nationkey=9 then null else 3 end route_type, row_number() over () pos from nation"""),
     ("trips_txt", """
- select 'T'||case when o_orderkey%50=7 then o_orderkey-1 else o_orderkey end trip_id,'R'||(o_custkey%26) route_id,o_orderpriority service_id, case when o_orderkey%7=0 then '' else cast(o_orderkey%2 as varchar) end direction_id,o_orderstatus shape_id from orders"""),
+ select 'T'||case when o_orderkey%50=7 then o_orderkey-1 else o_orderkey end trip_id,'R'||(o_custkey%26) route_id,o_orderpriority service_id, case when o_orderkey%7=0 then '' else cast(o_orderkey%2 as varchar) end direction_id,o_orderstatus shape_id, row_number() over () pos from orders"""),
     ("calendar_txt", """
  select * from (values ('1-URGENT','1','20240101','20240630'),('2-HIGH','1','20240101','20240630'),('3-MEDIUM',' 1 ','20230701','20231231'),('4-NOT SPECIFIED','0','20240101','20240630'),('5-LOW','1','20231015','20240630')) t(service_id,wednesday,start_date,end_date)"""),
     ("stops_txt", """
  select 'S'||s_suppkey stop_id,'Stop '||s_suppkey stop_name, case when s_suppkey%37=5 then 'n/a' else cast(43.60+(s_suppkey%10)*0.0005+(s_suppkey%7)*0.0001 as varchar) end stop_lat, cast(-79.40+(s_suppkey//10)*0.002 as varchar) stop_lon,
- case when s_suppkey%10=0 then '1' else '' end location_type, case when s_suppkey%10 in (1,2) then 'S'||(s_suppkey-s_suppkey%10) else '' end parent_station from supplier"""),
+ case when s_suppkey%10=0 then '1' else '' end location_type, case when s_suppkey%10 in (1,2) then 'S'||(s_suppkey-s_suppkey%10) else '' end parent_station, row_number() over () pos from supplier"""),
     ("stop_times_txt", """
- select 'T'||l_orderkey trip_id,'S'||l_suppkey stop_id,cast(l_linenumber as varchar) stop_sequence, case when l_linenumber=1 and l_returnflag='R' then '' else lpad(cast(l_orderkey%28 as varchar),2,'0')||':15:00' end arrival_time
- from lineitem"""),
+ select 'T'||l_orderkey trip_id,'S'||l_suppkey stop_id,cast(l_linenumber as varchar) stop_sequence, case when l_linenumber=1 and l_returnflag='R' then '' else lpad(cast(l_orderkey%28 as varchar),2,'0')||':'||lpad(cast(l_suppkey%60 as varchar),2,'0')||':00' end arrival_time,
+ row_number() over () pos from lineitem"""),
     ("service_alerts", f"""
  select 'A'||(user_id%40) alert_id, event_id%333<>0 and not (user_id%8=3 and event_id%2=0) has_body, case when (event_id//700)%2=1 then 'CONSTRUCTION' end cause, case when user_id%3=0 then 'Detail '||((event_id//300)%4) end description_text, case when user_id%4=0 then 'NO_SERVICE' else 'DETOUR' end effect,
  'Alert '||(user_id%40)||' v'||(case when (event_id//500)%3=1 then 1 else 0 end) header_text, list_value(cast(500+user_id%12 as varchar)) affected_route_ids,
@@ -53,22 +54,25 @@ _TOR = "cast(hour(timezone('America/Toronto', timezone('UTC', make_timestamp(({m
 # Typed and derived tables, written straight from the job descriptions.
 _DERIVED = [
     ("g_routes", """
- select route_id, coalesce(route_short_name,'') route_short_name,
- try_cast(nullif(trim(cast(route_type as varchar)),'') as integer) route_type,
- coalesce(nullif(coalesce(route_short_name,''),''), route_id) route_key from routes_txt"""),
+ select route_id, route_short_name, try_cast(nullif(trim(cast(route_type as varchar)),'') as integer) route_type,
+ coalesce(nullif(route_short_name,''), route_id) route_key from (
+   select route_id, coalesce(route_short_name,'') route_short_name, route_type,
+          row_number() over (partition by route_id order by pos desc) rn from routes_txt) where rn = 1"""),
+    # every row of the trips; which one of a repeated id counts is each table's own rule
     ("g_trips", """
- select trip_id, route_id, service_id, direction_raw, try_cast(nullif(trim(direction_raw),'') as integer) direction_id, shape_id from (
-   select *, row_number() over (partition by trip_id order by route_id desc, service_id desc, direction_raw desc, shape_id desc) rn from (
-     select trip_id, route_id, coalesce(service_id,'') service_id, coalesce(direction_id,'') direction_raw, trim(coalesce(shape_id,'')) shape_id from trips_txt))
- where rn = 1"""),
+ select trip_id, route_id, service_id, direction_raw, try_cast(nullif(trim(direction_raw),'') as integer) direction_id, shape_id, pos from (
+     select trip_id, route_id, coalesce(service_id,'') service_id, coalesce(direction_id,'') direction_raw, trim(coalesce(shape_id,'')) shape_id, pos from trips_txt)"""),
+    ("g_trip_routes", """
+ select trip_id, route_id from (select *, row_number() over (partition by trip_id order by pos desc) rn from g_trips) where rn = 1"""),
     ("g_stops", """
- select * from (select stop_id, coalesce(stop_name,'') stop_name,
+ select * exclude (rn) from (select *, row_number() over (partition by stop_id order by pos desc) rn from (
+ select stop_id, coalesce(stop_name,'') stop_name,
  try_cast(nullif(trim(stop_lat),'') as double) latitude, try_cast(nullif(trim(stop_lon),'') as double) longitude,
- trim(coalesce(location_type,'')) location_type, trim(coalesce(parent_station,'')) parent_station from stops_txt)
- where latitude is not null and longitude is not null"""),
+ trim(coalesce(location_type,'')) location_type, trim(coalesce(parent_station,'')) parent_station, pos from stops_txt)
+ where latitude is not null and longitude is not null) where rn = 1"""),
     ("g_stop_times", """
  select trip_id, stop_id, try_cast(nullif(trim(stop_sequence),'') as integer) stop_sequence,
- trim(coalesce(arrival_time,'')) arrival_time from stop_times_txt"""),
+ trim(coalesce(arrival_time,'')) arrival_time, pos from stop_times_txt"""),
     ("g_weekday", """
  select service_id, coalesce(start_date,'') start_date, coalesce(end_date,'') end_date
  from calendar_txt where trim(coalesce(wednesday,''))='1'"""),
@@ -78,11 +82,11 @@ _DERIVED = [
     ("g_services", """
  select distinct service_id from g_weekday join g_window using (start_date, end_date)"""),
     ("g_weekday_trips", """
- select * from g_trips where not exists (select 1 from g_weekday) or service_id in (select service_id from g_services)"""),
+ select * exclude (rn) from (select *, row_number() over (partition by trip_id order by pos desc) rn from g_trips
+   where not exists (select 1 from g_weekday) or service_id in (select service_id from g_services)) where rn = 1"""),
     ("g_first", """
  select trip_id, stop_sequence, arrival_time from (
-   select *, row_number() over (partition by trip_id order by stop_sequence,
-     coalesce(try_cast(trim(split_part(arrival_time, ':', 1)) as integer), 2147483647), arrival_time) rn
+   select *, row_number() over (partition by trip_id order by stop_sequence, pos) rn
    from g_stop_times where arrival_time <> '' and stop_sequence is not null) where rn = 1"""),
     ("g_tph", """
  select route_id, hour_of_day, direction_id, count(*) trip_count from (
@@ -96,19 +100,22 @@ _DERIVED = [
  from g_tph group by route_id, hour_of_day"""),
     ("g_shape_counts", """
  select r.route_key route_id, coalesce(t.direction_id, 0) direction_id, t.shape_id,
-        count(*) trip_count, min(t.trip_id) rep_trip_id
+        count(*) trip_count, arg_min(t.trip_id, t.pos) rep_trip_id, min(t.pos) seen_at
  from g_trips t join g_routes r on t.route_id = r.route_id group by all"""),
     ("g_dominant", """
- select route_id, direction_id, shape_id, trip_count, rep_trip_id from (
-   select *, row_number() over (partition by route_id, direction_id order by trip_count desc, shape_id) rn
+ select route_id, direction_id, shape_id, trip_count, rep_trip_id, pair_at from (
+   select *, row_number() over (partition by route_id, direction_id order by trip_count desc, seen_at) rn,
+          min(seen_at) over (partition by route_id, direction_id) pair_at
    from g_shape_counts) where rn = 1"""),
+    ("g_rep", """
+ select * from (select *, row_number() over (partition by rep_trip_id order by pair_at desc) rn from g_dominant) where rn = 1"""),
     ("g_route_stops", """
  select v.route_id, v.direction_id, v.stop_id, s.stop_name, s.latitude, s.longitude, v.stop_sequence from (
    select d.route_id, d.direction_id, st.stop_id, min(st.stop_sequence) stop_sequence
-   from g_dominant d join g_stop_times st on st.trip_id = d.rep_trip_id
+   from g_rep d join g_stop_times st on st.trip_id = d.rep_trip_id
    where st.stop_sequence is not null group by all) v join g_stops s on s.stop_id = v.stop_id"""),
     ("g_stop_routes", """
- select distinct st.stop_id, t.route_id from g_stop_times st join g_trips t on t.trip_id = st.trip_id"""),
+ select distinct st.stop_id, t.route_id from g_stop_times st join g_trip_routes t on t.trip_id = st.trip_id"""),
     ("g_stations", """
  select s.stop_id station_id, s.stop_name station_name, s.latitude, s.longitude from g_stops s
  where s.stop_id in (select p.parent_station from g_stops p
@@ -126,7 +133,8 @@ _DERIVED = [
    from g_stations st, g_surface sf join g_stops s on s.stop_id = sf.stop_id)
  where d <= 300 group by station_id, station_name, route_id"""),
     ("g_trip_dirs", """
- select trip_id, route_id, direction_id from g_trips"""),
+ select trip_id, route_id, direction_id from (
+   select *, row_number() over (partition by trip_id order by pos) rn from g_trips) where rn = 1"""),
     # --- positions ---------------------------------------------------------
     ("p_routed", """
  select *, (epoch_us(event_time) // 1000) // 300000 * 300000 window_start from vehicle_positions
@@ -285,7 +293,9 @@ ORACLE_SELECTS: dict[str, str] = {
     "trips_per_hour_direction": "select * from g_tph",
     "scheduled_headways": "select * from g_headways",
     "route_headway_report": "select * from g_headways where route_id = '504'",
-    "dominant_shapes": "select * from g_dominant",
+    "dominant_shapes": "select route_id, direction_id, shape_id, trip_count, rep_trip_id from g_dominant",
+    "trips_first_row": "select * from g_trip_dirs",
+    "trips_last_row": "select * from g_trip_routes",
     "route_paths": "select * from g_route_stops",
     "route_path_fallback": """select * from g_route_stops r where direction_id in (0, 1) and direction_id = (
         select min(x.direction_id) from g_route_stops x where x.route_id = r.route_id and x.direction_id in (0, 1))""",

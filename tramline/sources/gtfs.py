@@ -3,7 +3,8 @@
 Files are CSV with a header, read by column name with every value kept as
 text (no inference); a leading byte-order mark is dropped by the CSV
 reader. Columns a file lacks come back as nulls, which the static build
-treats as blank. ``calendar.txt`` is optional.
+treats as blank. ``calendar.txt`` is optional. ``file_pos`` is a row's place in
+its file.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import GTFS_COLUMNS
+from .order import FILE_POS, with_file_pos
 
 REQUIRED = ("routes", "trips", "stops", "stop_times")
 OPTIONAL = ("calendar",)
@@ -28,9 +30,10 @@ def read_gtfs_file(spark: SparkSession, path: str, columns: list[str]) -> DataFr
     raw = (spark.read.option("header", "true").option("inferSchema", "false")
            .option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
            .csv(path))
+    raw = with_file_pos(raw, numbered=False)
     present = {c.lstrip("﻿").strip(): c for c in raw.columns}
     return raw.select([F.col(f"`{present[c]}`").alias(c) if c in present
-                       else F.lit(None).cast("string").alias(c) for c in columns])
+                       else F.lit(None).cast("string").alias(c) for c in columns] + [FILE_POS])
 
 
 def read_gtfs(spark: SparkSession, directory: str) -> dict[str, DataFrame | None]:

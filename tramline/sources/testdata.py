@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
+from .order import FILE_POS, with_file_pos
 
 # Thirty days of events are compressed 60x into twelve hours from this epoch.
 EPOCH_US = 1704067200000000
@@ -42,6 +43,11 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _read_file(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """With every row's place in its file, as ``read_gtfs`` gives it."""
+    return with_file_pos(_read(spark, sf_dir, name), numbered=True)
+
+
 def vehicle_positions(spark: SparkSession, sf_dir: str, received: bool = False) -> DataFrame:
     """Positions; ``received`` adds when each arrived (its record time may be older)."""
     configure(spark)
@@ -95,24 +101,24 @@ def service_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def routes_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return (_read(spark, sf_dir, "nation")
+    return (_read_file(spark, sf_dir, "nation")
             .selectExpr(
                 "'R' || n_nationkey as route_id",
                 "case when n_nationkey = 10 then '' when n_nationkey = 12 then '503' "
                 "else cast(500 + n_nationkey as string) end as route_short_name",
                 "case when n_nationkey < 2 then 1 when n_nationkey < 5 then 0 "
-                "when n_nationkey = 9 then null else 3 end as route_type"))
+                "when n_nationkey = 9 then null else 3 end as route_type", FILE_POS))
 
 
 def trips_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return _read(spark, sf_dir, "orders").selectExpr(
+    return _read_file(spark, sf_dir, "orders").selectExpr(
         # every 50th order repeats the trip id of the one before it; R25 is no route
         "'T' || case when o_orderkey % 50 = 7 then o_orderkey - 1 else o_orderkey end as trip_id",
         "'R' || (o_custkey % 26) as route_id",
         "o_orderpriority as service_id",
         "case when o_orderkey % 7 = 0 then '' else cast(o_orderkey % 2 as string) end as direction_id",
-        "o_orderstatus as shape_id")
+        "o_orderstatus as shape_id", FILE_POS)
 
 
 # Fixed test calendar (FIXTURES.md §3): service_id, wednesday, start, end.
@@ -134,7 +140,7 @@ def calendar_txt(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
 
 def stops_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return _read(spark, sf_dir, "supplier").selectExpr(
+    return _read_file(spark, sf_dir, "supplier").selectExpr(
         "'S' || s_suppkey as stop_id",
         "'Stop ' || s_suppkey as stop_name",
         "case when s_suppkey % 37 = 5 then 'n/a' "
@@ -142,18 +148,19 @@ def stops_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(-79.40 + (s_suppkey div 10) * 0.002 as string) as stop_lon",
         "case when s_suppkey % 10 = 0 then '1' else '' end as location_type",
         "case when s_suppkey % 10 in (1, 2) then 'S' || (s_suppkey - s_suppkey % 10) else '' end "
-        "as parent_station")
+        "as parent_station", FILE_POS)
 
 
 def stop_times_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return (_read(spark, sf_dir, "lineitem")
+    return (_read_file(spark, sf_dir, "lineitem")
             .selectExpr(
                 "'T' || l_orderkey as trip_id",
                 "'S' || l_suppkey as stop_id",
                 "cast(l_linenumber as string) as stop_sequence",
                 "case when l_linenumber = 1 and l_returnflag = 'R' then '' "
-                "else lpad(cast(l_orderkey % 28 as string), 2, '0') || ':15:00' end as arrival_time"))
+                "else lpad(cast(l_orderkey % 28 as string), 2, '0') || ':' || lpad(cast(l_suppkey % 60 as string), 2, '0') "
+                "|| ':00' end as arrival_time", FILE_POS))
 
 
 def gtfs_tables(spark: SparkSession, sf_dir: str) -> dict:
