@@ -14,6 +14,7 @@ from tramline.operators import static as ST
 from tramline.sources import feeds as FD
 from tramline.sources import testdata as TD
 from tramline.streaming import jobs as J
+from tramline.streaming import stateful as SF
 
 N_FILES = 4
 
@@ -41,7 +42,8 @@ def _land(df, path, order="arrival_seq"):
 
 def _run(stream_df, name, mode="append"):
     q = (stream_df.writeStream.format("memory").queryName(name).outputMode(mode)
-         .trigger(availableNow=True).start())
+         .trigger(availableNow=True))
+    q = SF.start(q)
     q.awaitTermination()
     return q
 
@@ -69,8 +71,8 @@ def test_crowding_stream_equals_batch(spark, scratch):
     hw = ST.scheduled_headways(t["routes"], t["trips"], t["stop_times"], t["calendar"], TD.AS_OF_DATE)
     trips = ST.trip_directions(t["trips"])
     stream = FD.read_positions(spark, f"{scratch}/pos", streaming=True, max_files=1)
-    _run(J.crowding_stream(stream, trips, hw), "crowding_stream")
-    got = _rows(spark.table("crowding_stream"))
+    J.start_crowding(stream, trips, hw, f"{scratch}/out", f"{scratch}/ckpt").awaitTermination()
+    got = _rows(spark.read.parquet(f"{scratch}/out").drop("batch_id"))
     want = _rows(C.crowding_estimates(spark.read.parquet(f"{scratch}/pos"), trips, hw))
     assert got == want and len(want) > 0
 
@@ -84,7 +86,7 @@ def _alerts_landed(spark, scratch):
 def test_alert_changes_stream_equals_batch(spark, scratch):
     alerts = _alerts_landed(spark, scratch)
     stream = FD.read_alerts(spark, f"{scratch}/alerts", streaming=True, max_files=1)
-    _run(J.alert_changes_stream(stream), "changes_stream")
+    _run(SF.alert_changes_stream(stream), "changes_stream")
     cols = ["alert_id", "arrival_seq"]
     got = _rows(spark.table("changes_stream").select(*cols))
     want = _rows(A.alert_changes(alerts).select(*cols))
@@ -201,7 +203,7 @@ def test_changes_then_ripples_equals_batch(spark, scratch):
         return feeders
 
     stream = FD.read_alerts(spark, f"{scratch}/alerts", streaming=True, max_files=1)
-    q = J.start_ripples(J.alert_changes_stream(stream), read_feeders, f"{scratch}/ripples", f"{scratch}/ckpt")
+    q = J.start_ripples(SF.alert_changes_stream(stream), read_feeders, f"{scratch}/ripples", f"{scratch}/ckpt")
     q.awaitTermination()
     got = _rows(spark.read.parquet(f"{scratch}/ripples").drop("batch_id"))
     want = _rows(A.ripples(A.alert_changes(alerts), feeders))

@@ -11,8 +11,7 @@ as many as a route has stops, whatever the number of vehicles: a vehicle that is
 not the last (by vehicle_id) at its sequence has its follower there, at gap 0; the
 last one's gap reaches to the next sequence. ``gaps_by_window_function`` finds
 the next one with ``lead``, ``gaps_by_array`` in a sorted array of them. The
-streaming form (``vehicle_lists``) holds a window's vehicles in one array, as its
-state must.
+streaming job applies this to the windows that a micro-batch closes.
 """
 
 from __future__ import annotations
@@ -136,30 +135,6 @@ def _follow(scheduled: DataFrame, steps: DataFrame) -> DataFrame:
         .otherwise(F.col("_next") - F.col("seq")))
 
 
-def vehicle_lists(snapshots: DataFrame, window_col=None) -> DataFrame:
-    """Per (route, direction, window): vehicles sorted by (stop sequence, vehicle_id).
-
-    ``window_col`` lets a streaming caller re-derive the window from
-    ``window_time`` so the watermark can close it (ST-9).
-    """
-    w = (window_col if window_col is not None else F.col("w")).alias("w")
-    return snapshots.groupBy("route_id", "direction_id", w).agg(
-        F.sort_array(F.collect_list(F.struct("seq", "vehicle_id"))).alias("v"))
-
-
-def explode_lists(scheduled_lists: DataFrame, crowded: float = X.CROWDED_RATIO,
-                  empty: float = X.EMPTY_RATIO) -> DataFrame:
-    """W-1 on sorted arrays: gap to the next element, then one row per vehicle (ST-8)."""
-    v = F.col("v")
-    rows = scheduled_lists.select(
-        *GROUP, "scheduled_headway_minutes",
-        (F.element_at(v, -1).getField("seq") - F.element_at(v, 1).getField("seq")).alias("span"),
-        F.explode(F.transform(v, lambda x, i: F.struct(
-            x.getField("vehicle_id").alias("vehicle_id"),
-            (F.get(v, i + 1).getField("seq") - x.getField("seq")).alias("gap_stops")))).alias("e"))
-    return _finish(rows.select("*", "e.vehicle_id", "e.gap_stops"), crowded, empty)
-
-
 def gaps_by_array(snapshots: DataFrame, headways: DataFrame, crowded: float = X.CROWDED_RATIO,
                   empty: float = X.EMPTY_RATIO, tz: str = X.LOCAL_TZ) -> DataFrame:
     """W-1 with a sorted array of a group's different stop sequences."""

@@ -257,6 +257,12 @@ def client_vehicle_state(positions: DataFrame, estimates: DataFrame, as_of_s: in
     fields with it. A crowding message only sets ``crowding_level`` while the
     vehicle is known, and does not count as a sign of life.
     """
+    return client_snapshot(positions, estimates, as_of_s, seen, stale_s).drop("last_seen_us")
+
+
+def client_snapshot(positions: DataFrame, estimates: DataFrame, as_of_s: int, seen: str = "received_at",
+                    stale_s: int = X.CLIENT_STALE_S) -> DataFrame:
+    """``client_vehicle_state`` with when each vehicle was last seen: all that a client needs to go on from here."""
     runs = last_runs(positions, seen, stale_s).where(
         F.col("last_seen") >= F.lit((as_of_s - stale_s) * 1_000_000))
     known = (positions.join(runs.select("vehicle_id", "run_start"), "vehicle_id")
@@ -267,8 +273,9 @@ def client_vehicle_state(positions: DataFrame, estimates: DataFrame, as_of_s: in
                      & (written <= F.lit(as_of_s * 1_000_000)))
               .select("vehicle_id", "window_end", "route_id", "direction_id", "crowding_level"))
     latest_level = latest_by_key(levels, ["vehicle_id"], ["window_end", "route_id", "direction_id"])
-    return sticky_state(known).join(latest_level.select("vehicle_id", "crowding_level"),
-                                    "vehicle_id", "left")
+    timed = known.withColumn("last_seen_us", F.unix_micros(seen))
+    return sticky_state(timed, fields=[*POSITION_FIELDS, "last_seen_us"]).join(
+        latest_level.select("vehicle_id", "crowding_level"), "vehicle_id", "left")
 
 
 def named_counts(**frames: DataFrame) -> DataFrame:

@@ -87,3 +87,9 @@ def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint location for a named streaming query, under the shared
     checkpoint folder (so a restarted driver resumes where it stopped)."""
     return f"{checkpoint_root(spark)}/streams/{name}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own through the cluster's filesystem."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -7,14 +7,14 @@ changes:
   streams, so the count is a chain of two stateful aggregates
   (route, window, vehicle) -> (route, window); state is one row per
   vehicle-window, never a growing array, and the watermark closes both;
-* the gap to the vehicle ahead: ``lead`` is not supported on streams, so the
-  second aggregate builds the sorted per-window list and an array transform
-  computes the gaps (``crowding.explode_lists``);
+* the gap to the vehicle ahead: ``lead`` is not supported on streams, but all
+  vehicles of a window come out when it closes, in one micro-batch, which is
+  then finished as a batch (``foreachBatch``);
 * ripples need a per-version "closest station" aggregate with no event-time
   column: each micro-batch is processed as a batch (``foreachBatch``),
   written idempotently per batch id;
-* change detection and TTL'd live state are keyed state machines
-  (``applyInPandasWithState``), vectorized per key and micro-batch.
+* TTL'd live state is a keyed state machine (``applyInPandasWithState``); those
+  that fold a key's rows in arrival order are in ``streaming.stateful``.
 
 Windows emit once, when the watermark (max event time - grace) passes their
 end (append mode), like the reference's suppress-until-close.
@@ -34,7 +34,8 @@ from ..functions import exprs as X
 from ..operators import alerts as A
 from ..operators import crowding as C
 from ..operators import delay as D
-from ..session import stream_checkpoint
+from ..session import remove, stream_checkpoint
+from .stateful import start
 
 
 # ---------------------------------------------------------------------------
@@ -59,16 +60,45 @@ def delay_scores_stream(positions: DataFrame, headways: DataFrame, window: str =
                            tz=tz)
 
 
-def crowding_stream(positions: DataFrame, trips: DataFrame, headways: DataFrame,
-                    window: str = X.WINDOW, grace: str = X.GRACE,
-                    crowded: float = X.CROWDED_RATIO, empty: float = X.EMPTY_RATIO,
-                    tz: str = X.LOCAL_TZ) -> DataFrame:
-    """Streaming crowding estimates (append mode): latest snapshot per vehicle,
-    then the sorted vehicle list per (route, direction, window) (ST-9)."""
+def closed_snapshots_stream(positions: DataFrame, trips: DataFrame, window: str = X.WINDOW,
+                            grace: str = X.GRACE) -> DataFrame:
+    """The last snapshot of each vehicle in every closed (route, direction, window) (append mode).
+
+    State is one row per vehicle and open window. All vehicles of a window come out in the
+    micro-batch whose watermark passes its end.
+    """
     timed = C.eligible(positions, trips).withWatermark("event_time", grace)
-    snapshots = C.latest_snapshots(timed, window)
-    lists = C.vehicle_lists(snapshots, F.window(F.window_time("w"), window))
-    return C.explode_lists(C.with_schedule(lists, headways, tz), crowded, empty)
+    return C.latest_snapshots(timed, window)
+
+
+def crowding_batch_writer(headways: DataFrame | Callable[[], DataFrame], path: str, crowded: float = X.CROWDED_RATIO,
+                          empty: float = X.EMPTY_RATIO, tz: str = X.LOCAL_TZ, fmt: str = "parquet"):
+    """foreachBatch function: estimates for the windows that a micro-batch has closed, to ``path/batch_id=<id>``.
+
+    A closed window is whole within its micro-batch, so the gaps are those of the batch form: only
+    the different stop sequences of a group are ordered, and no list of its vehicles is made anywhere.
+    The closed vehicles are written first (to ``path/_closed``, which readers of ``path`` skip) and read
+    twice from there, so that a lost executor costs a reread and not the stateful step.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, staged = batch.sparkSession, f"{path.rstrip('/')}/_closed/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(staged)
+        closed = spark.read.schema(batch.schema).parquet(staged)
+        scheduled = C.with_schedule(closed, headways() if callable(headways) else headways, tz)
+        (C.gaps_by_window_function(scheduled, crowded, empty).write.mode("overwrite")
+         .format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}"))
+        remove(spark, staged)
+    return write
+
+
+def start_crowding(positions: DataFrame, trips: DataFrame, headways: DataFrame | Callable[[], DataFrame], path: str,
+                   checkpoint: str | None = None, trigger: dict | None = None, window: str = X.WINDOW, grace: str = X.GRACE,
+                   **rule):
+    """Start the crowding job (ST-9); the checkpoint defaults to the shared checkpoint folder."""
+    checkpoint = checkpoint or stream_checkpoint(positions.sparkSession, "crowding")
+    w = (closed_snapshots_stream(positions, trips, window, grace).writeStream.outputMode("append")
+         .foreachBatch(crowding_batch_writer(headways, path, **rule)).option("checkpointLocation", checkpoint))
+    return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
 # ---------------------------------------------------------------------------
@@ -99,41 +129,7 @@ def start_ripples(alerts: DataFrame, feeders: DataFrame | Callable[[], DataFrame
     checkpoint = checkpoint or stream_checkpoint(alerts.sparkSession, "ripples")
     w = (alerts.writeStream.foreachBatch(ripples_batch_writer(feeders, path))
          .option("checkpointLocation", checkpoint))
-    return w.trigger(**(trigger or {"availableNow": True})).start()
-
-
-# ---------------------------------------------------------------------------
-# J1: keyed change detection (ST-6)
-# ---------------------------------------------------------------------------
-def alert_changes_stream(alerts: DataFrame, state_ttl_ms: int | None = None) -> DataFrame:
-    """Emit an alert version when its content differs from the last published
-    one for that alert (A, A, B, A -> 3 rows). State is the last published
-    fingerprint per alert, checkpointed with each micro-batch; with
-    ``state_ttl_ms`` an alert not seen for that long is forgotten. The whole
-    alert row comes out (and its fingerprint), so ``start_ripples`` can take it."""
-    bodies = A.with_fingerprint(alerts.where(F.col("has_body")))
-    out_schema = bodies.schema
-    state_schema = T.StructType([T.StructField("fingerprint", T.StringType())])
-
-    def detect(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values("arrival_seq")
-        fps = pdf["fingerprint"]
-        previous = fps.shift(1)
-        if state.exists:
-            previous.iloc[0] = state.get[0]
-        changed = pdf[fps.ne(previous)]
-        state.update((fps.iloc[-1],))
-        if state_ttl_ms:
-            state.setTimeoutDuration(state_ttl_ms)
-        yield changed
-
-    timeout = (GroupStateTimeout.ProcessingTimeTimeout if state_ttl_ms
-               else GroupStateTimeout.NoTimeout)
-    return bodies.groupBy("alert_id").applyInPandasWithState(
-        detect, out_schema, state_schema, "append", timeout)
+    return start(w.trigger(**(trigger or {"availableNow": True})))  # alerts may come from the ordered change detection
 
 
 # ---------------------------------------------------------------------------
