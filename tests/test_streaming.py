@@ -208,19 +208,3 @@ def test_changes_then_ripples_equals_batch(spark, scratch):
     got = _rows(spark.read.parquet(f"{scratch}/ripples").drop("batch_id"))
     want = _rows(A.ripples(A.alert_changes(alerts), feeders))
     assert got == want and len(want) > 0 and len(reads) > 1
-
-
-def test_state_upsert_is_idempotent(spark, scratch):
-    """A replayed or older update changes nothing; an expired key goes."""
-    from tramline.sinks import writers as K
-    at = dt.datetime(2024, 1, 1)
-    schema = "vehicle_id string, route_id string, event_time timestamp, arrival_seq long"
-    first = spark.createDataFrame([("V1", "1", at, 1), ("V2", "2", at, 2), ("", "9", at, 3)], schema)
-    second = spark.createDataFrame([("V1", "5", at + dt.timedelta(seconds=90), 4), ("V1", "4", at, 0)], schema)
-    now = int(at.replace(tzinfo=dt.timezone.utc).timestamp())
-    for batch in (first, second, second, first):
-        K.upsert_state(spark, f"{scratch}/state", batch, "vehicle_id", ttl_s=120, as_of_s=now + 100)
-    state = K.read_reference_table(spark, f"{scratch}/state", "state").collect()
-    assert sorted((r.vehicle_id, r.route_id) for r in state) == [("V1", "5"), ("V2", "2")]
-    K.upsert_state(spark, f"{scratch}/state", second, "vehicle_id", ttl_s=120, as_of_s=now + 130)
-    assert [r.vehicle_id for r in K.read_reference_table(spark, f"{scratch}/state", "state").collect()] == ["V1"]

@@ -389,11 +389,11 @@ def test_normalize_vehicle_feed_defaults(spark):
 
 def test_publish_and_upsert(spark, scratch):
     r1 = spark.createDataFrame([("R1", "504", 0), ("R2", "505", 0)], "route_id string, route_short_name string, route_type int")
-    K.publish_reference_tables(spark, {"routes": r1}, scratch, "v1")
+    K.publish_reference_tables(spark, {"routes": r1}, scratch)
     r2 = spark.createDataFrame([("R2", "505X", 3)], r1.schema)
     merged = K.upsert_routes(K.read_reference_table(spark, scratch, "routes"), r2)
-    K.publish_reference_tables(spark, {"routes": merged}, scratch, "v2")
-    assert K.current_version(spark, scratch) == "v2"
+    K.publish_reference_tables(spark, {"routes": merged}, scratch)
+    assert K.current_version(spark, scratch) == 2
     got = {r.route_id: r.route_short_name for r in K.read_reference_table(spark, scratch, "routes").collect()}
     assert got == {"R1": "504", "R2": "505X"}
 
@@ -468,19 +468,12 @@ def test_client_state_and_counters(spark):
     assert counts == {"vehicles": 3, "alerts": 3, "ripples": 1}
 
 
-def test_insert_ignore_and_history(spark, scratch):
+def test_insert_ignore(spark):
     trips = spark.createDataFrame([("t1", "R2", 1), ("t1", "R1", 0), ("t2", "R3", None)],
                                   "trip_id string, route_id string, direction_id int")
     got = {r.trip_id: (r.route_id, r.direction_id) for r in
            K.insert_ignore(trips, ["trip_id"], ["route_id"]).collect()}
     assert got == {"t1": ("R1", 0), "t2": ("R3", None)}
-    delays = spark.createDataFrame([("504", 1704067200000, 1.0), ("504", 1704153600000, 2.0)],
-                                   "route_id string, window_start long, delay_score double")
-    K.append_history(delays, f"{scratch}/hist")
-    K.append_history(delays.limit(1), f"{scratch}/hist")
-    hist = spark.read.parquet(f"{scratch}/hist")
-    by_day = {str(r.service_date): r["count"] for r in hist.groupBy("service_date").count().collect()}
-    assert by_day == {"2023-12-31": 2, "2024-01-01": 1}   # local (Toronto) service dates
 
 
 def test_write_stream_keyed_json(spark, scratch):
@@ -592,13 +585,20 @@ def test_crowding_groups_with_a_third_of_all_rows(spark):
             assert got[r, v] == want, (r, v)
 
 
-def test_published_pointer_is_replaced_whole(spark, scratch):
+def test_publishing_during_a_read_changes_nothing(spark, scratch):
+    """One version for all tables of a query, also when the next ones come and old ones are cleaned meanwhile."""
     from tramline.sinks import writers as K
-    one_row = spark.range(1)
-    for version in ("v1", "v2"):
-        K.publish_reference_tables(spark, {"t": one_row}, scratch, version)
-        assert K.current_version(spark, scratch) == version
-    assert sorted(f for f in os.listdir(scratch) if f.startswith("_CURRENT")) == ["_CURRENT"]
+    from tramline.sinks.manifest import Manifest
+    publish = lambda n: K.publish_reference_tables(spark, {t: spark.range(n) for t in ("a", "b")}, scratch)
+    assert K.current_version(spark, scratch) is None and publish(1) == 1
+    with Manifest(spark, scratch).pin() as held:
+        a = held.table("a")
+        assert [publish(n) for n in (2, 3, 4)] == [2, 3, 4]
+        Manifest(spark, scratch).clean(keep=1, young_s=0)
+        assert a.count() == held.table("b").count() == 1
+        assert K.read_reference_table(spark, scratch, "a").count() == 4
+    Manifest(spark, scratch).clean(keep=1, young_s=0)
+    assert Manifest(spark, scratch).versions() == [4]
 
 
 def test_no_checkpoint_folder_is_made_up(spark):

@@ -176,10 +176,11 @@ def routes_by_short_name(routes: DataFrame) -> DataFrame:
                          F.row_number().over(order).alias("listing_rank")).orderBy("listing_rank")
 
 
-def delay_board_by_route(delays: DataFrame) -> DataFrame:
-    """L-5: the board in natural route order ('2' before '10', then text), with ranks."""
+def delay_board_by_route(delays: DataFrame, ascending: bool = True) -> DataFrame:
+    """L-5: the board in natural route order ('2' before '10', then text) or its reverse, with ranks."""
     number = F.regexp_extract("route_id", r"^(\d+)", 1).try_cast("long")
-    order = W.orderBy(number.asc_nulls_last(), "route_id")
+    order = W.orderBy(number.asc_nulls_last(), "route_id") if ascending else W.orderBy(
+        number.desc_nulls_first(), F.col("route_id").desc())
     latest = latest_by_key(delays, ["route_id"], ["window_start"])
     return headway_display(latest).withColumn("board_rank", F.row_number().over(order)).orderBy("board_rank")
 

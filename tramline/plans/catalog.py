@@ -1,7 +1,8 @@
 """Registered queries: each is ``(spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver's tables through ``sources.testdata`` and runs
-over them whole. Columns whose wire form is an epoch (window bounds,
+over them whole. Queries of the schedule job build it; those of the live jobs read
+the tables it has published (``serving``). Columns whose wire form is an epoch (window bounds,
 detection times) are returned as epoch milliseconds and arrays as
 comma-joined text, so results compare across engines without type
 ambiguity.
@@ -21,8 +22,10 @@ from ..operators import delay as D
 from ..operators import live as LV
 from ..operators import static as ST
 from ..session import checkpoint_root
+from ..sinks import writers as K
 from ..sources import feeds as FD
 from ..sources import testdata as TD
+from .serving import served
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = TD.AS_OF_DATE
@@ -43,11 +46,11 @@ def _headways(t) -> DataFrame:
 def _feeders(t) -> DataFrame:
     """Feeder routes; the served pairs (a few per stop) are staged once, for the stations, the
     surface stops and the pairs all need them and each would scan the stop times anew."""
-    served = ST.stop_routes(t["trips"], t["stop_times"])
-    checkpoint_root(served.sparkSession)
-    served = served.checkpoint()
-    stations = ST.subway_stations(t["routes"], t["stops"], served)
-    return ST.station_feeder_routes(t["routes"], t["stops"], served, stations)
+    pairs = ST.stop_routes(t["trips"], t["stop_times"])
+    checkpoint_root(pairs.sparkSession)
+    pairs = pairs.checkpoint()
+    stations = ST.subway_stations(t["routes"], t["stops"], pairs)
+    return ST.station_feeder_routes(t["routes"], t["stops"], pairs, stations)
 
 
 def _positions(spark, sf_dir) -> DataFrame:
@@ -58,15 +61,13 @@ def _alerts(spark, sf_dir) -> DataFrame:
     return TD.service_alerts(spark, sf_dir)
 
 
-def _crowding(spark, sf_dir, t=None, array_form=False) -> DataFrame:
-    t = t or _t(spark, sf_dir)
-    return C.crowding_estimates(_positions(spark, sf_dir), ST.trip_directions(t["trips"]),
-                                _headways(t), array_form=array_form)
+def _crowding(spark, sf_dir, array_form=False) -> DataFrame:
+    known = served(spark, sf_dir)
+    return C.crowding_estimates(_positions(spark, sf_dir), known.trips, known.headways, array_form=array_form)
 
 
-def _ripples(spark, sf_dir, t=None) -> DataFrame:
-    t = t or _t(spark, sf_dir)
-    return A.ripples(_alerts(spark, sf_dir), _feeders(t))
+def _ripples(spark, sf_dir) -> DataFrame:
+    return A.ripples(_alerts(spark, sf_dir), served(spark, sf_dir).feeders)
 
 
 def _text(df: DataFrame, *array_cols: str) -> DataFrame:
@@ -164,15 +165,15 @@ def q_station_feeders_report(spark, sf_dir):
 # J3: delay
 # ---------------------------------------------------------------------------
 def q_delay_scores(spark, sf_dir):
-    return D.delay_scores(_positions(spark, sf_dir), _headways(_t(spark, sf_dir)))
+    return D.delay_scores(_positions(spark, sf_dir), served(spark, sf_dir).headways)
 
 
 def q_delay_scores_on_time_only(spark, sf_dir):
-    return D.delay_scores_on_time(_positions(spark, sf_dir), _headways(_t(spark, sf_dir)))
+    return D.delay_scores_on_time(_positions(spark, sf_dir), served(spark, sf_dir).headways)
 
 
 def q_unscheduled_windows(spark, sf_dir):
-    return D.unscheduled_windows(_positions(spark, sf_dir), _headways(_t(spark, sf_dir)))
+    return D.unscheduled_windows(_positions(spark, sf_dir), served(spark, sf_dir).headways)
 
 
 def q_late_positions(spark, sf_dir):
@@ -187,14 +188,12 @@ def q_late_positions(spark, sf_dir):
 # J4: crowding
 # ---------------------------------------------------------------------------
 def q_resolved_direction(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    return C.eligible(_positions(spark, sf_dir), ST.trip_directions(t["trips"])).select(
+    return C.eligible(_positions(spark, sf_dir), served(spark, sf_dir).trips).select(
         "arrival_seq", "vehicle_id", "route_id", "direction_id", "current_stop_sequence")
 
 
 def q_latest_vehicle_snapshot(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    snaps = C.latest_snapshots_reduced_first(_positions(spark, sf_dir), ST.trip_directions(t["trips"]))
+    snaps = C.latest_snapshots_reduced_first(_positions(spark, sf_dir), served(spark, sf_dir).trips)
     return snaps.select("route_id", "direction_id", X.epoch_ms("w.start").alias("window_start"),
                         "vehicle_id", F.col("seq").alias("current_stop_sequence"), "feed_ts",
                         "arrival_seq")
@@ -234,8 +233,7 @@ def q_ripples_live(spark, sf_dir):
 
 
 def q_alerts_without_ripples(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    out = A.alerts_without_ripples(_alerts(spark, sf_dir), _feeders(t)).select(
+    out = A.alerts_without_ripples(_alerts(spark, sf_dir), served(spark, sf_dir).feeders).select(
         "alert_id", "effect", "header_text", "affected_stop_ids", "arrival_seq")
     return _text(out, "affected_stop_ids")
 
@@ -247,6 +245,12 @@ VEHICLE_OUT = ["vehicle_id", "route_id", "latitude", "longitude", "bearing", "fe
                "occupancy", "trip_id", "direction_id", "current_stop_sequence", "arrival_seq"]
 
 
+CROWDING_OUT = ["vehicle_id", "route_id", "direction_id", "gap_ahead_minutes", "crowding_ratio", "scheduled_headway_minutes",
+                "crowding_level", "window_end"]
+RIPPLE_OUT = ["ripple_id", "source_alert_id", "source_effect", "affected_station", "feeder_route_id", "predicted_impact",
+              "header_text", "arrival_seq"]
+
+
 def _live_vehicles(spark, sf_dir):
     return LV.live_vehicles(_positions(spark, sf_dir), NOW)
 
@@ -261,33 +265,29 @@ def q_vehicle_sticky_state(spark, sf_dir):
         "direction_id", "current_stop_sequence", "feed_ts", "arrival_seq")
 
 
-def _snapshot(spark, sf_dir, t):
+def _snapshot(spark, sf_dir):
     return LV.vehicle_snapshot(_live_vehicles(spark, sf_dir),
-                               LV.live_crowding(_crowding(spark, sf_dir, t), NOW))
+                               LV.live_crowding(_crowding(spark, sf_dir), NOW))
 
 
 def q_vehicle_snapshot(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    return _snapshot(spark, sf_dir, t).select(*VEHICLE_OUT, "crowding_level")
+    return _snapshot(spark, sf_dir).select(*VEHICLE_OUT, "crowding_level")
 
 
 def q_vehicle_client_state(spark, sf_dir):
-    t = _t(spark, sf_dir)
     return LV.client_vehicle_state(TD.vehicle_positions(spark, sf_dir, received=True),
-                                   _crowding(spark, sf_dir, t), NOW).select(
+                                   _crowding(spark, sf_dir), NOW).select(
         "vehicle_id", "route_id", "latitude", "longitude", "bearing", "occupancy", "trip_id",
         "direction_id", "current_stop_sequence", "feed_ts", "arrival_seq", "crowding_level")
 
 
 def q_live_counters(spark, sf_dir):
-    t = _t(spark, sf_dir)
     return LV.live_counts(_live_vehicles(spark, sf_dir), A.last_bodies(_alerts(spark, sf_dir)),
-                          LV.live_ripples(_ripples(spark, sf_dir, t), NOW))
+                          LV.live_ripples(_ripples(spark, sf_dir), NOW))
 
 
 def q_map_vehicles(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    return LV.map_vehicles(_snapshot(spark, sf_dir, t), t["routes"])
+    return LV.map_vehicles(_snapshot(spark, sf_dir), served(spark, sf_dir).routes)
 
 
 def q_delay_board(spark, sf_dir):
@@ -309,6 +309,59 @@ def q_delay_envelopes(spark, sf_dir):
     return LV.envelopes(delay_update=rows)
 
 
+def _firehose(spark, sf_dir) -> dict[str, DataFrame]:
+    """U-6: what each of the five streams sends, with epochs in milliseconds."""
+    return {
+        "vehicle_update": LV.keyed_messages(_positions(spark, sf_dir), "vehicle_id").select(*VEHICLE_OUT),
+        "delay_update": q_delay_scores(spark, sf_dir).select(
+            "route_id", "window_start", "window_end", "actual_headway_minutes", "scheduled_headway_minutes", "delay_score"),
+        "crowding_update": _crowding(spark, sf_dir).select(*CROWDING_OUT),
+        "alert_update": _alerts(spark, sf_dir).where("has_body").select(*ALERT_OUT),
+        "ripple_update": _ripples(spark, sf_dir).select(*RIPPLE_OUT),
+    }
+
+
+def q_update_envelopes(spark, sf_dir):
+    """U-6 / P-3: every message of the live firehose with its payload."""
+    return LV.envelopes(**_firehose(spark, sf_dir))
+
+
+def q_snapshot_document(spark, sf_dir):
+    """U-3: the document a client gets on connecting, one JSON object per row and section."""
+    vehicles = _snapshot(spark, sf_dir).select(*VEHICLE_OUT, "crowding_level")
+    delays = LV.latest_by_key(_firehose(spark, sf_dir)["delay_update"], ["route_id"], ["window_start"])
+    alerts = A.last_bodies(_alerts(spark, sf_dir)).select(*ALERT_OUT)
+    ripples = LV.live_ripples(_ripples(spark, sf_dir), NOW).select(*RIPPLE_OUT)
+    return LV.snapshot_document(vehicles, delays, alerts, ripples)
+
+
+def q_vehicle_messages(spark, sf_dir):
+    """P-1 / K-1: positions as keyed JSON without the fields they lack."""
+    return K.to_keyed_json(LV.keyed_messages(_positions(spark, sf_dir), "vehicle_id").select(*VEHICLE_OUT), "vehicle_id")
+
+
+def q_crowding_messages(spark, sf_dir):
+    """P-2 / K-1: estimates as keyed JSON with explicit nulls."""
+    return K.to_keyed_json(_crowding(spark, sf_dir).select(*CROWDING_OUT), "vehicle_id", explicit_nulls=True)
+
+
+def q_delay_board_by_route_descending(spark, sf_dir):
+    return LV.delay_board_by_route(q_delay_scores(spark, sf_dir), ascending=False)
+
+
+def q_topic_rejects(spark, sf_dir):
+    """S-6: records of a damaged JSON topic that the jobs skip, and why."""
+    _, rejects = FD.parse_json_topic(TD.vehicle_topic(spark, sf_dir), FD.TOPIC_SCHEMA, "vehicle_id")
+    return rejects.select("arrival_seq", "reason", "value")
+
+
+def q_topic_counters(spark, sf_dir):
+    """S-6 / A-15: records, good ones and rejects of the topic by reason."""
+    good, rejects = FD.parse_json_topic(TD.vehicle_topic(spark, sf_dir), FD.TOPIC_SCHEMA, "vehicle_id")
+    marked = good.select(F.lit("good").alias("outcome")).unionByName(rejects.select(F.col("reason").alias("outcome")))
+    return marked.groupBy("outcome").agg(F.count(F.lit(1)).alias("records"))
+
+
 def q_alert_peek(spark, sf_dir):
     """L-8: the ten last alert records as JSON (a limit is the feature)."""
     bodies = _alerts(spark, sf_dir).where("has_body").select(
@@ -317,29 +370,26 @@ def q_alert_peek(spark, sf_dir):
 
 
 def q_active_alerts(spark, sf_dir):
-    t = _t(spark, sf_dir)
     alerts = A.last_bodies(_alerts(spark, sf_dir))
-    ripples = LV.live_ripples(_ripples(spark, sf_dir, t), NOW)
+    ripples = LV.live_ripples(_ripples(spark, sf_dir), NOW)
     return LV.active_alerts(alerts, ripples)
 
 
 def q_alert_feed(spark, sf_dir):
-    t = _t(spark, sf_dir)
     alerts = A.last_bodies(_alerts(spark, sf_dir))
-    ripples = LV.live_ripples(_ripples(spark, sf_dir, t), NOW)
+    ripples = LV.live_ripples(_ripples(spark, sf_dir), NOW)
     return LV.alert_feed(alerts, ripples)
 
 
 def q_update_envelope_counts(spark, sf_dir):
-    t = _t(spark, sf_dir)
     positions = _positions(spark, sf_dir)
     alerts = _alerts(spark, sf_dir)
     return LV.envelope_counts(
         vehicle_update=LV.keyed_messages(positions, "vehicle_id"),
-        delay_update=D.delay_scores(positions, _headways(t)),
-        crowding_update=_crowding(spark, sf_dir, t),
+        delay_update=D.delay_scores(positions, served(spark, sf_dir).headways),
+        crowding_update=_crowding(spark, sf_dir),
         alert_update=alerts.where(F.col("has_body")),
-        ripple_update=_ripples(spark, sf_dir, t))
+        ripple_update=_ripples(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -399,7 +449,14 @@ QUERIES: dict[str, Query] = {
     "delay_board": q_delay_board,
     "routes_by_short_name": q_routes_by_short_name,
     "delay_board_by_route": q_delay_board_by_route,
+    "delay_board_by_route_descending": q_delay_board_by_route_descending,
     "delay_envelopes": q_delay_envelopes,
+    "update_envelopes": q_update_envelopes,
+    "snapshot_document": q_snapshot_document,
+    "vehicle_messages": q_vehicle_messages,
+    "crowding_messages": q_crowding_messages,
+    "topic_rejects": q_topic_rejects,
+    "topic_counters": q_topic_counters,
     "alert_peek": q_alert_peek,
     "active_alerts": q_active_alerts,
     "alert_feed": q_alert_feed,

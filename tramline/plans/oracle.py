@@ -257,6 +257,14 @@ _DERIVED += [
    from c_out c join (select vehicle_id, min(epoch_us(received_at)) b, max(epoch_us(received_at)) e from v_last_run group by vehicle_id) r
      on r.vehicle_id = c.vehicle_id and c.window_end * 1000 + 30000000 between b and e + 180000000
    where c.window_end * 1000 + 30000000 <= {AS_OF_EPOCH_S * 1000000}) where rn = 1"""),
+    ("t_whole", """
+ select event_id, '{"vehicle_id":"' || case when event_id%37=5 then '' else 'V'||user_id end || '","route_id":"'
+   || (500+user_id%12) || '","event_id":' || event_id || '}' body from events"""),
+    ("t_topic", """
+ select event_id arrival_seq, case when event_id%31=3 then substring(body, 1, length(body)-4) when event_id%41=7 then 'no JSON '||event_id
+   when event_id%43=11 then null else body end "value",
+   case when event_id%31=3 or event_id%41=7 then 'malformed' when event_id%43=11 then 'empty' when event_id%37=5 then 'no key' end reason
+ from t_whole"""),
     ("d_board", """
  select * exclude (rn) from (select *, row_number() over (partition by route_id order by window_start desc) rn
  from p_delay) where rn = 1"""),
@@ -268,6 +276,23 @@ _STICKY = ["route_id", "latitude", "longitude", "bearing", "occupancy", "trip_id
            "current_stop_sequence", "feed_ts"]
 
 
+_DELAY = "route_id, window_start, window_end, actual_headway_minutes, scheduled_headway_minutes, delay_score"
+_CROWD = ("vehicle_id, route_id, direction_id, gap_ahead_minutes, crowding_ratio, scheduled_headway_minutes, crowding_level, "
+          "window_end")
+_ALERT = "alert_id, effect, header_text, affected_route_ids, affected_stop_ids, feed_ts, arrival_seq"
+_RIPPLE = ("ripple_id, source_alert_id, source_effect, affected_station, feeder_route_id, predicted_impact, header_text, "
+           "arrival_seq")
+
+
+def _json(columns: str) -> str:
+    return "cast(to_json({" + ", ".join(f"'{c.strip()}': {c.strip()}" for c in columns.split(",")) + "}) as varchar)"
+
+
+def _sparse(columns: str) -> str:
+    """Without the members that are null (a merge patch removes them)."""
+    return "cast(json_merge_patch('{}', " + _json(columns)[5:-12] + ") as varchar)"
+
+
 def with_prefix(select_sql: str) -> str:
     ctes = ",\n".join(f"{name} as ({body}\n)" for name, body in _BASE + _DERIVED)
     return f"with {ctes}\n{select_sql}"
@@ -347,6 +372,24 @@ ORACLE_SELECTS: dict[str, str] = {
     "delay_envelopes": """select 'delay_update' "type", cast(to_json({'route_id': route_id, 'window_start': window_start, 'window_end': window_end,
         'actual_headway_minutes': actual_headway_minutes, 'scheduled_headway_minutes': scheduled_headway_minutes,
         'delay_score': delay_score}) as varchar) "data" from p_delay""",
+    "delay_board_by_route_descending": """select route_id, case when delay_score > 0 then '+' else '' end || printf('%.2f', delay_score) delay_display,
+        cast(round(cast(actual_headway_minutes as decimal(18, 2)), 1) as varchar) || ' / '
+          || cast(round(cast(scheduled_headway_minutes as decimal(18, 2)), 1) as varchar) headway_display,
+        cast(row_number() over (order by try_cast(nullif(regexp_extract(route_id, '^(\\d+)', 1), '') as bigint) desc nulls first, route_id desc) as integer) board_rank
+        from d_board""",
+    "update_envelopes": f"""select 'vehicle_update' "type", {_sparse(_VEH)} "data" from vehicle_positions where vehicle_id <> ''
+        union all select 'delay_update', {_sparse(_DELAY)} from p_delay
+        union all select 'crowding_update', {_sparse(_CROWD)} from c_out
+        union all select 'alert_update', {_sparse(_ALERT)} from service_alerts where has_body
+        union all select 'ripple_update', {_sparse(_RIPPLE)} from r_rows""",
+    "snapshot_document": f"""select 'vehicles' section, {_sparse(_VEH + ", crowding_level")} "json" from v_snapshot
+        union all select 'delays', {_sparse(_DELAY)} from d_board
+        union all select 'alerts', {_sparse(_ALERT)} from a_last
+        union all select 'ripples', {_sparse(_RIPPLE)} from r_live""",
+    "vehicle_messages": f"""select vehicle_id "key", {_sparse(_VEH)} "value" from vehicle_positions where vehicle_id <> ''""",
+    "crowding_messages": f"""select vehicle_id "key", {_json(_CROWD)} "value" from c_out""",
+    "topic_rejects": "select arrival_seq, reason, value from t_topic where reason is not null",
+    "topic_counters": "select coalesce(reason, 'good') outcome, count(*) records from t_topic group by 1",
     "alert_peek": """select arrival_seq, cast(to_json({'alert_id': alert_id, 'effect': effect, 'header_text': header_text}) as varchar) "value"
         from service_alerts where has_body order by arrival_seq desc limit 10""",
     "active_alerts": """select alert_id, effect, cause, header_text, description_text, array_to_string(affected_route_ids, ',') affected_route_ids,

@@ -1,26 +1,26 @@
-"""Sinks: keyed JSON streams, reference-table publication, history.
+"""Sinks: keyed JSON streams, reference-table publication.
 
 * K-1  keyed JSON records: ``to_keyed_json`` / ``write_stream`` (sparse JSON
        by default, explicit nulls on request — P-1, P-2).
-* K-3  the reference tables are published together: each build writes a new
-       version directory, and only after every table is written does the
-       ``_CURRENT`` pointer move. Readers never see a half-refreshed set.
+* K-3  the reference tables are published together: each build writes new
+       folders, and only after every table is written is the next version
+       committed (``manifest``). Readers never see a half-refreshed set, and a
+       pinned version stays while it is read (S-10).
 * K-4  ``routes`` is upserted: old rows not in the new feed stay.
-* K-5  insert-ignore on a key, deterministic order.
-* K-7  history of scores, partitioned by service date.
+* K-5  insert-ignore on a key, in the order of the file.
+
+The live state (K-6) is in ``state_table``, the history (K-7) in ``history``.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import static as ST
-from ..operators.live import keyed_messages, latest_by_key
 from ..session import checkpoint_root
+from ..sources.order import FILE_POS
+from .manifest import Manifest
 
 
 def to_keyed_json(df: DataFrame, key: str, explicit_nulls: bool = False) -> DataFrame:
@@ -41,44 +41,15 @@ def write_stream(df: DataFrame, key: str, path: str, checkpoint: str, fmt: str =
 # ---------------------------------------------------------------------------
 # Reference tables (K-3, K-4, K-5)
 # ---------------------------------------------------------------------------
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _replace_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a new file and rename it over the old one: a reader sees the one or the other."""
-    fresh, fs = _fs(spark, f"{path}.{uuid.uuid4().hex}")
-    out = fs.create(fresh, False)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    sc = spark.sparkContext
-    hadoop = sc._jvm.org.apache.hadoop.fs
-    how = sc._gateway.new_array(hadoop.Options.Rename, 1)
-    how[0] = hadoop.Options.Rename.OVERWRITE
-    place, _ = _fs(spark, path)
-    hadoop.FileContext.getFileContext(fresh.toUri() if fresh.toUri().getScheme() else fs.getUri(),
-                                      sc._jsc.hadoopConfiguration()).rename(fresh, place, how)
-
-
-def current_version(spark: SparkSession, root: str) -> str | None:
-    p, fs = _fs(spark, f"{root.rstrip('/')}/_CURRENT")
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    reader = spark.sparkContext._jvm.java.io.BufferedReader(
-        spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-    line = reader.readLine()
-    reader.close()
-    return line.strip() if line else None
+def current_version(spark: SparkSession, root: str) -> int | None:
+    """Number of the published version; None before the first."""
+    return Manifest(spark, root).read()[0] or None
 
 
 def read_reference_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    version = current_version(spark, root)
-    if version is None:
-        raise FileNotFoundError(f"no published version under {root}")
-    return spark.read.parquet(f"{root.rstrip('/')}/{version}/{name}")
+    """One table of the current version; a query over several takes them from one ``Manifest.pin`` (S-10)."""
+    m = Manifest(spark, root)
+    return m.table(m.read()[1], name)
 
 
 def upsert_routes(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
@@ -96,19 +67,18 @@ def insert_ignore(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
             .select(*keys, "_r.*"))
 
 
-def publish_reference_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
-                             version: str | None = None) -> str:
-    """K-3: write every table under a new version, then move the pointer."""
-    version = version or f"v{int(time.time() * 1000)}"
-    base = f"{root.rstrip('/')}/{version}"
+def publish_reference_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> int:
+    """K-3: write every table, then commit them together as the next version."""
+    m = Manifest(spark, root)
+    folder = m.new_folder()
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{base}/{name}")
-    _replace_text(spark, f"{root.rstrip('/')}/_CURRENT", version + "\n")
-    return version
+        df.write.parquet(f"{m.root}/{folder}/{name}")
+    content = {"entries": {name: f"{folder}/{name}" for name in tables}, "schemas": {name: df.schema.jsonValue() for name, df in tables.items()}}
+    return m.update(lambda _: content)
 
 
 def build_and_publish(spark: SparkSession, gtfs: dict, root: str, as_of: str,
-                      radius_m: float = 300) -> str:
+                      radius_m: float = 300) -> int:
     """The whole static job: stage ``stop_times`` once, build, publish.
 
     ``stop_times`` feeds three of the tables; it is normalized once and cut
@@ -127,7 +97,7 @@ def build_and_publish(spark: SparkSession, gtfs: dict, root: str, as_of: str,
         previous = None
     tables = {
         "routes": upsert_routes(previous, t["routes"]),
-        "trips": ST.trip_directions(t["trips"]),
+        "trips": insert_ignore(t["trips"].select("trip_id", "route_id", "direction_id", FILE_POS), ["trip_id"], [FILE_POS]).drop(FILE_POS),
         "scheduled_headways": ST.scheduled_headways(t["routes"], t["trips"], t["stop_times"],
                                                     t["calendar"], as_of),
         "route_stops": ST.route_paths(t["routes"], t["trips"], t["stops"], t["stop_times"]),
@@ -135,27 +105,3 @@ def build_and_publish(spark: SparkSession, gtfs: dict, root: str, as_of: str,
                                                           stations, radius_m),
     }
     return publish_reference_tables(spark, tables, root)
-
-
-def upsert_state(spark: SparkSession, root: str, updates: DataFrame, key: str, order: str = "arrival_seq",
-                 ttl_s: int | None = None, as_of_s: int | None = None, written_at: str = "event_time") -> str:
-    """K-6 / ST-14: merge updates into the published state table, one row per key.
-
-    The latest row by ``order`` stays, expired ones go (if a TTL is given), and the
-    new version replaces the old one at once. Merging the same updates again
-    changes nothing, so a replayed micro-batch is harmless.
-    """
-    try:
-        rows = read_reference_table(spark, root, "state").unionByName(updates)
-    except FileNotFoundError:
-        rows = updates
-    latest = latest_by_key(keyed_messages(rows, key), [key], [order], ttl_s, as_of_s, written_at)
-    return publish_reference_tables(spark, {"state": latest}, root, f"v{time.time_ns()}")
-
-
-def append_history(df: DataFrame, path: str, time_col_ms: str = "window_start",
-                   tz: str = "America/Toronto") -> None:
-    """K-7: append scores to a history table partitioned by local service date."""
-    dated = df.withColumn("service_date", F.to_date(
-        F.from_utc_timestamp(F.timestamp_millis(time_col_ms), tz)))
-    dated.write.mode("append").partitionBy("service_date").parquet(path)

@@ -10,7 +10,9 @@ from files and are the one place a Kafka source would plug in.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,49 +174,118 @@ def read_alerts(spark: SparkSession, path: str, streaming: bool = False,
     return _reader(spark, streaming, max_files).schema(schemas.SERVICE_ALERT).format(fmt).load(path)
 
 
-def read_avro_topic(spark: SparkSession, bootstrap: str, topic: str, avro_schema_json: str,
-                    streaming: bool = True, starting: str = "latest") -> DataFrame:
-    """S-3 on a cluster with the Kafka and Avro modules: strip the 5-byte
-    registry envelope (magic byte + schema id) and decode with ``from_avro``.
+#: Bytes in front of a registry-encoded record: the magic byte 0 and a schema id of four bytes.
+ENVELOPE_BYTES = 5
+
+
+def open_envelope(raw: DataFrame, schema_ids: list[int], partitions: int, partition: str = "partition") -> tuple[DataFrame, DataFrame]:
+    """S-3: binary topic records -> (good, rejects).
 
-    The record's Kafka timestamp becomes ``event_time`` and its offset
-    ``arrival_seq``. ``starting='earliest'`` replays a compacted topic to
-    rebuild state (S-7). Not exercised here: the modules are not installed.
+    ``raw`` has key, value (binary), partition, offset and timestamp, as a topic source gives them. Good rows get
+    ``schema_id``, ``body`` (without the envelope; null for a tombstone, which has a key and no value), ``event_time``
+    and ``arrival_seq``: offsets only count within a partition, so the order over all of them is
+    ``offset * partitions + partition``, unique and growing in each partition (a key stays in one). A record
+    without the magic byte, too short for the envelope, or of a schema that is not in ``schema_ids`` goes to ``rejects``
+    with a reason.
+    """
+    value = F.col("value")
+    schema_id = F.conv(F.hex(F.expr("substring(value, 2, 4)")), 16, 10).cast("long")
+    reason = (F.when(value.isNull(), F.when(F.col("key").isNull(), F.lit("empty")))
+              .when(F.length(value) < ENVELOPE_BYTES, F.lit("too short"))
+              .when(F.hex(F.expr("substring(value, 1, 1)")) != "00", F.lit("no magic byte"))
+              .when(~schema_id.isin(*schema_ids), F.lit("unknown schema")))
+    marked = raw.withColumn("reason", reason)
+    good = marked.where("reason is null").select(
+        F.col("key").cast("string").alias("key"), schema_id.alias("schema_id"),
+        F.expr(f"substring(value, {ENVELOPE_BYTES + 1}, length(value) - {ENVELOPE_BYTES})").alias("body"),
+        F.col("timestamp").alias("event_time"),
+        (F.col("offset") * partitions + F.col(partition)).alias("arrival_seq"))
+    return good, marked.where("reason is not null")
+
+
+def position_rows(decoded: DataFrame) -> DataFrame:
+    """Decoded position records (``r``, event_time, arrival_seq) with the operators' columns."""
+    r = F.col("r")
+    names = {f.name: f.dataType for f in schemas.VEHICLE_POSITION}
+    fields = [r.getField("timestamp" if n == "feed_ts" else n).cast(t).alias(n) for n, t in names.items() if n not in ("event_time", "arrival_seq")]
+    return decoded.where(r.isNotNull()).select(*fields, "event_time", "arrival_seq")
+
+
+def alert_rows(decoded: DataFrame) -> DataFrame:
+    """Decoded alert records (key, ``r``, event_time, arrival_seq) with the operators' columns; a record without a body is a tombstone."""
+    r = F.col("r")
+    names = {f.name: f.dataType for f in schemas.SERVICE_ALERT}
+    own = ("alert_id", "has_body", "event_time", "arrival_seq")
+    fields = {n: r.getField("timestamp" if n == "feed_ts" else n).cast(t) for n, t in names.items() if n not in own}
+    fields |= {"alert_id": F.coalesce(r.getField("alert_id"), F.col("key")), "has_body": r.isNotNull(),
+               "event_time": F.col("event_time"), "arrival_seq": F.col("arrival_seq")}
+    return decoded.select(*[fields[n].alias(n) for n in names])
+
+
+def decode_topic(raw: DataFrame, decode: Callable[[Column], Column], key: str, schema_ids: list[int],
+                 partitions: int) -> tuple[DataFrame, DataFrame]:
+    """S-3: envelope opened and body decoded -> (key, ``r``, event_time, arrival_seq; rejects).
+
+    ``decode`` turns the body into a struct and a body it cannot read into nulls; such a record, which lacks its
+    ``key`` field, goes to the rejects as undecodable. A tombstone stays, without ``r``.
+    """
+    good, rejects = open_envelope(raw, schema_ids, partitions)
+    decoded = good.withColumn("r", F.when(F.col("body").isNotNull(), decode(F.col("body"))))
+    broken = F.col("body").isNotNull() & F.col("r").getField(key).isNull()
+    lost = decoded.where(broken).select("key", F.col("body").alias("value"), "arrival_seq", F.lit("undecodable").alias("reason"))
+    rest = rejects.select(F.col("key").cast("string").alias("key"), "value",
+                          (F.col("offset") * partitions + F.col("partition")).alias("arrival_seq"), "reason")
+    return decoded.where(~broken).drop("body"), rest.unionByName(lost)
+
+
+def read_avro_topic(spark: SparkSession, bootstrap: str, topic: str, avro_schema_json: str, key: str, schema_ids: list[int],
+                    partitions: int, streaming: bool = True, starting: str = "latest") -> tuple[DataFrame, DataFrame]:
+    """S-3 on a cluster with the topic-source and Avro modules: ``decode_topic`` over a registry-encoded topic.
+
+    ``position_rows`` and ``alert_rows`` give the records the operators' columns. ``starting='earliest'`` replays a
+    compacted topic to rebuild state, ``stateful.starting_offsets`` goes on behind a snapshot (S-7). The modules
+    are not installed here; all but the two calls of theirs is tested on binary rows.
     """
     from pyspark.sql.avro.functions import from_avro
 
     r = spark.readStream if streaming else spark.read
     raw = (r.format("kafka").option("kafka.bootstrap.servers", bootstrap)
            .option("subscribe", topic).option("startingOffsets", starting).load())
-    body = F.expr("substring(value, 6, length(value) - 5)")
-    return raw.select(from_avro(body, avro_schema_json, {"mode": "PERMISSIVE"}).alias("r"),
-                      F.col("timestamp").alias("event_time"),
-                      F.col("offset").alias("arrival_seq")).select("r.*", "event_time", "arrival_seq")
+    return decode_topic(raw, lambda body: from_avro(body, avro_schema_json, {"mode": "PERMISSIVE"}), key, schema_ids, partitions)
+
+
+#: Records of ``testdata.vehicle_topic``.
+TOPIC_SCHEMA = T.StructType([T.StructField("vehicle_id", T.StringType()), T.StructField("route_id", T.StringType()),
+                             T.StructField("event_id", T.LongType())])
+_CORRUPT = "_corrupt_record"
+
+
+def _parsed(raw: DataFrame, schema: T.StructType, key: str, value_col: str) -> DataFrame:
+    """``raw`` with the record and, where it is to be skipped, the reason."""
+    whole = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    record = F.from_json(F.col(value_col), whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    rec, k = F.col("_rec"), F.col("_rec").getField(key)
+    reason = (F.when(F.col(value_col).isNull(), F.lit("empty"))
+              .when(rec.isNull() | rec.getField(_CORRUPT).isNotNull(), F.lit("malformed"))
+              .when(k.isNull() | (k == ""), F.lit("no key")))
+    return raw.withColumn("_rec", record).withColumn("reason", reason)
 
 
 def parse_json_topic(raw: DataFrame, schema: T.StructType, key: str,
                      value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """JSON text records -> (good, rejects) (S-5, S-6).
 
-    Unparseable text or a missing/empty key goes to ``rejects`` with the raw
-    value; nothing is dropped silently. ``from_json`` yields a struct of
-    nulls for bad text, so the key field is what is tested.
+    Text that is no whole JSON record, a missing or empty key, and no value at all go to ``rejects``, as they came and
+    with a reason; nothing is dropped silently, and no field of a record that breaks off counts.
     """
-    parsed = raw.withColumn("_rec", F.from_json(F.col(value_col), schema))
-    k = F.col("_rec").getField(key)
-    ok = F.coalesce(k.isNotNull() & (k != ""), F.lit(False))
-    good = parsed.where(ok).select("_rec.*")
-    rejects = parsed.where(~ok).select(value_col)
-    return good, rejects
+    parsed = _parsed(raw, schema, key, value_col)
+    good = parsed.where("reason is null").select(*[F.col("_rec").getField(f.name).alias(f.name) for f in schema])
+    return good, parsed.where("reason is not null").drop("_rec")
 
 
 def with_reject_counts(raw: DataFrame, schema: T.StructType, key: str, name: str = "topic",
                        value_col: str = "value") -> DataFrame:
-    """S-6 metrics: the same parse, with good/rejected counts published through
-    ``DataFrame.observe`` (readable from the query's progress or the
-    observation) instead of a log line per bad record."""
-    parsed = raw.withColumn("_rec", F.from_json(F.col(value_col), schema))
-    k = F.col("_rec").getField(key)
-    ok = F.coalesce(k.isNotNull() & (k != ""), F.lit(False))
-    return parsed.observe(name, F.count(F.lit(1)).alias("records"),
-                          F.sum(F.when(ok, 0).otherwise(1)).alias("rejected")).where(ok).select("_rec.*")
+    """S-6 metrics: the same parse, with good and rejected records counted through ``DataFrame.observe`` (readable from
+    the query's progress or the observation) instead of a log line per bad record. Rows keep ``reason``."""
+    return _parsed(raw, schema, key, value_col).observe(
+        name, F.count(F.lit(1)).alias("records"), F.count("reason").alias("rejected"))

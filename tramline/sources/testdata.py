@@ -74,6 +74,17 @@ def vehicle_positions(spark: SparkSession, sf_dir: str, received: bool = False)
     )
 
 
+def vehicle_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as records of a JSON topic (value, arrival_seq), some of them damaged: cut off, no JSON at all,
+    without a key, or empty."""
+    configure(spark)
+    whole = ("'{\"vehicle_id\":\"' || case when event_id % 37 = 5 then '' else 'V' || user_id end || '\",\"route_id\":\"' "
+             "|| (500 + user_id % 12) || '\",\"event_id\":' || event_id || '}'")
+    return _read(spark, sf_dir, "events").selectExpr(
+        f"case when event_id % 31 = 3 then substring({whole}, 1, length({whole}) - 4) when event_id % 41 = 7 then 'no JSON ' || event_id "
+        f"when event_id % 43 = 11 then null else {whole} end as value", "event_id as arrival_seq")
+
+
 def service_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alert changelog; ``has_body = false`` rows are tombstones.
 

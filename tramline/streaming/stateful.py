@@ -16,14 +16,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming import StatefulProcessor, StreamingQueryListener
 
 from ..functions import exprs as X
 from ..operators import alerts as A
 from ..operators.live import POSITION_FIELDS
+from ..sources import feeds as FD
 
 _CHECK = "spark.sql.streaming.unsupportedOperationCheck"
 
@@ -153,6 +154,63 @@ def start_lateness(positions: DataFrame, partition: str, on_time: str, late: str
     return start(writer)
 
 
+# ---------------------------------------------------------------------------
+# S-6 / A-15: one pass over a topic, counters of it
+# ---------------------------------------------------------------------------
+class TopicCounts(StreamingQueryListener):
+    """Records and rejects of each topic, from the progress of the queries that read them.
+
+    A micro-batch is counted once, also if its progress is reported again.
+    """
+
+    def __init__(self):
+        self.batches: dict[tuple[str, int], tuple[int, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for topic, row in (event.progress.observedMetrics or {}).items():
+            self.batches[topic, event.progress.batchId] = (row["records"], row["rejected"])
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """(topic, records, rejected): the counters as a relation, to be published as any table."""
+        total: dict[str, list[int]] = {}
+        for (topic, _), (records, rejected) in self.batches.items():
+            own = total.setdefault(topic, [0, 0])
+            own[0] += records
+            own[1] += rejected
+        return spark.createDataFrame([(t, *n) for t, n in sorted(total.items())], "topic string, records long, rejected long")
+
+
+def start_topic(raw: DataFrame, schema: T.StructType, key: str, topic: str, good: str, dead: str, checkpoint: str,
+                trigger: dict | None = None):
+    """A JSON topic in one pass: whole records to ``good``, the others with their reason to ``dead`` (S-6)."""
+    marked = FD.with_reject_counts(raw, schema, key, topic)
+    flat = marked.select(*[F.col("_rec").getField(f.name).alias(f.name) for f in schema],
+                         F.struct(*raw.columns).alias("_raw"), F.col("reason").alias("_reason"))
+    names = [f.name for f in schema]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            place = f"batch_id={batch_id}"
+            kept.where("_reason is null").select(*names).write.mode("overwrite").parquet(f"{good.rstrip('/')}/{place}")
+            (kept.where("_reason is not null").select("_raw.*", F.col("_reason").alias("reason"))
+             .write.mode("overwrite").parquet(f"{dead.rstrip('/')}/{place}"))
+        finally:
+            kept.unpersist()
+
+    return (flat.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
 # ---------------------------------------------------------------------------
 # ST-13 / S-7: a client's state, seeded from a snapshot, then updated
 # ---------------------------------------------------------------------------
