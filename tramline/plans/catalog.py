@@ -362,6 +362,15 @@ def q_topic_counters(spark, sf_dir):
     return marked.groupBy("outcome").agg(F.count(F.lit(1)).alias("records"))
 
 
+def q_load_counters(spark, sf_dir):
+    """A-15: rows that the schedule job has loaded, by table, and alert records read, published and new."""
+    known, bodies = served(spark, sf_dir), _alerts(spark, sf_dir).where("has_body")
+    return LV.named_counts(routes=known.routes, trips=known.trips, scheduled_headways=known.headways,
+                           station_feeder_routes=known.feeders, route_stops=known.pin.table("route_stops"),
+                           alert_records=bodies, alerts_published=A.alert_changes(_alerts(spark, sf_dir)),
+                           alerts_new=bodies.select("alert_id").distinct())
+
+
 def q_alert_peek(spark, sf_dir):
     """L-8: the ten last alert records as JSON (a limit is the feature)."""
     bodies = _alerts(spark, sf_dir).where("has_body").select(
@@ -457,6 +466,7 @@ QUERIES: dict[str, Query] = {
     "crowding_messages": q_crowding_messages,
     "topic_rejects": q_topic_rejects,
     "topic_counters": q_topic_counters,
+    "load_counters": q_load_counters,
     "alert_peek": q_alert_peek,
     "active_alerts": q_active_alerts,
     "alert_feed": q_alert_feed,

@@ -390,6 +390,14 @@ ORACLE_SELECTS: dict[str, str] = {
     "crowding_messages": f"""select vehicle_id "key", {_json(_CROWD)} "value" from c_out""",
     "topic_rejects": "select arrival_seq, reason, value from t_topic where reason is not null",
     "topic_counters": "select coalesce(reason, 'good') outcome, count(*) records from t_topic group by 1",
+    "load_counters": """select 'routes' counter, count(*) "value" from g_routes
+        union all select 'trips', count(*) from g_trip_dirs
+        union all select 'scheduled_headways', count(*) from g_headways
+        union all select 'station_feeder_routes', count(*) from g_feeders
+        union all select 'route_stops', count(*) from g_route_stops
+        union all select 'alert_records', count(*) from service_alerts where has_body
+        union all select 'alerts_published', count(*) from a_changes
+        union all select 'alerts_new', count(distinct alert_id) from service_alerts where has_body""",
     "alert_peek": """select arrival_seq, cast(to_json({'alert_id': alert_id, 'effect': effect, 'header_text': header_text}) as varchar) "value"
         from service_alerts where has_body order by arrival_seq desc limit 10""",
     "active_alerts": """select alert_id, effect, cause, header_text, description_text, array_to_string(affected_route_ids, ',') affected_route_ids,
