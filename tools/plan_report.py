@@ -42,10 +42,10 @@ def main() -> None:
           "Operator counts are per query; scans list the table, pushed filters and the pruned read "
           "schema.\n")
     print("Notes: `Exchange SinglePartition` appears only for bounded summaries: the global pick of the "
-          "calendar validity window (one partial row per task, in every query that needs headways) and the "
+          "calendar validity window (one partial row per task, in the queries that build headways) and the "
           "super-block prefix table of `mark_late` (one row per 2^30 records). `SortAggregate` is Spark's path "
-          "for min/max over structs and strings (tie-broken picks); the one over `stop_times` in the headway "
-          "path is packed into a long and runs as a `HashAggregate`. `Window` operators are partitioned by "
+          "for min/max over structs and strings (tie-broken picks by place in the file). Live queries scan the "
+          "published reference tables (entries of a manifest, not listed here) and no GTFS table. `Window` operators are partitioned by "
           "(route, direction, window) after the per-vehicle reduction, or by (key, block) in the blocked "
           "order helpers. No plan has a cartesian product, a nested-loop join or a Python UDF "
           "(`tests/test_plans.py`).\n")
