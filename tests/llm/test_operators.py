@@ -361,3 +361,12 @@ def test_word_hashes_tell_words_apart():
     spelled = [bytes(data[s:e]) for s, e in zip(words.start, words.end)]
     assert len(set(hashes.tolist())) == len(set(spelled)) and hashes[0] == hashes[2]
     assert hashlib.sha256 and frame
+
+
+def test_exact_dedup_gives_back_columns_named_as_its_own(spark):
+    names = ["__at", "__text", "__id", "__chars", "__sha", "__stays", "__n"]
+    rows = [(1, "a b", -5), (2, "ab", -6), (3, "c", -7), (3, "c", -7)]
+    table = spark.createDataFrame([(d, t, *[x] * len(names)) for d, t, x in rows], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    found = exact_dedup.deduplicated(table)
+    assert found.columns == table.columns
+    assert bag(tuple(r) for r in found.collect()) == bag([(1, "a b", *[-5] * len(names)), (3, "c", *[-7] * len(names))])

@@ -103,8 +103,9 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
     A row is found again by doc_id, length and text digest; of rows that repeat all three
-    one stays.
+    one stays. Columns of the caller's come back as they were, also those named as one that is used here.
     """
+    docs, theirs = common.shielded(docs, ("__at", "__text", "__id", "__chars", "__sha", "__stays", "__n"))
     found = common.stage(classes(docs).select(
         F.col("doc_id").alias("__id"), F.col("chars").alias("__chars"),
         F.col("text_sha256").alias("__sha"), "kept"), "classes")
@@ -121,4 +122,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     marked = keyed.join(gone, on, "left")
     plain = marked.filter("__stays is null").select(*docs.columns)
     twins = marked.filter("__stays").dropDuplicates(["doc_id", "__at", "__text"]).select(*docs.columns)
-    return plain.unionByName(twins)
+    return plain.unionByName(twins).withColumnsRenamed(theirs)
