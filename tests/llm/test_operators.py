@@ -205,6 +205,55 @@ def test_run_index_dedup_with_a_crowd(spark, monkeypatch):
         assert bag((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == want
 
 
+def test_run_index_dedup_divides_a_hot_anchor(spark, monkeypatch):
+    """5,000 different stretches of one anchor: rows grow with the stretches, not with their windows."""
+    rng = random.Random(18)
+    passage = "".join(rng.choices("abcdefgh ", k=80))
+    rows = [(i, "".join(rng.choices("abcdefgh ", k=40)) + passage[rng.choice((0, 0, 3, 9)):] + "".join(rng.choices("abcdefgh ", k=30)))
+            for i in range(5000)]
+    made, asked, stage = [], [], common.stage
+
+    def counted(df, name):
+        staged = stage(df, name)
+        if name == "halves":
+            made.append(staged.filter("not covered").count())
+        if name == "asked-texts":
+            asked.extend(staged.selectExpr("inline(asked)").filter(f"stretches > {run_index.CROWD}").selectExpr("count(1)", "sum(n)").first())
+        return staged
+
+    monkeypatch.setattr(common, "stage", counted)
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    found = run_index.deduplicated(table, window=60, gram=16).collect()
+    assert bag((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == bag(brute.repeats(rows, 60))
+    stretches, windows = asked
+    assert stretches >= 5000 and 1 <= len(made) <= 6 and made[0] <= 2 * stretches, (made, asked)
+    assert sum(made) < windows / 2, (made, asked)
+
+
+def test_halves_cover_each_window_once():
+    rng = random.Random(19)
+    window, gram = 30, 6
+    data = np.frombuffer("".join(rng.choices("ab", k=4000)).encode(), np.uint8)
+    offsets, start, n, core = [0], [], [], []
+    for _ in range(60):
+        count = rng.randint(1, window - gram + 1)
+        start.append(rng.randrange(1000))
+        n.append(count)
+        core.append(rng.randint(count - 1, window - gram))
+        offsets.append(offsets[-1] + count + window - 1)
+    parts = [np.array(x, np.int64) for x in (offsets[:-1], start, n, core)]
+    length = gram
+    while length < window:
+        of, key1, _, first, begin, count, place = run_index.halves(data, parts[0], parts[1], parts[2], parts[3], length, window)
+        length += (window - length + 1) // 2
+        assert sum(count) == sum(n) and (place >= count - 1).all() and (place + length <= window).all()
+        same = {}
+        for k, f, p in zip(key1.tolist(), first.tolist(), place.tolist(), strict=True):
+            assert same.setdefault(k, data[f + p: f + p + length].tobytes()) == data[f + p: f + p + length].tobytes()
+        parts = [first, begin, count, place]
+    assert set(parts[2].tolist()) == {1}
+
+
 def test_matching_statistics():
     rng = random.Random(9)
     for _ in range(60):

@@ -13,9 +13,14 @@ transform maps neighbours to neighbours, so the match length of any other positi
 of the sampled position before it less the distance: matching statistics stream
 over the text from r samples. Positions that match ``window`` bytes elsewhere are marked.
 
-An anchor with more than ``CROWD`` different stretches (the edge of a passage that very
-many documents hold) would not fit a chunk; its windows are compared by their hashes
-instead, which Spark can split, with the same result.
+Every anchor takes this way. One with more than ``CROWD`` different stretches (the edge of a
+passage that very many documents hold) is first divided into smaller keys, in ever longer
+common cores: a window either has half of what it needs to the left of its core or half
+of it to the right, so a stretch falls into two parts, each under the key of its longer core.
+Equal windows always meet under one key; parts that are equal settle at once, parts
+that are alone under their key are done, and keys that an index takes in go to it. A core is a
+whole window after eight halvings at most. Rows grow with the stretches, not with
+their windows or their pairs.
 
 Defined results: a null or empty text has no bytes and no spans; a text shorter than a
 window stays whole; rows that repeat a doc_id, and null ids, are documents of their own.
@@ -27,14 +32,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import arrays as A
 from . import common, seeds
 
 WINDOW = 200
 GRAM = 32
-#: Different stretches of one anchor that an index takes in.
+#: Different stretches of one key that an index takes in; a key with more is divided.
 CROWD = 512
+#: Text of stretches that a task holds before it settles what it can among their halves.
+HALVED_BYTES = 16 << 20
 #: Text of one index.
 CHUNK_BYTES = 1 << 20
 #: Text that is hashed at once; each byte takes some ten 8-byte values.
@@ -112,14 +120,14 @@ def _items(data, offsets):
     return data, offsets.astype(np.int64)
 
 
-def _settled(rows: DataFrame, window: int) -> DataFrame:
-    """Rows as the task left them, with gone (n bytes of that place go) and alone (one of each
-    different stretch, n windows)."""
+def _settled(rows: DataFrame, *more: str) -> DataFrame:
+    """Rows as the task left them, with met (all n windows of that place repeat) and alone (one of
+    each different stretch, n windows)."""
     equal = Window.partitionBy("key1", "key2", "covered")
     one = equal.orderBy("id", "start")
     met = ~F.col("covered") & ~F.col("many") & (F.count(F.lit(1)).over(equal) > 1)
     return rows.select("key1", "id", "start", "n", "covered", met.alias("met"),
-                       (~F.col("covered") & (F.row_number().over(one) == 1)).alias("alone"))
+                       (~F.col("covered") & (F.row_number().over(one) == 1)).alias("alone"), *more)
 
 
 def _gone(rows: DataFrame, window: int) -> DataFrame:
@@ -127,23 +135,102 @@ def _gone(rows: DataFrame, window: int) -> DataFrame:
         "id", "start", F.when(F.col("met"), F.col("n") + (window - 1)).otherwise(F.col("n")).alias("n"))
 
 
-def _pieces(texts: DataFrame, window: int) -> DataFrame:
-    """(key1, id, start, body) of the stretches that an index takes in."""
+#: A stretch with its bytes: n windows, and where in body the core begins.
+PIECE = T.StructType([
+    T.StructField("key1", T.LongType()), T.StructField("id", T.LongType()), T.StructField("start", T.IntegerType()),
+    T.StructField("n", T.IntegerType()), T.StructField("core", T.IntegerType()), T.StructField("body", T.BinaryType())])
+
+
+def _core(body: bytes, key: int, gram: int) -> int:
+    """Where the k-gram with that hash first begins."""
+    data = np.frombuffer(body, np.uint8)
+    at = np.arange(len(data) - gram + 1)
+    return int(np.argmax(A.mix(A.Sums(data).of(at, at + gram)).view(np.int64) == key))
+
+
+def _pieces(texts: DataFrame, window: int, gram: int, crowded: bool) -> DataFrame:
+    """PIECE rows of the stretches that an index takes in, or of the crowded ones."""
 
     def step(batches):
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for i, (text, asked) in enumerate(zip(batch.column(1), batch.column(2), strict=True)):
                 data = text.as_buffer().to_pybytes() if text.is_valid else b""
-                rows = [a for a in asked.as_py() if a["stretches"] <= CROWD]
+                rows = [a for a in asked.as_py() if (a["stretches"] > CROWD) == crowded]
                 if rows:
+                    bodies = [data[a["start"]: a["start"] + a["n"] + window - 1] for a in rows]
+                    cores = [_core(b, a["key1"], gram) if crowded else 0 for a, b in zip(rows, bodies)]
                     yield pa.RecordBatch.from_arrays([
                         pa.array([a["key1"] for a in rows], pa.int64()), pa.array([ids[i]] * len(rows), pa.int64()),
-                        pa.array([a["start"] for a in rows], pa.int32()),
-                        pa.array([data[a["start"]: a["start"] + a["n"] + window - 1] for a in rows], pa.binary())],
-                        names=["key1", "id", "start", "body"])
+                        pa.array([a["start"] for a in rows], pa.int32()), pa.array([a["n"] for a in rows], pa.int32()),
+                        pa.array(cores, pa.int32()), pa.array(bodies, pa.binary())], names=PIECE.names)
+
+    return texts.mapInArrow(step, PIECE)
+
+
+def halves(data, offsets, start, n, core, length: int, window: int):
+    """The two parts of stretches (bytes data[offsets[k]:offsets[k + 1]], cores of ``length`` bytes):
+    (stretch, key1, key2, first byte in data, start, n, core) of those that have windows. A
+    core of a part is longer by half of what a window has besides it."""
+    half = (window - length + 1) // 2
+    left = np.clip(core - half + 1, 0, n)  # windows with that much before the core
+    none = np.zeros(len(n), np.int64)
+    of = np.concatenate([np.arange(len(n))] * 2)
+    skip, count = np.concatenate([none, left]), np.concatenate([left, n - left])
+    place = np.concatenate([core - half, core - left])
+    side = np.concatenate([none, none + 1])
+    of, skip, count, place, side = (x[count > 0] for x in (of, skip, count, place, side))
+    first = offsets[of] + skip
+    at = first + place
+    key1 = A.mix(A.Sums(data, 0).of(at, at + length + half) + side.astype(np.uint64))
+    return of, key1, A.mix(A.Sums(data, 1).of(first, first + count + window - 1)), first, start[of] + skip, count, place
+
+
+def _halved(pieces: DataFrame, window: int, length: int) -> DataFrame:
+    """STRETCH rows, with core and body, of the parts of pieces; settled inside the task."""
+
+    def settled(held):
+        size = [len(b) for h in held for b in h[4]]
+        ids, start, n, core = (np.concatenate([h[i] for h in held]) for i in range(4))
+        joined = b"".join(b for h in held for b in h[4])
+        offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        of, key1, key2, first, start, n, core = halves(np.frombuffer(joined, np.uint8), offsets, start, n, core, length, window)
+        rows = seeds.settle(key1, key2, ids[of], start, n, window, False)
+        by_place = {p: k for k, p in enumerate(zip(ids[of].tolist(), start.tolist(), strict=True))}
+        found = [None if c else by_place[i, s] for i, s, c in zip(*(rows.column(x).to_pylist() for x in ("id", "start", "covered")), strict=True)]
+        cores = pa.array([None if k is None else int(core[k]) for k in found], pa.int32())
+        bodies = pa.array([None if k is None else joined[first[k]: first[k] + n[k] + window - 1] for k in found], pa.binary())
+        return rows.append_column("core", cores).append_column("body", bodies)
 
-    return texts.mapInArrow(step, "key1 long, id long, start int, body binary")
+    def step(batches):
+        held, size = [], 0
+        for batch in batches:
+            numbers = [batch.column(c).to_numpy().astype(np.int64) for c in ("id", "start", "n", "core")]
+            held.append((*numbers, batch.column("body").to_pylist()))
+            size += batch.column("body").nbytes
+            if size >= HALVED_BYTES:
+                yield settled(held)
+                held, size = [], 0
+        if size:
+            yield settled(held)
+
+    return pieces.mapInArrow(step, T.StructType([*seeds.STRETCH.fields, *PIECE.fields[-2:]]))
+
+
+def _divided(crowd: DataFrame, window: int, gram: int):
+    """Frames (id, start, n) of spans that repeat among PIECE rows with one key, whatever their number."""
+    length = gram
+    while length < window:
+        rows = common.stage(_settled(_halved(crowd, window, length), "core", "body"), "halves")
+        yield _gone(rows, window)
+        length += (window - length + 1) // 2
+        alone = rows.filter("alone")
+        shared = common.stage(alone.groupBy("key1").agg(F.count(F.lit(1)).alias("stretches")).filter("stretches > 1"), "shared")
+        known = alone.join(common.sized(shared, shared.count(), 32), "key1")
+        yield _indexed(known.filter(F.col("stretches") <= CROWD), window)
+        crowd = known.filter(F.col("stretches") > CROWD).select(*PIECE.names)
+        if shared.filter(F.col("stretches") > CROWD).isEmpty():
+            return
 
 
 def _indexed(pieces: DataFrame, window: int) -> DataFrame:
@@ -180,37 +267,21 @@ def _indexed(pieces: DataFrame, window: int) -> DataFrame:
         if held:
             yield spans(held)
 
-    return (pieces.repartition("key1").sortWithinPartitions("key1")
+    return (pieces.select("key1", "id", "start", "body").repartition("key1").sortWithinPartitions("key1")
             .mapInArrow(step, "id long, start int, n int"))
 
 
-def _crowded(texts: DataFrame, window: int) -> DataFrame:
-    """STRETCH rows (n = 1) for each window of the stretches that no index takes in."""
-
-    def step(batches):
-        held = seeds.Held(window, False)
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for i, (text, asked) in enumerate(zip(batch.column(1), batch.column(2), strict=True)):
-                rows = [a for a in asked.as_py() if a["stretches"] > CROWD]
-                if rows:
-                    data = np.frombuffer(text.as_buffer(), np.uint8)
-                    at = np.concatenate([np.arange(a["start"], a["start"] + a["n"]) for a in rows])
-                    yield from held.add(A.mix(A.Sums(data, 0).of(at, at + window)), A.mix(A.Sums(data, 1).of(at, at + window)),
-                                        np.full(len(at), ids[i], np.int64), at, np.ones(len(at), np.int64))
-        yield from held.out()
-
-    return texts.filter(F.exists("asked", lambda a: a["stretches"] > CROWD)).mapInArrow(step, seeds.STRETCH)
-
-
 def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(id, start, n): spans of bytes that occur elsewhere; ``docs`` as ``common.keyed`` gives them."""
-    rows = common.stage(_settled(seeds.seeded(docs, _items, window, gram, False, BLOCK), window), "stretches")
+    rows = common.stage(_settled(seeds.seeded(docs, _items, window, gram, False, BLOCK)), "stretches")
     asked, count = seeds.requests(rows.filter("alone"))
     texts = common.stage(seeds.asked_texts(docs, asked, count), "asked-texts")
-    return (_gone(rows, window)
-            .unionByName(_indexed(_pieces(texts, window), window))
-            .unionByName(_gone(_settled(_crowded(texts, window), window), window)))
+    found = _gone(rows, window).unionByName(_indexed(_pieces(texts, window, gram, False), window))
+    crowded = texts.filter(F.exists("asked", lambda a: a["stretches"] > CROWD))
+    if not crowded.select("id").isEmpty():
+        for spans in _divided(_pieces(crowded, window, gram, True), window, gram):
+            found = found.unionByName(spans)
+    return found
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
