@@ -193,3 +193,22 @@ def resampled(rows, target, seed=42, least=20, percent=5, buckets=10_000):
     for place, k in enumerate(able[:percent * len(able) // 100], 1):
         out[k][4] = place
     return [tuple(o) for o in out]
+
+
+def feistel(number, count, key):
+    """One number's place, in plain integers: four rounds over the halves, walked until it is below count."""
+    mask = (1 << 64) - 1
+
+    def spread(x):
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & mask
+        return x ^ (x >> 31)
+
+    half = max(1, ((count - 1).bit_length() + 1) // 2)
+    while True:
+        left, right = number >> half, number % (1 << half)
+        for r in range(4):
+            left, right = right, left ^ spread((right + key * (2 * r + 1) + r) & mask) % (1 << half)
+        number = (left << half) | right
+        if number < count:
+            return number

@@ -1,28 +1,22 @@
 """Token-ID output in training order.
 
 The documents of an input split, each with an end id behind it, are one row of token ids
-that is cut into sequences of ``length`` ids (the split's last is padded). An id stands for
-one byte of text at least, so the bytes of a split bound its sequences; with the running
-totals of these bounds every sequence has a number of its own below N, without a first pass
-of encoding. A keyed Feistel permutation over the next power of four, walked along its
-cycle until it falls below N, gives every number a place of its own below N, from
-key and number alone, so a run that is repeated finds the same order. A sequence's slot is its
-rank by place: slots are 0 .. count - 1.
-
-Places are partitioned by ranges: shard k holds, in order, the sequences with places from
-k * per_shard on (about two places in five are taken), in one file of records of equal size.
-Slot s is at byte (s - first) * stride of the shard whose first slot, the sum of the record counts
-of those before it, is the last not above s; so a reader can start, or resume, anywhere and
-read on.
+that is cut into sequences of ``length`` ids (the split's last is padded). They are encoded once
+and staged with their split and their place in it; with the splits' running totals every
+sequence has a number of its own, and N is known. A keyed Feistel permutation over the next
+power of four, walked along its cycle until it falls below N, gives each number its
+slot, 0 .. N - 1, from key and number alone, so a run that is repeated finds the same order.
+
+Slots are partitioned by ranges: shard k holds the slots from k * per_shard on, in order, in one
+file of records of equal size, and all shards but the last hold per_shard of them. Slot s
+is at byte (s mod per_shard) * stride of shard s // per_shard, so a reader can start, or
+resume, at any slot and read on (``read(start=...)``).
 
 A record is number, document, offset (of the first id's document and its place there), count
 of ids before the padding, the ids as little-endian uint16, and a line end. Files
 are written by Spark's text writer, which commits whole files, so a lost executor leaves
 no part of one.
 
-The splits must be the same when they are measured and when they are encoded; each task checks
-that, and if executors came or went and changed them, both are repeated.
-
 Defined results: a null or empty text is the end id alone; rows that repeat a document are
 documents of their own; a null doc_id is written as the least long; an empty table gives
 no sequences and no shards.
@@ -36,21 +30,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as A
 from . import common
 
-#: Ids of a sequence, places of a shard, and the key of the order.
-LENGTH, PER_SHARD, KEY = 512, 4096, 0x5DEECE66D
+#: Ids of a sequence, slots of a shard (17 MB), and the key of the order.
+LENGTH, PER_SHARD, KEY = 512, 16384, 0x5DEECE66D
 _FEISTEL_ROUNDS = 4
 _NO_ID = -(1 << 63)
-_MOVED = "the input's splits have changed since they were counted"
 
 
 def feistel(number: np.ndarray, count: int, key: int) -> np.ndarray:
-    """The place of each number below count: a permutation of range(count)."""
+    """The slot of each number below count: a permutation of range(count)."""
     half = 1
     while 4 ** half < count:
         half += 1
@@ -82,40 +75,31 @@ def record_type(length: int) -> np.dtype:
 
 
 def _coded(batches, path: str, pattern: str):
-    """For each document of a split: (doc_id, bytes, its ids as an array, without the end id)."""
+    """For each document of a split: (doc_id, its ids as an array, without the end id)."""
     encoding, _ = _encoding(path, pattern)
     for batch in batches:
         ids = batch.column(0).cast(pa.int64()).fill_null(_NO_ID).to_pylist()
         for i in range(0, batch.num_rows, 64):
             for doc, text in zip(ids[i: i + 64], batch.column(1).slice(i, 64).to_pylist()):
-                text = text or ""
-                yield doc, len(text.encode()), np.array(encoding.encode_ordinary(text), np.uint16)
-
-
-def _numbered(docs: DataFrame, path: str, pattern: str, length: int, key: int) -> tuple[DataFrame, int]:
-    """(place, record: binary) of every sequence, and the number of places."""
-    source = docs.select("doc_id", "text")
-    split = F.spark_partition_id().alias("split")
-    # a row for each input split: as many as tasks, whatever the table's rows
-    sizes = {r["split"]: (r["size"], r["docs"]) for r in source.select(
-        split, F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).groupBy("split").agg(
-        F.sum("size").alias("size"), F.count(F.lit(1)).alias("docs")).collect()}
-    begin, total = {}, 0
-    for k in sorted(sizes):
-        begin[k] = total
-        total += -(-sum(sizes[k]) // length)
-    shared = docs.sparkSession.sparkContext.broadcast((begin, sizes))
+                yield doc, np.array(encoding.encode_ordinary(text or ""), np.uint16)
+
+
+def _records(arrays: np.ndarray) -> pa.Array:
+    kind = arrays.dtype
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(kind.itemsize), len(arrays), [None, pa.py_buffer(arrays.tobytes())]).cast(pa.binary())
+
+
+def _sequences(docs: DataFrame, path: str, pattern: str, length: int) -> DataFrame:
+    """(split, at, record: binary) of every sequence; a record's number is its place in the split."""
     kind = record_type(length)
 
-    def number(batches):
+    def sequence(batches):
         from pyspark import TaskContext
 
         split = TaskContext.get().partitionId()
-        begin, sizes = shared.value
         end = np.array([_encoding(path, pattern)[1]], np.uint16)
-        at = begin.get(split, 0)
         # parts of documents that wait for their sequence: ids, document, place of the first id in it
-        rows, size, waiting, held = 0, 0, [], 0
+        at, waiting, held = 0, [], 0
 
         def cut(n):
             nonlocal at, held
@@ -137,64 +121,74 @@ def _numbered(docs: DataFrame, path: str, pattern: str, length: int, key: int) -
             held = len(ids) - use
             waiting[:] = [(w[0][max(use - s, 0):], w[1], w[2] + max(use - s, 0))
                           for w, s in zip(waiting, starts.tolist()) if s + len(w[0]) > use]
-            raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(kind.itemsize), n, [None, pa.py_buffer(out.tobytes())])
-            return pa.RecordBatch.from_arrays([pa.array(feistel(out["number"], total, key)), raw.cast(pa.binary())], names=["place", "record"])
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.full(n, split, np.int32)), pa.array(out["number"]), _records(out)], names=["split", "at", "record"])
 
-        for doc, n_bytes, coded in _coded(batches, path, pattern):
-            rows += 1
-            size += n_bytes
+        for doc, coded in _coded(batches, path, pattern):
             waiting += [(coded, doc, 0), (end, doc, len(coded))]
             held += len(coded) + 1
             if held >= 256 * length:
                 yield cut(held // length)
         if held:
             yield cut(-(-held // length))
-        if (size, rows) != sizes.get(split, (0, 0)):
-            raise RuntimeError(_MOVED)
 
-    return source.mapInArrow(number, "place long, record binary"), total
+    return docs.select("doc_id", "text").mapInArrow(sequence, "split int, at long, record binary")
+
+
+def _slotted(staged: DataFrame, length: int, key: int) -> tuple[DataFrame, int]:
+    """(slot, record: binary) of every sequence, with its number in the record, and N."""
+    # one row for each split of the input: as many as tasks, whatever the table's rows
+    counts = {r["split"]: r["n"] for r in staged.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    begin, total = np.zeros(max(counts, default=0) + 1, np.int64), 0
+    for k in sorted(counts):
+        begin[k] = total
+        total += counts[k]
+    shared = staged.sparkSession.sparkContext.broadcast(begin)
+    kind = record_type(length)
+
+    def number(batches):
+        for batch in batches:
+            if batch.num_rows:
+                records = np.frombuffer(b"".join(batch.column(2).to_pylist()), kind).copy()
+                records["number"] = shared.value[batch.column(0).to_numpy()] + batch.column(1).to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(feistel(records["number"], total, key)), _records(records)], names=["slot", "record"])
+
+    return staged.select("split", "at", "record").mapInArrow(number, "slot long, record binary"), total
 
 
 def written(docs: DataFrame, path: str, pattern: str, folder: str, *, length: int = LENGTH,
             per_shard: int = PER_SHARD, key: int = KEY) -> str:
     """Write the shards under ``folder`` (any URI that Spark can write) and return the folder of
     this run: shard k is the file in ``shard=k`` there."""
-    for attempt in range(4):
-        rows, total = _numbered(docs, path, pattern, length, key)
-        shards = max(1, -(-total // per_shard))
-        place = f"{folder}/order-{uuid.uuid4().hex}"
-        ranged = (rows.withColumn("shard", (F.col("place") / per_shard).cast("int"))
-                  .repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "place"))
-        # the text writer puts a line end, the last byte of a record, behind each
-        body = F.substring("record", 1, record_type(length).itemsize - 1).cast("string")
-        try:
-            ranged.select("shard", body.alias("value")).write.partitionBy("shard").text(place)
-            return place
-        except Exception as failed:
-            if _MOVED not in str(failed) or attempt == 3:
-                raise
-    raise AssertionError
-
-
-def read(spark, place: str, length: int = LENGTH) -> DataFrame:
-    """slot, shard, number, doc_id, offset, n_ids and ids (binary, padding included) of every record."""
+    rows, total = _slotted(common.stage(_sequences(docs, path, pattern, length), "sequences"), length, key)
+    place = f"{folder}/order-{uuid.uuid4().hex}"
+    shard = F.floor(F.col("slot") / per_shard).cast("int")
+    ranged = (rows.withColumn("shard", shard).repartitionById(max(1, -(-total // per_shard)), F.col("shard"))
+              .sortWithinPartitions("shard", "slot"))
+    # the text writer puts a line end, the last byte of a record, behind each
+    body = F.substring("record", 1, record_type(length).itemsize - 1).cast("string")
+    ranged.select("shard", body.alias("value")).write.partitionBy("shard").text(place)
+    return place
+
+
+def read(spark, place: str, length: int = LENGTH, *, per_shard: int = PER_SHARD, start: int = 0) -> DataFrame:
+    """slot, shard, number, doc_id, offset, n_ids and ids (binary, padding included) of every record
+    from slot ``start`` on; the shards before it are not opened."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(place)
              .withColumn("shard", F.regexp_extract("path", r"shard=(\d+)/", 1).cast("int")))
     kind = record_type(length)
-    # one row for each shard
-    counts = files.select("shard", (F.col("length") / kind.itemsize).cast("long").alias("n"))
-    before = F.sum("n").over(Window.orderBy("shard")) - F.col("n")
-    firsts = counts.select(F.col("shard").alias("of"), before.alias("first"))
-    contents = files.select("shard", "content").join(firsts, F.col("shard") == F.col("of")).select("shard", "first", "content")
 
     def step(batches):
         for batch in batches:
-            for shard, first, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                rows = np.frombuffer(content.as_buffer(), kind)
+            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                first = shard * per_shard
+                rows = np.frombuffer(content.as_buffer(), kind)[max(start - first, 0):]
+                slots = max(start, first) + np.arange(len(rows))
                 raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * length), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows["ids"]).tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(first + np.arange(len(rows))), pa.array([shard] * len(rows), pa.int32()),
+                    [pa.array(slots), pa.array([shard] * len(rows), pa.int32()),
                      *(pa.array(np.ascontiguousarray(rows[c])) for c in ("number", "doc_id", "offset", "n_ids")), raw.cast(pa.binary())],
                     names=["slot", "shard", "number", "doc_id", "offset", "n_ids", "ids"])
 
-    return contents.mapInArrow(step, "slot long, shard int, number long, doc_id long, offset int, n_ids int, ids binary")
+    return (files.filter(F.col("shard") >= start // per_shard).select("shard", "content")
+            .mapInArrow(step, "slot long, shard int, number long, doc_id long, offset int, n_ids int, ids binary"))
