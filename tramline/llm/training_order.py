@@ -6,6 +6,7 @@ and staged with their split and their place in it; with the splits' running tota
 sequence has a number of its own, and N is known. A keyed Feistel permutation over the next
 power of four, walked along its cycle until it falls below N, gives each number its
 slot, 0 .. N - 1, from key and number alone, so a run that is repeated finds the same order.
+What a batch sends to one shard is shuffled as one compressed block.
 
 Slots are partitioned by ranges: shard k holds the slots from k * per_shard on, in order, in one
 file of records of equal size, and all shards but the last hold per_shard of them. Slot s
@@ -135,8 +136,8 @@ def _sequences(docs: DataFrame, path: str, pattern: str, length: int) -> DataFra
     return docs.select("doc_id", "text").mapInArrow(sequence, "split int, at long, record binary")
 
 
-def _slotted(staged: DataFrame, length: int, key: int) -> tuple[DataFrame, int]:
-    """(slot, record: binary) of every sequence, with its number in the record, and N."""
+def _packed(staged: DataFrame, length: int, per_shard: int, key: int) -> tuple[DataFrame, int]:
+    """(shard, block) with the sequences of a batch that go to one shard, numbered and compressed, and N."""
     # one row for each split of the input: as many as tasks, whatever the table's rows
     counts = {r["split"]: r["n"] for r in staged.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
     begin, total = np.zeros(max(counts, default=0) + 1, np.int64), 0
@@ -146,25 +147,49 @@ def _slotted(staged: DataFrame, length: int, key: int) -> tuple[DataFrame, int]:
     shared = staged.sparkSession.sparkContext.broadcast(begin)
     kind = record_type(length)
 
-    def number(batches):
+    def pack(batches):
+        import zstandard
+
+        packer = zstandard.ZstdCompressor()
         for batch in batches:
             if batch.num_rows:
                 records = np.frombuffer(b"".join(batch.column(2).to_pylist()), kind).copy()
                 records["number"] = shared.value[batch.column(0).to_numpy()] + batch.column(1).to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(feistel(records["number"], total, key)), _records(records)], names=["slot", "record"])
+                shard = feistel(records["number"], total, key) // per_shard
+                order = np.argsort(shard, kind="stable")
+                shards, first = np.unique(shard[order], return_index=True)
+                blocks = [packer.compress(part.tobytes()) for part in np.split(records[order], first[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(shards.astype(np.int32)), pa.array(blocks, pa.binary())], names=["shard", "block"])
+
+    return staged.select("split", "at", "record").mapInArrow(pack, "shard int, block binary"), total
+
+
+def _unpacked(blocks: DataFrame, length: int, total: int, key: int) -> DataFrame:
+    """(shard, slot, record: binary) of the sequences in blocks."""
+    kind = record_type(length)
+
+    def unpack(batches):
+        import zstandard
+
+        opener = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for shard, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                records = np.frombuffer(opener.decompress(block.as_buffer()), kind)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(records), shard, np.int32)), pa.array(feistel(records["number"], total, key)), _records(records)],
+                    names=["shard", "slot", "record"])
 
-    return staged.select("split", "at", "record").mapInArrow(number, "slot long, record binary"), total
+    return blocks.mapInArrow(unpack, "shard int, slot long, record binary")
 
 
 def written(docs: DataFrame, path: str, pattern: str, folder: str, *, length: int = LENGTH,
             per_shard: int = PER_SHARD, key: int = KEY) -> str:
     """Write the shards under ``folder`` (any URI that Spark can write) and return the folder of
     this run: shard k is the file in ``shard=k`` there."""
-    rows, total = _slotted(common.stage(_sequences(docs, path, pattern, length), "sequences"), length, key)
+    blocks, total = _packed(common.stage(_sequences(docs, path, pattern, length), "sequences"), length, per_shard, key)
     place = f"{folder}/order-{uuid.uuid4().hex}"
-    shard = F.floor(F.col("slot") / per_shard).cast("int")
-    ranged = (rows.withColumn("shard", shard).repartitionById(max(1, -(-total // per_shard)), F.col("shard"))
-              .sortWithinPartitions("shard", "slot"))
+    met = blocks.repartitionById(max(1, -(-total // per_shard)), F.col("shard"))
+    ranged = _unpacked(met, length, total, key).sortWithinPartitions("shard", "slot")
     # the text writer puts a line end, the last byte of a record, behind each
     body = F.substring("record", 1, record_type(length).itemsize - 1).cast("string")
     ranged.select("shard", body.alias("value")).write.partitionBy("shard").text(place)
