@@ -11,7 +11,8 @@ a frequency step (a bounded table, whatever the vocabulary; any fixed order is e
 makes it fast). Two sets can only match if they share one of the first
 n - ceil(0.8 n) + 1 tokens, at positions that leave enough tokens behind (prefix and
 positional filter), if their sizes are near (length filter), and if 64-bit outlines of the
-sets differ in few bits. What passes is confirmed on the sets.
+sets differ in few bits. Pairs that pass are held against outlines of 256 bits, which stay with
+their classes, and what is left is confirmed on the sets.
 
 Under one token every class is tried with the earliest class there; only those that differ
 from it meet the others, so many variants of one line give as many pairs as variants, not
@@ -36,6 +37,8 @@ from pyspark.sql import functions as F
 from . import arrays as A
 from . import common
 
+#: 64-bit words of a class' wide outline.
+WIDE = [f"wide{k}" for k in range(4)]
 #: Counts that order tokens by rarity.
 SLOTS = 1 << 18
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -90,7 +93,7 @@ def coded(data: np.ndarray, offsets: np.ndarray, steps: np.ndarray):
 
 
 def _classes(docs: DataFrame) -> DataFrame:
-    """(id, line, n, outline, prefix): one row per class, by its first line."""
+    """(id, line, n, outline, wide outline, prefix): one row per class, by its first line."""
     shared = docs.sparkSession.sparkContext.broadcast(_rarity(docs))
 
     def shape(batches):
@@ -104,18 +107,19 @@ def _classes(docs: DataFrame) -> DataFrame:
                 size = n - -(-4 * n // 5) + 1
                 place = np.arange(len(codes)) - np.repeat(first[:-1], n)
                 prefix = codes[place < np.repeat(size, n)]
-                outline = np.bitwise_or.reduceat(np.uint64(1) << (codes & np.uint64(63)), first[:-1])
+                bit, word = np.uint64(1) << (codes & np.uint64(63)), codes >> np.uint64(6) & np.uint64(3)
+                wide = [np.bitwise_or.reduceat(np.where(word == k, bit, np.uint64(0)), first[:-1]) for k in range(len(WIDE))]
                 keys = [np.add.reduceat(A.mix(codes + np.uint64(k)), first[:-1]) for k in (1, 2)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[row + doc]), pa.array(line.astype(np.int32)), *(pa.array(k.view(np.int64)) for k in keys),
-                    pa.array(n.astype(np.int32)), pa.array(outline.view(np.int64)),
+                    pa.array(n.astype(np.int32)), *(pa.array(w.view(np.int64)) for w in wide),
                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(prefix.view(np.int64)))],
-                    names=["id", "line", "key1", "key2", "n", "outline", "prefix"])
+                    names=["id", "line", "key1", "key2", "n", *WIDE, "prefix"])
 
     shaped = docs.select("id", "text").mapInArrow(
-        shape, "id long, line int, key1 long, key2 long, n int, outline long, prefix array<long>")
-    first = shaped.groupBy("key1", "key2").agg(F.min(F.struct("id", "line", "n", "outline", "prefix")).alias("f"))
-    return common.stage(first.select("f.*"), "classes")
+        shape, f"id long, line int, key1 long, key2 long, n int, {', '.join(f'{w} long' for w in WIDE)}, prefix array<long>")
+    first = shaped.groupBy("key1", "key2").agg(F.min(F.struct("id", "line", "n", *WIDE, "prefix")).alias("f"))
+    return common.stage(first.select("f.*").withColumn("outline", F.expr(" | ".join(WIDE))), "classes")
 
 
 def _enough(inter: Column, a: Column, b: Column) -> Column:
@@ -131,6 +135,16 @@ def _may(x: str, y: str) -> Column:
             & (F.bit_count(F.col(f"{x}.outline").bitwiseXOR(F.col(f"{y}.outline"))) <= nx + ny - 2 * need))
 
 
+def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (x, y) whose wide outlines differ in no more bits than matching sets may."""
+    wide = classes.filter("n >= 4").select(F.struct("id", "line").alias("at"), F.struct("n", *WIDE).alias("own"))
+    both = (pairs.join(wide.withColumnsRenamed({"at": "x", "own": "a"}), "x")
+            .join(wide.withColumnsRenamed({"at": "y", "own": "b"}), "y"))
+    differ = sum((F.bit_count(F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}"))) for w in WIDE), F.lit(0))
+    size = F.col("a.n") + F.col("b.n")
+    return both.filter(differ <= size - 2 * F.ceil(4 * size / 9)).select("x", "y")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (x, y), places of lines, whose sets match."""
     places = common.stage(pairs.select("x.*").union(pairs.select("y.*")).distinct().withColumnsRenamed(
@@ -172,14 +186,15 @@ def matched(classes: DataFrame, docs: DataFrame) -> DataFrame:
         .union(met(later.filter("not star")).withColumn("star", F.lit(0)))
         .groupBy("x", "y").agg(F.max("star").alias("star")), "pairs")
     pairs = tried.select("x", "y")
-    found = common.stage(_confirmed(pairs, docs).select("y").distinct(), "matched")
+    alike = common.stage(_alike(pairs, classes), "alike")
+    found = common.stage(_confirmed(alike, docs).select("y").distinct(), "matched")
     # those whose earliest partner only seemed to match, and that no other one has matched
     again = common.stage(tried.filter("star = 1").select("y").distinct().join(found, "y", "left_anti").select(F.col("y").alias("again")), "again")
     n = again.count()
     if n:
         few = common.sized(again, n, 40)
         rows = by_token.join(few, F.col("y.place") == F.col("again"), "left_semi")
-        more = common.stage(met(rows).distinct().join(pairs, ["x", "y"], "left_anti"), "more")
+        more = common.stage(_alike(met(rows).distinct().join(pairs, ["x", "y"], "left_anti"), classes), "more")
         found = common.stage(found.union(_confirmed(more, docs).select("y")).distinct(), "matched")
     return found.select("y.id", "y.line")
 
