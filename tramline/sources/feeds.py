@@ -283,9 +283,15 @@ def parse_json_topic(raw: DataFrame, schema: T.StructType, key: str,
     return good, parsed.where("reason is not null").drop("_rec")
 
 
-def with_reject_counts(raw: DataFrame, schema: T.StructType, key: str, name: str = "topic",
+def marked_with_counts(raw: DataFrame, schema: T.StructType, key: str, name: str = "topic",
                        value_col: str = "value") -> DataFrame:
     """S-6 metrics: the same parse, with good and rejected records counted through ``DataFrame.observe`` (readable from
-    the query's progress or the observation) instead of a log line per bad record. Rows keep ``reason``."""
+    the query's progress or the observation) instead of a log line per bad record. All rows stay, with ``reason``."""
     return _parsed(raw, schema, key, value_col).observe(
         name, F.count(F.lit(1)).alias("records"), F.count("reason").alias("rejected"))
+
+
+def with_reject_counts(raw: DataFrame, schema: T.StructType, key: str, name: str = "topic",
+                       value_col: str = "value") -> DataFrame:
+    """The good records of ``marked_with_counts``; the rejected ones are only counted."""
+    return marked_with_counts(raw, schema, key, name, value_col).where("reason is null").select("_rec.*").drop(_CORRUPT)
