@@ -127,6 +127,25 @@ def test_line_dedup_partner_that_is_not_the_earliest(spark):
     assert {r.doc_id for r in found if r.n_removed} == {3, 5}
 
 
+def test_line_dedup_long_lines_with_a_word_in_common_are_no_pairs(spark, monkeypatch):
+    """Outlines that many words fill let every pair of long lines meet on their sets."""
+    tried, confirmed = [], line_dedup._confirmed
+
+    def counted(pairs, docs):
+        tried.append(pairs.count())
+        return confirmed(pairs, docs)
+
+    monkeypatch.setattr(line_dedup, "_confirmed", counted)
+    rng = random.Random(5)
+    line = [rng.sample([f"w{j}" for j in range(300)], 150) for _ in range(12)]
+    rows = [(i, " ".join(["shared", *words])) for i, words in enumerate(line)]
+    rows += [(12, " ".join(["shared", *line[5][:-1], "z"])), (13, " ".join(["shared", *line[7], "z"]))]
+    found = line_dedup.summary(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert bag((r.doc_id, r.n_lines, r.n_removed, r.kept) for r in found) == bag(brute.lines(rows))
+    assert {r.doc_id for r in found if r.n_removed} == {12, 13}
+    assert sum(tried) <= 4, tried
+
+
 def _items(rows):
     long = [t for _, t in rows if t and len(t.split()) > 40]
     return ([(1, " ".join(long[0].split()[5:25])), (10, long[1]), (2, long[1].upper()), (None, " ".join(long[2].split()[:11]))] if long else []) + [
