@@ -12,8 +12,8 @@ makes it fast). Two sets can only match if they share one of the first
 n - ceil(0.8 n) + 1 tokens, at positions that leave enough tokens behind (prefix and
 positional filter), if their sizes are near (length filter), and if 64-bit outlines of the
 sets differ in few bits. An outline holds for each bit whether an odd number of tokens falls on
-it, so a token that only one set has changes one bit, and large sets do not fill it. What passes is
-held against outlines of 256 bits, which fold to those of 64, then confirmed on the sets.
+it, so a token that only one set has changes one bit, and large sets do not fill it; two sets of
+more than 64 tokens are held against 128 bits. What passes is confirmed on the sets.
 
 Under one token every class is tried with the earliest class there; only those that differ
 from it meet the others, so many variants of one line give as many pairs as variants, not
@@ -40,9 +40,9 @@ from . import common
 
 #: Counts that order tokens by rarity.
 SLOTS = 1 << 18
-#: Words of 64 bits of a class's outline; the entries carry them folded into one.
-WORDS = 4
-_OUTLINE = [f"outline{w}" for w in range(WORDS)]
+#: Sets of more tokens have an outline of two words of 64 bits, others of one.
+WIDE = 64
+_ENTRY = ("id", "line", "n", "outline", "more", "pos")
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -95,7 +95,7 @@ def coded(data: np.ndarray, offsets: np.ndarray, steps: np.ndarray):
 
 
 def _classes(docs: DataFrame) -> DataFrame:
-    """(id, line, n, outline, prefix): one row per class, by its first line; the outline as ``WORDS`` columns."""
+    """(id, line, n, outline, more, prefix): one row per class, by its first line; more: the outline's second word."""
     shared = docs.sparkSession.sparkContext.broadcast(_rarity(docs))
 
     def shape(batches):
@@ -109,18 +109,18 @@ def _classes(docs: DataFrame) -> DataFrame:
                 size = n - -(-4 * n // 5) + 1
                 place = np.arange(len(codes)) - np.repeat(first[:-1], n)
                 prefix = codes[place < np.repeat(size, n)]
-                bits, word = np.uint64(1) << (codes & np.uint64(63)), (codes >> np.uint64(6)) & np.uint64(WORDS - 1)
-                outline = [np.bitwise_xor.reduceat(np.where(word == np.uint64(w), bits, np.uint64(0)), first[:-1]) for w in range(WORDS)]
+                bits, second = np.uint64(1) << (codes & np.uint64(63)), np.repeat(n > WIDE, n) & ((codes & np.uint64(64)) > 0)
+                outline, more = (np.bitwise_xor.reduceat(np.where(of, bits, np.uint64(0)), first[:-1]) for of in (~second, second))
                 keys = [np.add.reduceat(A.mix(codes + np.uint64(k)), first[:-1]) for k in (1, 2)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[row + doc]), pa.array(line.astype(np.int32)), *(pa.array(k.view(np.int64)) for k in keys),
-                    pa.array(n.astype(np.int32)), *(pa.array(o.view(np.int64)) for o in outline),
+                    pa.array(n.astype(np.int32)), pa.array(outline.view(np.int64)), pa.array(more.view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(prefix.view(np.int64)))],
-                    names=["id", "line", "key1", "key2", "n", *_OUTLINE, "prefix"])
+                    names=["id", "line", "key1", "key2", "n", "outline", "more", "prefix"])
 
     shaped = docs.select("id", "text").mapInArrow(
-        shape, f"id long, line int, key1 long, key2 long, n int, {', '.join(f'{o} long' for o in _OUTLINE)}, prefix array<long>")
-    first = shaped.groupBy("key1", "key2").agg(F.min(F.struct("id", "line", "n", *_OUTLINE, "prefix")).alias("f"))
+        shape, "id long, line int, key1 long, key2 long, n int, outline long, more long, prefix array<long>")
+    first = shaped.groupBy("key1", "key2").agg(F.min(F.struct("id", "line", "n", "outline", "more", "prefix")).alias("f"))
     return common.stage(first.select("f.*"), "classes")
 
 
@@ -137,7 +137,9 @@ def _near(differ: Column, a: Column, b: Column) -> Column:
 def _may(x: str, y: str) -> Column:
     """Outline, length and positional filters for two entries under one token."""
     nx, ny = F.col(f"{x}_n"), F.col(f"{y}_n")
-    return (_near(F.bit_count(F.col(f"{x}_outline").bitwiseXOR(F.col(f"{y}_outline"))), nx, ny)
+    one, two = (F.col(f"{x}_{o}").bitwiseXOR(F.col(f"{y}_{o}")) for o in ("outline", "more"))
+    return (_near(F.bit_count(one.bitwiseXOR(two)), nx, ny)  # folded: the outline of one word
+            & ((F.least(nx, ny) <= WIDE) | _near(F.bit_count(one) + F.bit_count(two), nx, ny))
             & _enough(F.least(nx - F.col(f"{x}_pos"), ny - F.col(f"{y}_pos")), nx, ny))
 
 
@@ -149,15 +151,6 @@ def _place(x: str) -> Column:
     return F.struct(F.col(f"{x}_id").alias("id"), F.col(f"{x}_line").alias("line"))
 
 
-def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose whole outlines differ in few bits."""
-    of = classes.filter("n >= 4").select(F.struct("id", "line").alias("place"), F.struct("n", *_OUTLINE).alias("of"))
-    both = pairs.join(of.select(F.col("place").alias("x"), F.col("of").alias("of_x")), "x").join(
-        of.select(F.col("place").alias("y"), F.col("of").alias("of_y")), "y")
-    differ = sum((F.bit_count(F.col(f"of_x.{o}").bitwiseXOR(F.col(f"of_y.{o}"))) for o in _OUTLINE), F.lit(0))
-    return common.stage(both.filter(_near(differ, F.col("of_x.n"), F.col("of_y.n"))).select("x", "y"), "close")
-
-
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (x, y), places of lines, whose sets match."""
     places = common.stage(pairs.select("x.*").union(pairs.select("y.*")).distinct().withColumnsRenamed(
@@ -177,39 +170,38 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 def matched(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(id, line) of the classes that match an earlier one."""
     # smaller sets match equal ones only
-    folded = F.lit(0).cast("long")
-    for o in _OUTLINE:
-        folded = folded.bitwiseXOR(F.col(o))
-    entries = classes.filter("n >= 4").select("id", "line", "n", folded.alias("outline"), F.posexplode("prefix").alias("pos", "token"))
+    entries = classes.filter("n >= 4").select("id", "line", "n", "outline", "more", F.posexplode("prefix").alias("pos", "token"))
 
     def by_token(name):  # never null, said to Spark: else each use gets null filters, and a shuffle, of its own
         return entries.select(F.coalesce("token", F.lit(0)).alias("token"), *(
-            F.coalesce(c, F.lit(0)).alias(f"{name}_{c}") for c in ("id", "line", "n", "outline", "pos")))
+            F.coalesce(c, F.lit(0)).alias(f"{name}_{c}") for c in _ENTRY))
 
     earliest = Window.partitionBy("token").orderBy("y_id", "y_line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    first = by_token("y").withColumn("x", F.first(F.struct("y_id", "y_line", "y_n", "y_outline", "y_pos")).over(earliest))
-    first = first.select("*", *(F.col(f"x.y_{c}").alias(f"x_{c}") for c in ("id", "line", "n", "outline", "pos")))
+    # column by column: a struct of them would be made, and shuffled, beside them
+    first = by_token("y").select("*", *(F.first(f"y_{c}").over(earliest).alias(f"x_{c}") for c in _ENTRY))
     later = first.filter(_before("x", "y")).withColumn("star", _may("x", "y"))
 
-    def met(rows):
-        pairs = rows.select("token", *(f"y_{c}" for c in ("id", "line", "n", "outline", "pos"))).join(by_token("z"), "token")
+    def met(rows, others):
+        pairs = rows.select("token", *(f"y_{c}" for c in _ENTRY)).join(others, "token")
         return pairs.filter(_may("z", "y") & _before("z", "y")).select(_place("z").alias("x"), _place("y").alias("y"))
 
     # one plan, so the entries are shuffled by token once for both kinds of pairs
     tried = common.stage(
         later.filter("star").select(_place("x").alias("x"), _place("y").alias("y"), F.lit(1).alias("star"))
-        .union(met(later.filter("not star")).withColumn("star", F.lit(0)))
+        .union(met(later.filter("not star"), by_token("z")).withColumn("star", F.lit(0)))
         .groupBy("x", "y").agg(F.max("star").alias("star")), "pairs")
     pairs = tried.select("x", "y")
-    found = common.stage(_confirmed(_close(pairs, classes), docs).select("y").distinct(), "matched")
+    found = common.stage(_confirmed(pairs, docs).select("y").distinct(), "matched")
     # those whose earliest partner only seemed to match, and that no other one has matched
     again = common.stage(tried.filter("star = 1").select("y").distinct().join(found, "y", "left_anti").select(F.col("y").alias("again")), "again")
     n = again.count()
     if n:
         few = common.sized(again, n, 40)
-        rows = by_token("y").join(few, _place("y") == F.col("again"), "left_semi")
-        more = common.stage(met(rows).distinct().join(pairs, ["x", "y"], "left_anti"), "more")
-        found = common.stage(found.union(_confirmed(_close(more, classes), docs).select("y")).distinct(), "matched")
+        rows = common.stage(by_token("y").join(few, _place("y") == F.col("again"), "left_semi"), "rows")
+        tokens = common.stage(rows.select("token").distinct(), "tokens")
+        others = by_token("z").join(common.sized(tokens, tokens.count(), 16), "token", "left_semi")  # before they are shuffled
+        more = common.stage(met(rows, others).distinct().join(pairs, ["x", "y"], "left_anti"), "more")
+        found = common.stage(found.union(_confirmed(more, docs).select("y")).distinct(), "matched")
     return found.select("y.id", "y.line")
 
 
