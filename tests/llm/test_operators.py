@@ -350,6 +350,20 @@ def test_quality_classifier_on_held_out_rows(spark):
     assert means[0] < means[1] < means[2]
 
 
+def test_quality_fit_holds_few_arrays_of_all_features(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(ordinal_quality, "_STEPS", 2)
+    rng, rows, each = np.random.default_rng(3), 4000, 500
+    slots, values = rng.integers(0, 1 << ordinal_quality.BITS, rows * each), rng.random(rows * each)
+    first, grades = np.arange(rows + 1) * each, rng.integers(0, 3, rows)
+    tracemalloc.start()
+    ordinal_quality.fit(slots, values, first, grades)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 * len(slots)  # besides the arrays given: the values that count and two of a step
+
+
 def test_quality_classifier_on_odd_tables(spark, docs, rows):
     labels = spark.createDataFrame([(d, i % 2, i % 5 == 0) for i, (d, _) in enumerate(rows) if i % 2] + [(None, 1, True), (1, None, True)],
                                    "doc_id long, quality int, toxic boolean").withColumn("toxic", F.col("toxic").cast("int"))

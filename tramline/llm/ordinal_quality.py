@@ -77,7 +77,10 @@ def features(data: np.ndarray, offsets: np.ndarray):
 
 
 def scores(slots, values, first, weights) -> np.ndarray:
-    upto = np.concatenate([[0.0], np.cumsum(values * weights[slots])])
+    upto = np.zeros(len(slots) + 1)
+    part = weights[slots]
+    part *= values
+    np.cumsum(part, out=upto[1:])
     return upto[first[1:]] - upto[first[:-1]]
 
 
@@ -95,14 +98,17 @@ def fit(slots, values, first, grades) -> tuple[np.ndarray, np.ndarray]:
         return weights, np.array([-3.0, -1.5])
     known = np.bincount(slots, minlength=1 << BITS) >= LEAST_ROWS
     values = values * known[slots]
-    row = np.repeat(np.arange(len(grades)), np.diff(first))
+    sizes = np.diff(first)
     seen, past, at = np.full(1 << BITS, 1e-8), np.full(2, 1e-8), np.arange(len(grades))
     for _ in range(_STEPS):
         below = _below(scores(slots, values, first, weights), thresholds)
         p = np.maximum(below[at, grades + 1] - below[at, grades], 1e-12)
         slope = below * (1 - below)  # of P(grade <= k) by its threshold
         pull = (slope[at, grades + 1] - slope[at, grades]) / p / len(grades)  # of the loss by the score
-        step = np.bincount(slots, weights=values * pull[row], minlength=1 << BITS)
+        part = np.repeat(pull, sizes)
+        part *= values
+        step = np.bincount(slots, weights=part, minlength=1 << BITS)
+        del part
         seen += step * step
         weights -= _RATE * step / np.sqrt(seen)
         push = np.array([(slope[:, k + 1] * ((grades == k + 1) / p - (grades == k) / p)).mean() for k in range(GRADES - 1)])
@@ -142,8 +148,9 @@ def trained(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> tuple[
             slots.append(batch.column(2).flatten().to_numpy().astype(np.int64))
             values.append(batch.column(3).flatten().to_numpy().astype(float))
             sizes.append(np.diff(batch.column(2).offsets.to_numpy()))
-        first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)
-        weights, thresholds = fit(np.concatenate(slots), np.concatenate(values), first, np.concatenate(grades))
+        # the batches' parts go before the fit begins
+        grades, slots, values, sizes = [np.concatenate(parts) for parts in (grades, slots, values, sizes)]
+        weights, thresholds = fit(slots, values, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), grades)
         yield pa.RecordBatch.from_arrays([
             pa.array([weights.astype(np.float32).tobytes()]), pa.array([thresholds.tobytes()])], names=["weights", "thresholds"])
 
