@@ -127,6 +127,28 @@ def test_line_dedup_partner_that_is_not_the_earliest(spark):
     assert {r.doc_id for r in found if r.n_removed} == {3, 5}
 
 
+def test_line_dedup_tries_again_only_under_tokens_of_a_star(spark, monkeypatch):
+    """Of a line whose earliest partner is not confirmed, tokens under which it met all others are not tried again."""
+    staged, stage = {}, common.stage
+
+    def kept(df, name):
+        staged[name] = stage(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(common, "stage", kept)
+    words = [f"w{i}" for i in range(20)]
+    # under all tokens of 2 and 3 that 1 has, 1 is a star whose outline passes; under the others they meet each other
+    monkeypatch.setattr(line_dedup, "_near", lambda differ, a, b: F.lit(True))
+    early = words[:12] + [f"e{i}" for i in range(8)]
+    rows = [(1, " ".join(early)), (2, " ".join(words)), (3, " ".join([*words[:-1], "z"])), (4, " ".join([*words[:9], *"abcdefghijk"]))]
+    rows += [(5, " ".join(["p", "q", "r", "s", "w18"])), (6, " ".join(["p", "q", "r", "s", "w19"]))]
+    found = line_dedup.summary(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert bag((r.doc_id, r.n_lines, r.n_removed, r.kept) for r in found) == bag(brute.lines(rows))
+    lines = {(r.y_id, r.y_line) for r in staged["rows"].collect()}
+    prefixes = {(r.id, r.line): len(r.prefix) for r in staged["classes"].collect()}
+    assert lines and staged["rows"].count() < sum(prefixes[p] for p in lines)
+
+
 def test_line_dedup_long_lines_with_a_word_in_common_are_no_pairs(spark, monkeypatch):
     """Outlines that many words fill let every pair of long lines meet on their sets."""
     tried, confirmed = [], line_dedup._confirmed

@@ -169,10 +169,10 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def matched(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(id, line) of the classes that match an earlier one."""
-    # smaller sets match equal ones only
-    entries = classes.filter("n >= 4").select("id", "line", "n", "outline", "more", F.posexplode("prefix").alias("pos", "token"))
+    classes = classes.filter("n >= 4")  # smaller sets match equal ones only
 
-    def by_token(name):  # never null, said to Spark: else each use gets null filters, and a shuffle, of its own
+    def by_token(name, some=classes):  # never null, said to Spark: else each use gets null filters, and a shuffle, of its own
+        entries = some.select("id", "line", "n", "outline", "more", F.posexplode("prefix").alias("pos", "token"))
         return entries.select(F.coalesce("token", F.lit(0)).alias("token"), *(
             F.coalesce(c, F.lit(0)).alias(f"{name}_{c}") for c in _ENTRY))
 
@@ -185,21 +185,28 @@ def matched(classes: DataFrame, docs: DataFrame) -> DataFrame:
         pairs = rows.select("token", *(f"y_{c}" for c in _ENTRY)).join(others, "token")
         return pairs.filter(_may("z", "y") & _before("z", "y")).select(_place("z").alias("x"), _place("y").alias("y"))
 
-    # one plan, so the entries are shuffled by token once for both kinds of pairs
+    # one plan, so the entries are shuffled by token once for both kinds of pairs; stars: tokens under which only x was tried
     tried = common.stage(
-        later.filter("star").select(_place("x").alias("x"), _place("y").alias("y"), F.lit(1).alias("star"))
-        .union(met(later.filter("not star"), by_token("z")).withColumn("star", F.lit(0)))
-        .groupBy("x", "y").agg(F.max("star").alias("star")), "pairs")
+        later.filter("star").select(_place("x").alias("x"), _place("y").alias("y"), "token")
+        .union(met(later.filter("not star"), by_token("z")).withColumn("token", F.lit(None).cast("long")))
+        .groupBy("x", "y").agg(F.collect_list("token").alias("stars")), "pairs")
     pairs = tried.select("x", "y")
     found = common.stage(_confirmed(pairs, docs).select("y").distinct(), "matched")
-    # those whose earliest partner only seemed to match, and that no other one has matched
-    again = common.stage(tried.filter("star = 1").select("y").distinct().join(found, "y", "left_anti").select(F.col("y").alias("again")), "again")
+    # those whose earliest partner only seemed to match, and that no other one has matched; under their other tokens they met all
+    again = common.stage(tried.select("y", F.explode("stars").alias("token")).join(found, "y", "left_anti")
+                         .select("token", F.col("y.id").alias("id"), F.col("y.line").alias("line")).distinct(), "again")
     n = again.count()
     if n:
         few = common.sized(again, n, 40)
-        rows = common.stage(by_token("y").join(few, _place("y") == F.col("again"), "left_semi"), "rows")
-        tokens = common.stage(rows.select("token").distinct(), "tokens")
-        others = by_token("z").join(common.sized(tokens, tokens.count(), 16), "token", "left_semi")  # before they are shuffled
+        some = classes.join(common.sized(again.select("id", "line").distinct(), n, 32), ["id", "line"], "left_semi")
+        rows = common.stage(by_token("y", some).join(few.withColumnsRenamed({"id": "y_id", "line": "y_line"}), ["token", "y_id", "y_line"], "left_semi"), "rows")
+        tokens = common.stage(rows.groupBy("token").agg(
+            F.max("y_id").alias("last"), F.min("y_n").alias("least"), F.max("y_n").alias("most")), "tokens")
+        # before they are shuffled: those that any row of their token may meet, by place and size
+        others = by_token("z").alias("z").join(
+            common.sized(tokens, tokens.count(), 40).alias("t"),
+            (F.col("z.token") == F.col("t.token")) & (F.col("z_id") <= F.col("last"))
+            & (5 * F.col("z_n") >= 4 * F.col("least")) & (4 * F.col("z_n") <= 5 * F.col("most")), "left_semi")
         more = common.stage(met(rows, others).distinct().join(pairs, ["x", "y"], "left_anti"), "more")
         found = common.stage(found.union(_confirmed(more, docs).select("y")).distinct(), "matched")
     return found.select("y.id", "y.line")
