@@ -18,7 +18,7 @@ more than 64 tokens are held against 128 bits. What passes is confirmed on the s
 Under one token every class is tried with the earliest class there; only those that differ
 from it meet the others, so many variants of one line give as many pairs as variants, not
 their square. Nothing is capped: a class whose earliest partner is not confirmed meets
-all others.
+all others under the tokens where only that one was tried.
 
 Counting and coding the tokens runs in Arrow batches; in DataFrame functions alone it took
 more than the time and disk allowed (README). The joins are DataFrame functions.
