@@ -4,6 +4,7 @@ and no rows at all, and extra columns named as the operators' own."""
 import hashlib
 import itertools
 import random
+import re
 
 import numpy as np
 import public_tokenizers as P
@@ -149,6 +150,28 @@ def test_line_dedup_tries_again_only_under_tokens_of_a_star(spark, monkeypatch):
     assert lines and staged["rows"].count() < sum(prefixes[p] for p in lines)
 
 
+def test_line_dedup_runs_no_python_on_the_executors(spark, monkeypatch):
+    plans, stage = {}, common.stage
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, name)
+
+    monkeypatch.setattr(common, "stage", seen)
+    words = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[1:], "z"]) + "\n\t\x0b"), (3, "\tÉa B\x0cc d É\rx\n b Éa c D x É"),
+            (4, "b éa c d x é"), (5, "\x0b\x0c\r"), (6, None), (7, "A\u0085b\nA\u0085B"), (8, " !\n!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.localCheckpoint()
+    found = line_dedup.summary(docs)
+    plans["counts"] = line_dedup._counts(common.keyed(docs)[0])._jdf.queryExecution().executedPlan().toString()
+    plans["summary"] = found._jdf.queryExecution().executedPlan().toString()
+    assert {"classes", "pairs", "counts", "summary"} <= set(plans)
+    for name, plan in plans.items():
+        assert not re.search("Python|Pandas|Arrow", plan), name
+    assert bag((r.doc_id, r.n_lines, r.n_removed, r.kept) for r in found.collect()) == bag(brute.lines(rows))
+
+
 def test_line_dedup_long_lines_with_a_word_in_common_are_no_pairs(spark, monkeypatch):
     """Outlines that many words fill let every pair of long lines meet on their sets."""
     tried, confirmed = [], line_dedup._confirmed

@@ -20,8 +20,7 @@ from it meet the others, so many variants of one line give as many pairs as vari
 their square. Nothing is capped: a class whose earliest partner is not confirmed meets
 all others under the tokens where only that one was tried.
 
-Counting and coding the tokens runs in Arrow batches; in DataFrame functions alone it took
-more than the time and disk allowed (README). The joins are DataFrame functions.
+All of it is DataFrame functions; nothing runs in Python on the executors.
 
 Defined results: a null or empty text is one blank line; a document of any length is one
 row, its lines are spread; rows that repeat a doc_id, and null ids, are documents of their
@@ -30,12 +29,11 @@ own (``common.keyed``), the later ones lose their lines.
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import arrays as A
 from . import common
 
 #: Counts that order tokens by rarity.
@@ -43,85 +41,78 @@ SLOTS = 1 << 18
 #: Sets of more tokens have an outline of two words of 64 bits, others of one.
 WIDE = 64
 _ENTRY = ("id", "line", "n", "outline", "more", "pos")
-_SPACE = r"[\x20\x09-\x0D]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_SPACES = "\t\x0b\x0c\r"  # besides the blank; no line holds the newline
 
 
 def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def _words(text: Column) -> Column:
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.array_remove(F.split(F.translate(text, upper, upper.lower()), _SPACE), "")
-
-
-def _rarity(docs: DataFrame) -> np.ndarray:
-    """For each slot a step that grows with the count of its tokens."""
-
-    def count(batches):
-        total = np.zeros(SLOTS, np.int64)
-        for batch in batches:
-            for _, data, offsets in A.blocks(batch.column(0)):
-                hashes = A.Words(data, offsets, A.SPACED_WORD).hashes(A.LOWER[data])
-                total += np.bincount((hashes % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
-        slots = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(total[slots])], names=["slot", "n"])
-
-    counts = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    steps = np.zeros(SLOTS, np.uint64)
-    for slot, n in counts.collect():  # at most SLOTS rows, whatever the table's size
-        steps[slot] = min(250, 1 + int(6 * np.log2(n)))
-    return steps
-
-
-def coded(data: np.ndarray, offsets: np.ndarray, steps: np.ndarray):
-    """Lines with tokens of a block: (document, line, codes, first), codes sorted and different
-    within each line, the rarest first: step, then hash."""
-    words = A.Words(data, offsets, A.SPACED_WORD)
-    ends = np.concatenate([[0], np.cumsum(data == 0x0A)])
-    doc = words.document()
-    line = ends[words.start] - ends[offsets[:-1]][doc]
-    hashes = words.hashes(A.LOWER[data])
-    codes = (steps[(hashes % np.uint64(SLOTS)).astype(np.int64)] << np.uint64(56)) | (hashes >> np.uint64(8))
-    new = np.ones(len(codes), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
-    group = np.cumsum(new) - 1
-    order = np.lexsort((codes, group))
-    codes, of = codes[order], group[order]
-    keep = np.ones(len(codes), bool)
-    keep[1:] = (codes[1:] != codes[:-1]) | (of[1:] != of[:-1])
-    codes, of = codes[keep], of[keep]
-    return doc[new], line[new], codes, np.searchsorted(of, np.arange(int(new.sum()) + 1))
+def _worded(line: Column) -> Column:
+    """Whether a line has tokens; the pattern is only tried on those that do not begin with one."""
+    return (line >= "!") | ~line.rlike(r"^[\x20\x09-\x0D]*$")
+
+
+def _words(line: Column) -> Column:
+    """The words of a line, A-Z lowered; lines of ASCII without other spaces than blanks, most of them, the short way
+    (``lower`` knows other letters too)."""
+    plain = F.octet_length(line) == F.char_length(line)
+    for space in _SPACES:
+        plain = plain & ~F.contains(line, F.lit(space))
+    other = F.translate(line, _UPPER + _SPACES, _UPPER.lower() + " " * len(_SPACES))
+    return F.array_remove(F.split(F.when(plain, F.lower(line)).otherwise(other), " "), "")
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    return docs.select("id", F.posexplode(lines_of(F.col("text"))).alias("line", "body"))
+
+
+def _slot(hashed: Column) -> Column:
+    return hashed.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+
+
+def _counts(docs: DataFrame) -> DataFrame:
+    """(slot, n): how many tokens fall on each slot that has any."""
+    words = _lines(docs).select(F.explode(_words(F.col("body"))).alias("word"))
+    return words.groupBy(_slot(F.xxhash64("word")).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _rarity(docs: DataFrame) -> Column:
+    """An array: for each slot a step that grows with the count of its tokens, in what a byte holds."""
+    steps = ["-128"] * SLOTS
+    for slot, n in _counts(docs).collect():  # at most SLOTS rows, whatever the table's size
+        steps[slot] = str(min(250, 1 + int(6 * math.log2(n))) - 128)
+    return F.split(F.lit(",".join(steps)), ",").cast("array<bigint>")
+
+
+def _codes(words: Column, steps: Column) -> Column:
+    """A line's tokens as different numbers, sorted, the rarest first: step, then hash."""
+    hashes = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    # never null, said to Spark: so it sorts them as plain numbers
+    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(
+        F.coalesce(F.get(steps, _slot(h)), F.lit(0).cast("long")), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))))
+
+
+def _parity(codes: Column) -> Column:
+    """64 bits: whether an odd number of the codes falls on each."""
+    return F.aggregate(codes, F.lit(0).cast("long"), lambda bits, c: bits.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def _classes(docs: DataFrame) -> DataFrame:
     """(id, line, n, outline, more, prefix): one row per class, by its first line; more: the outline's second word."""
-    shared = docs.sparkSession.sparkContext.broadcast(_rarity(docs))
-
-    def shape(batches):
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for row, data, offsets in A.blocks(batch.column(1)):
-                doc, line, codes, first = coded(data, offsets, shared.value)
-                if not len(doc):
-                    continue
-                n = np.diff(first)
-                size = n - -(-4 * n // 5) + 1
-                place = np.arange(len(codes)) - np.repeat(first[:-1], n)
-                prefix = codes[place < np.repeat(size, n)]
-                bits, second = np.uint64(1) << (codes & np.uint64(63)), np.repeat(n > WIDE, n) & ((codes & np.uint64(64)) > 0)
-                outline, more = (np.bitwise_xor.reduceat(np.where(of, bits, np.uint64(0)), first[:-1]) for of in (~second, second))
-                keys = [np.add.reduceat(A.mix(codes + np.uint64(k)), first[:-1]) for k in (1, 2)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(ids[row + doc]), pa.array(line.astype(np.int32)), *(pa.array(k.view(np.int64)) for k in keys),
-                    pa.array(n.astype(np.int32)), pa.array(outline.view(np.int64)), pa.array(more.view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(prefix.view(np.int64)))],
-                    names=["id", "line", "key1", "key2", "n", "outline", "more", "prefix"])
-
-    shaped = docs.select("id", "text").mapInArrow(
-        shape, "id long, line int, key1 long, key2 long, n int, outline long, more long, prefix array<long>")
-    first = shaped.groupBy("key1", "key2").agg(F.min(F.struct("id", "line", "n", "outline", "more", "prefix")).alias("f"))
-    return common.stage(first.select("f.*"), "classes")
+    steps = _rarity(docs)
+    sets = _lines(docs).select("id", "line", _codes(_words(F.col("body")), steps).alias("codes"))
+    n, codes = F.size("codes"), F.col("codes")
+    second = F.when(n > WIDE, _parity(F.filter(codes, lambda c: c.bitwiseAND(F.lit(64)) != 0))).otherwise(F.lit(0).cast("long"))
+    shaped = sets.select(
+        "id", "line", F.xxhash64(codes).alias("key1"), F.xxhash64(F.lit(1), codes).alias("key2"), n.alias("n"),
+        _parity(codes).alias("folded"), second.alias("more"),
+        F.slice(codes, F.lit(1), n - F.expr("cast((4 * size(codes) + 4) div 5 as int)") + 1).alias("prefix"))
+    first = shaped.groupBy("key1", "key2").agg(F.min(F.struct(
+        "id", "line", "n", F.col("folded").bitwiseXOR(F.col("more")).alias("outline"), "more", "prefix")).alias("f"))
+    return common.stage(first.select("f.*").filter("n > 0"), "classes")
 
 
 def _enough(inter: Column, a: Column, b: Column) -> Column:
@@ -158,8 +149,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     wanted = common.sized(places, places.count(), 40)
     ids = wanted.select("__id").distinct()
     some = docs.join(ids, F.col("id") == F.col("__id"), "left_semi")
-    lines = some.select("id", F.posexplode(lines_of(F.col("text"))).alias("line", "body"))
-    sets = lines.join(wanted, (F.col("id") == F.col("__id")) & (F.col("line") == F.col("__line")), "left_semi").select(
+    sets = _lines(some).join(wanted, (F.col("id") == F.col("__id")) & (F.col("line") == F.col("__line")), "left_semi").select(
         F.struct("id", "line").alias("place"), F.array_distinct(F.transform(_words(F.col("body")), lambda w: F.xxhash64(w))).alias("words"))
     sets = common.stage(sets, "sets")
     both = (pairs.join(sets.select(F.col("place").alias("x"), F.col("words").alias("of_x")), "x")
@@ -227,8 +217,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     found = kept_lines(keyed)
     joined = keyed.join(found, "id", "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
     lines = lines_of(F.col("text"))
-    worded = F.size(F.filter(lines, lambda s: ~s.rlike(r"^[\x20\x09-\x0D]*$")))
-    text = F.array_join(F.filter(lines, lambda s, i: s.rlike(r"^[\x20\x09-\x0D]*$") | F.array_contains("kept", i)), "\n")
+    worded = F.size(F.filter(lines, _worded))
+    text = F.array_join(F.filter(lines, lambda s, i: ~_worded(s) | F.array_contains("kept", i)), "\n")
     return joined.select("doc_id", F.size(lines).cast("long").alias("n_lines"),
                          (worded - F.size("kept")).cast("long").alias("n_removed"), "kept", text.alias("text"))
 
@@ -238,7 +228,7 @@ def summary(docs: DataFrame) -> DataFrame:
     keyed, _ = common.keyed(docs)
     found = kept_lines(keyed)
     lines = lines_of(F.col("text"))
-    worded = F.size(F.filter(lines, lambda s: ~s.rlike(r"^[\x20\x09-\x0D]*$")))
+    worded = F.size(F.filter(lines, _worded))
     counted = keyed.select("id", "doc_id", F.size(lines).cast("long").alias("n_lines"), worded.alias("worded"))
     return counted.join(found, "id", "left").select(
         "doc_id", "n_lines", (F.col("worded") - F.coalesce(F.size("kept"), F.lit(0))).cast("long").alias("n_removed"),
